@@ -26,6 +26,8 @@ from echolex.functions.lexicons import (
 from echolex.functions.text import WS, is_blank, or_empty
 
 WORD = r"\p{L}\p{N}_"
+MARK = "\x01"
+NOT_MARK = "\x02"
 
 
 def _one_of(words):
@@ -38,10 +40,13 @@ def _one_of(words):
     return "(?:" + "|".join(parts) + ")"
 
 
+def _by_sign(balance, negative, zero, positive):
+    return F.element_at(F.array(negative, zero, positive), F.signum(balance).cast("int") + 2)
+
+
 def _sign_label(balance):
     """NEGATIVE, NEUTRAL or POSITIVE by the sign of an integer column."""
-    names = F.array(F.lit("NEGATIVE"), F.lit("NEUTRAL"), F.lit("POSITIVE"))
-    return F.element_at(names, F.signum(balance).cast("int") + 2)
+    return _by_sign(balance, F.lit("NEGATIVE"), F.lit("NEUTRAL"), F.lit("POSITIVE"))
 
 
 def _by_language(language, build):
@@ -55,14 +60,25 @@ def _by_language(language, build):
     return routed.otherwise(build(*LEXICONS["en"]))
 
 
+def _minimal(words):
+    """Words that contain no other word of the list; the rest adds no match."""
+    return [w for w in dict.fromkeys(words) if not any(o != w and o in w for o in words)]
+
+
 def token_hits(lowered, words):
     """Number of white-space tokens that contain any of the words.
 
-    One anchored scan: a match starts at a token start, searches the token
-    once and swallows the rest of it, so cost is linear in the text.
+    Every word found is overwritten by a mark, then tokens with a mark are
+    counted. Plain substring search is several times faster here than a regex
+    alternation, and linear in the text. No word holds white space, so a mark
+    stays within its token. Texts without any word skip the marking.
     """
-    pattern = f"(?<![^{WS}])[^{WS}]*?{_one_of(words)}[^{WS}]*+"
-    return F.regexp_count(lowered, F.lit(pattern))
+    words = _minimal(words)
+    marked = F.replace(lowered, F.lit(MARK), F.lit(NOT_MARK))
+    for word in words:
+        marked = F.replace(marked, F.lit(word), F.lit(MARK))
+    hits = F.regexp_count(marked, F.lit(f"{MARK}[^{WS}]*+"))
+    return F.when(reduce(or_, [lowered.contains(w) for w in words]), hits).otherwise(0)
 
 
 def token_label(text, language="en", lowered=None):
@@ -88,11 +104,10 @@ def token_sentiment(text, language="en", lowered=None):
     balance = pos - neg
     winner = F.least(F.lit(0.8), F.lit(0.5) + F.lit(0.1) * F.greatest(pos, neg))
     blank = is_blank(text)
+    tie = F.when(blank, F.lit(0.5)).otherwise(F.lit(0.6))
     return F.struct(
         _sign_label(balance).alias("label"),
-        F.when(balance != 0, winner)
-        .otherwise(F.when(blank, F.lit(0.5)).otherwise(F.lit(0.6)))
-        .alias("confidence"),
+        _by_sign(balance, winner, tie, winner).alias("confidence"),
         F.lit("local").alias("source"),
         F.when(blank, F.lit(0)).otherwise(F.length(text)).alias("text_length"),
     )
@@ -134,10 +149,8 @@ def exact_label(text, lowered=None, long_text=200):
         return F.size(F.array_intersect(found, F.array(*map(F.lit, words))))
 
     balance = hits(ENGLISH_POSITIVE) - hits(ENGLISH_NEGATIVE)
-    decided = F.element_at(
-        F.array(F.lit("NEGATIVE"), F.lit(None).cast("string"), F.lit("POSITIVE")),
-        F.signum(balance).cast("int") + 2,
-    )
+    tie = F.lit(None).cast("string")
+    decided = _by_sign(balance, F.lit("NEGATIVE"), tie, F.lit("POSITIVE"))
     has_error_word = reduce(or_, [lowered.contains(w) for w in ERROR_WORDS])
     undecided = (
         F.when(is_blank(text) | text.contains("?") | (hits(cues) > 0), "NEUTRAL")

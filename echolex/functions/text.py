@@ -6,10 +6,12 @@ from echolex.functions.lexicons import SENSITIVE_TERMS
 
 # Unicode white space, once as characters and once as a regex class. Java's
 # bare \s is ASCII only, so every pattern here spells the class out.
-WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    + "".join(map(chr, range(0x2000, 0x200B)))
-    + "    　"
+WHITESPACE = "".join(
+    map(
+        chr,
+        [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680]
+        + [*range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000],
+    )
 )
 WS = (
     r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}"

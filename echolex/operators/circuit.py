@@ -1,0 +1,263 @@
+"""Circuit state of each component after each call.
+
+A component's circuit is CLOSED, opens when its failure count reaches the
+threshold, refuses calls until more than `timeout` whole seconds have passed
+since the last failure, and then lets one call through (HALF_OPEN): success
+closes it with count 0, failure opens it again. A success while CLOSED does
+not reset the count.
+
+The state depends on all earlier calls, yet one component may own a large part
+of them, so a component is never handled in one task. Calls are range
+partitioned by (component, time, id) into pieces of even size. Each piece is
+summed up as a function from the state before it to the state after it; the
+short summaries are chained per component; then every piece is replayed on its
+own from its known starting state.
+"""
+
+import sys
+
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from echolex.session import reliable_checkpoint
+
+# Executors need not have the package installed: worker code travels along.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+CLOSED, OPEN = 0, 1
+STATE_NAMES = np.array(["CLOSED", "OPEN"], dtype=object)
+THRESHOLD = 5
+TIMEOUT_SECONDS = 60
+
+SUMMARY_DDL = (
+    "component string, piece int, entry_mode int, entry_key long,"
+    " exit_mode int, exit_count long, relative boolean, exit_failure long"
+)
+ENTRY_DDL = "component string, piece int, mode int, count long, failure long"
+
+
+def wait_micros(timeout):
+    """Shortest gap that counts as more than `timeout` whole seconds."""
+    return (int(timeout) + 1) * 1_000_000
+
+
+def replay(times, ok, mode, count, failure, threshold, wait):
+    """States after each call of one sorted run, from a starting state.
+
+    Returns (modes, counts, refused, exit state). Jumps from opening to
+    opening, so plain runs of calls cost no Python steps.
+    """
+    n = len(times)
+    failures = np.flatnonzero(~ok)
+    modes = np.zeros(n, dtype=np.int8)
+    counts = np.zeros(n, dtype=np.int64)
+    refused = np.zeros(n, dtype=bool)
+    at = 0
+    while at < n:
+        if mode == CLOSED:
+            first = np.searchsorted(failures, at)
+            last = first + threshold - count - 1
+            stop = failures[last] if last < len(failures) else n
+            counts[at:stop] = count + np.cumsum(~ok[at:stop])
+            if stop == n:
+                count += len(failures) - first
+                break
+            mode, count, failure = OPEN, threshold, times[stop]
+            modes[stop], counts[stop] = mode, count
+            at = stop + 1
+        else:
+            probe = max(at, np.searchsorted(times, failure + wait))
+            modes[at:probe], counts[at:probe], refused[at:probe] = OPEN, count, True
+            if probe == n:
+                break
+            if ok[probe]:
+                mode, count = CLOSED, 0
+            else:
+                count, failure = count + 1, times[probe]
+            modes[probe], counts[probe] = mode, count
+            at = probe + 1
+    return modes, counts, refused, (mode, count, failure)
+
+
+def _probe_exits(times, ok, threshold, wait):
+    """Exit state for each call that can be the first one let through.
+
+    An open circuit enters with a failure before the first call, so the first
+    call let through lies within `wait` of it. An exit is (mode, count,
+    relative, failure); a relative count is added to the count on entry.
+    """
+    n = len(times)
+    failures = np.flatnonzero(~ok)
+    known = {}
+
+    def after_open(opened_at):
+        probe = int(np.searchsorted(times, times[opened_at] + wait))
+        return max(probe, opened_at + 1)
+
+    def follow(probe):
+        """Next probe and count change after one probe, or its final exit."""
+        if not ok[probe]:
+            following = after_open(probe)
+            if following == n:
+                return None, (OPEN, 1, True, int(times[probe]))
+            return following, 1
+        first = int(np.searchsorted(failures, probe + 1))
+        last = first + threshold - 1
+        if last >= len(failures):
+            return None, (CLOSED, len(failures) - first, False, None)
+        following = after_open(int(failures[last]))
+        if following == n:
+            return None, (OPEN, threshold, False, int(times[failures[last]]))
+        return following, None
+
+    reach = min(n - 1, int(np.searchsorted(times, times[0] + wait)))
+    for start in range(reach + 1):
+        path, probe = [], start
+        while probe not in known:
+            following, step = follow(probe)
+            if following is None:
+                known[probe] = step
+                break
+            path.append((probe, step))
+            probe = following
+        for earlier, step in reversed(path):
+            mode, count, relative, failure = known[probe]
+            if relative:
+                added = count + (threshold if step is None else step)
+                known[earlier] = (mode, added, step is not None, failure)
+            else:
+                known[earlier] = known[probe]
+            probe = earlier
+    return [known[j] for j in range(reach + 1)]
+
+
+def summarise(times, ok, threshold, wait):
+    """Entry-to-exit rows of one piece: (entry_mode, entry_key, exit...).
+
+    A CLOSED entry is keyed by its count. An OPEN entry whose wait ends at or
+    before `entry_key` takes the first such row; with no such row the piece
+    refuses every call and leaves the state as it was.
+    """
+    rows = []
+    for count in range(threshold):
+        mode, exit_count, failure = replay(times, ok, CLOSED, count, None, threshold, wait)[3]
+        rows.append((CLOSED, count, mode, int(exit_count), False, failure))
+    exits = _probe_exits(times, ok, threshold, wait)
+    for j, leaves in enumerate(exits):
+        if j + 1 == len(exits) or exits[j + 1] != leaves:
+            rows.append((OPEN, int(times[j]), *leaves))
+    return rows
+
+
+def chain(batches, wait):
+    """Start state of every piece, from summaries sorted by component and piece.
+
+    Streams over the rows; only the current state is held.
+    """
+    component = piece = None
+    state, settled = (CLOSED, 0, None), True
+    for batch in batches:
+        out = []
+        for row in batch.itertuples(index=False):
+            if row.component != component:
+                component, piece, state = row.component, None, (CLOSED, 0, None)
+            if row.piece != piece:
+                piece, settled = row.piece, False
+                out.append((component, piece, *state))
+            if settled or row.entry_mode != state[0]:
+                continue
+            key = state[1] if state[0] == CLOSED else state[2] + wait
+            if row.entry_key == key or (state[0] == OPEN and row.entry_key > key):
+                count = row.exit_count + (state[1] if row.relative else 0)
+                failure = None if pd.isna(row.exit_failure) else int(row.exit_failure)
+                state, settled = (row.exit_mode, count, failure), True
+        yield pd.DataFrame(out, columns=["component", "piece", "mode", "count", "failure"]).astype(
+            {"failure": "Int64"}
+        )
+
+
+def _arrays(pdf):
+    pdf = pdf.sort_values(["micros", "call_id"], kind="stable")
+    return pdf, pdf["micros"].to_numpy(np.int64), pdf["ok"].to_numpy(bool)
+
+
+def circuit_states(outcomes, threshold=THRESHOLD, timeout=TIMEOUT_SECONDS, pieces=None):
+    """State, failure count and refusal of each call.
+
+    `outcomes` has (component, ts, call_id, ok); equal times are ordered by
+    call_id, which must be unique. A null `ok` is a failure, and a call without
+    a time cannot be placed and is left out. `pieces` sets the number of
+    range partitions (default: the session's shuffle partitions).
+    """
+    wait = wait_micros(timeout)
+    keys = ["component", "micros", "call_id"]
+    calls = outcomes.filter(F.col("ts").isNotNull()).select(
+        "component",
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("micros"),
+        "call_id",
+        F.coalesce("ok", F.lit(False)).alias("ok"),
+    )
+    ranged = calls.repartitionByRange(pieces, *keys) if pieces else calls.repartitionByRange(*keys)
+    # Range bounds are sampled anew on each run, so the pieces are written down.
+    placed = reliable_checkpoint(ranged.withColumn("piece", F.spark_partition_id()))
+    by_piece = placed.groupBy("component", "piece")
+
+    def summarise_piece(key, pdf):
+        _, times, ok = _arrays(pdf)
+        rows = [(*key, *row) for row in summarise(times, ok, threshold, wait)]
+        names = [f.split()[0] for f in SUMMARY_DDL.split(",")]
+        return pd.DataFrame(rows, columns=names).astype({"exit_failure": "Int64"})
+
+    summaries = by_piece.applyInPandas(summarise_piece, SUMMARY_DDL)
+    entries = (
+        summaries.repartition("component")
+        .sortWithinPartitions("component", "piece", "entry_mode", "entry_key")
+        .mapInPandas(lambda batches: chain(batches, wait), ENTRY_DDL)
+    )
+
+    def replay_piece(pdf):
+        pdf, times, ok = _arrays(pdf)
+        first = pdf.iloc[0]
+        failure = None if pd.isna(first["failure"]) else int(first["failure"])
+        modes, counts, refused, _ = replay(
+            times, ok, int(first["mode"]), int(first["count"]), failure, threshold, wait
+        )
+        return pdf[["component", "micros", "call_id", "ok"]].assign(
+            state=STATE_NAMES[modes], failure_count=counts, refused=refused
+        )
+
+    schema = T.StructType(
+        [
+            T.StructField("component", T.StringType()),
+            T.StructField("micros", T.LongType()),
+            T.StructField("call_id", calls.schema["call_id"].dataType),
+            T.StructField("ok", T.BooleanType()),
+            T.StructField("state", T.StringType()),
+            T.StructField("failure_count", T.LongType()),
+            T.StructField("refused", T.BooleanType()),
+        ]
+    )
+    replayed = (
+        placed.join(entries, ["component", "piece"])
+        .groupBy("component", "piece")
+        .applyInPandas(replay_piece, schema)
+    )
+    return replayed.select(
+        "component",
+        F.timestamp_micros("micros").alias("ts"),
+        "call_id",
+        "ok",
+        "state",
+        "failure_count",
+        "refused",
+    )
+
+
+def current_states(states):
+    """Last state of each component."""
+    return states.groupBy("component").agg(
+        F.max_by("state", F.struct("ts", "call_id")).alias("state")
+    )

@@ -1,0 +1,84 @@
+"""Circuit states over a stream of call outcomes."""
+
+import sys
+
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupStateTimeout
+
+from echolex.operators.circuit import (
+    CLOSED,
+    STATE_NAMES,
+    THRESHOLD,
+    TIMEOUT_SECONDS,
+    replay,
+    wait_micros,
+)
+
+# Executors need not have the package installed: worker code travels along.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+STATE_DDL = "mode int, count long, failure long, seen long"
+
+
+def circuit_states_stream(outcomes, threshold=THRESHOLD, timeout=TIMEOUT_SECONDS):
+    """State of each call, with the circuit kept per component across batches.
+
+    A micro-batch is put in time order per component (its size is bounded by
+    the source's rate limit). A call older than the last one seen comes too
+    late to change anything: it is emitted with the current state and
+    `late = true`.
+    """
+    wait = wait_micros(timeout)
+    call_type = outcomes.schema["call_id"].dataType
+    schema = T.StructType(
+        [
+            T.StructField("component", T.StringType()),
+            T.StructField("micros", T.LongType()),
+            T.StructField("call_id", call_type),
+            T.StructField("ok", T.BooleanType()),
+            T.StructField("state", T.StringType()),
+            T.StructField("failure_count", T.LongType()),
+            T.StructField("refused", T.BooleanType()),
+            T.StructField("late", T.BooleanType()),
+        ]
+    )
+
+    def advance(key, batches, stored):
+        mode, count, failure, seen = stored.get if stored.exists else (CLOSED, 0, None, None)
+        pdf = pd.concat(batches).sort_values(["micros", "call_id"], kind="stable")
+        times = pdf["micros"].to_numpy(np.int64)
+        late = times < seen if seen is not None else np.zeros(len(times), dtype=bool)
+        skip = int(late.sum())
+        ok = pdf["ok"].to_numpy(bool)
+        modes, counts, refused, after = replay(
+            times[skip:], ok[skip:], mode, count, failure, threshold, wait
+        )
+        stored.update(
+            (
+                int(after[0]),
+                int(after[1]),
+                None if after[2] is None else int(after[2]),
+                int(max(times[-1], seen if seen is not None else times[-1])),
+            )
+        )
+        yield pdf[["component", "micros", "call_id", "ok"]].assign(
+            state=STATE_NAMES[np.concatenate([np.full(skip, mode, dtype=np.int8), modes])],
+            failure_count=np.concatenate([np.full(skip, count, dtype=np.int64), counts]),
+            refused=np.concatenate([np.zeros(skip, dtype=bool), refused]),
+            late=late,
+        )
+
+    calls = outcomes.filter(F.col("ts").isNotNull()).select(
+        "component",
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("micros"),
+        "call_id",
+        F.coalesce("ok", F.lit(False)).alias("ok"),
+    )
+    states = calls.groupBy("component").applyInPandasWithState(
+        advance, schema, STATE_DDL, "append", GroupStateTimeout.NoTimeout
+    )
+    return states.withColumn("ts", F.timestamp_micros("micros")).drop("micros")
