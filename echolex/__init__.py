@@ -1,3 +1,11 @@
 """Spark-native analytics over streams and tables of short social text."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions that run in Python workers travel with the job, so executors need
+# not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

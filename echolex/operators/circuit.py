@@ -14,19 +14,13 @@ short summaries are chained per component; then every piece is replayed on its
 own from its known starting state.
 """
 
-import sys
-
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from echolex.session import reliable_checkpoint
 
-# Executors need not have the package installed: worker code travels along.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 CLOSED, OPEN = 0, 1
 STATE_NAMES = np.array(["CLOSED", "OPEN"], dtype=object)
 THRESHOLD = 5
@@ -179,9 +173,12 @@ def chain(batches, wait):
         )
 
 
+def _sorted(pdf):
+    return pdf.sort_values(["micros", "call_id"], kind="stable")
+
+
 def _arrays(pdf):
-    pdf = pdf.sort_values(["micros", "call_id"], kind="stable")
-    return pdf, pdf["micros"].to_numpy(np.int64), pdf["ok"].to_numpy(bool)
+    return pdf["micros"].to_numpy(np.int64), pdf["ok"].to_numpy(bool)
 
 
 def circuit_states(outcomes, threshold=THRESHOLD, timeout=TIMEOUT_SECONDS, pieces=None):
@@ -202,28 +199,35 @@ def circuit_states(outcomes, threshold=THRESHOLD, timeout=TIMEOUT_SECONDS, piece
     )
     ranged = calls.repartitionByRange(pieces, *keys) if pieces else calls.repartitionByRange(*keys)
     # Range bounds are sampled anew on each run, so the pieces are written down.
-    placed = reliable_checkpoint(ranged.withColumn("piece", F.spark_partition_id()))
-    by_piece = placed.groupBy("component", "piece")
+    placed = reliable_checkpoint(
+        ranged.withColumn("piece", F.spark_partition_id()).sortWithinPartitions(*keys)
+    )
 
-    def summarise_piece(key, pdf):
-        _, times, ok = _arrays(pdf)
-        rows = [(*key, *row) for row in summarise(times, ok, threshold, wait)]
+    def summarise_pieces(batches):
+        """Summaries of one partition, which is one piece and already sorted."""
+        frames = list(batches)
+        if not frames:
+            return
         names = [f.split()[0] for f in SUMMARY_DDL.split(",")]
-        return pd.DataFrame(rows, columns=names).astype({"exit_failure": "Int64"})
+        whole = pd.concat(frames, ignore_index=True)
+        for key, pdf in whole.groupby(["component", "piece"], sort=False, dropna=False):
+            rows = [(*key, *row) for row in summarise(*_arrays(pdf), threshold, wait)]
+            yield pd.DataFrame(rows, columns=names).astype({"exit_failure": "Int64"})
 
-    summaries = by_piece.applyInPandas(summarise_piece, SUMMARY_DDL)
+    summaries = placed.select("component", "piece", "micros", "ok").mapInPandas(
+        summarise_pieces, SUMMARY_DDL
+    )
     entries = (
         summaries.repartition("component")
         .sortWithinPartitions("component", "piece", "entry_mode", "entry_key")
         .mapInPandas(lambda batches: chain(batches, wait), ENTRY_DDL)
     )
 
-    def replay_piece(pdf):
-        pdf, times, ok = _arrays(pdf)
-        first = pdf.iloc[0]
+    def replay_piece(pdf, entry):
+        pdf, first = _sorted(pdf), entry.iloc[0]
         failure = None if pd.isna(first["failure"]) else int(first["failure"])
         modes, counts, refused, _ = replay(
-            times, ok, int(first["mode"]), int(first["count"]), failure, threshold, wait
+            *_arrays(pdf), int(first["mode"]), int(first["count"]), failure, threshold, wait
         )
         return pdf[["component", "micros", "call_id", "ok"]].assign(
             state=STATE_NAMES[modes], failure_count=counts, refused=refused
@@ -241,8 +245,8 @@ def circuit_states(outcomes, threshold=THRESHOLD, timeout=TIMEOUT_SECONDS, piece
         ]
     )
     replayed = (
-        placed.join(entries, ["component", "piece"])
-        .groupBy("component", "piece")
+        placed.groupBy("component", "piece")
+        .cogroup(entries.groupBy("component", "piece"))
         .applyInPandas(replay_piece, schema)
     )
     return replayed.select(

@@ -2,22 +2,16 @@
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-import sys
-
 from echolex.functions import sentiment as S
 from echolex.functions.language import detect_korean, detect_language
 from echolex.functions.text import or_empty, truncate
 from echolex.functions.times import epoch_to_timestamp
 from echolex.operators.skew import HOT_ROWS, lookup_join
 
-# Executors need not have the package installed: worker code travels along.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 LOWERED = "_lowered"
 
 

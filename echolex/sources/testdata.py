@@ -119,7 +119,11 @@ def error_events(spark, sf_dir):
 
 def call_outcomes(spark, sf_dir):
     """`events` as calls of components that succeeded or failed."""
-    return _load(spark, sf_dir, "events").select(
+    return as_outcomes(_load(spark, sf_dir, "events"))
+
+
+def as_outcomes(events):
+    return events.select(
         _component().alias("component"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("event_id").alias("call_id"),

@@ -1,10 +1,7 @@
 """Circuit states over a stream of call outcomes."""
 
-import sys
-
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -18,9 +15,6 @@ from echolex.operators.circuit import (
     wait_micros,
 )
 
-# Executors need not have the package installed: worker code travels along.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 STATE_DDL = "mode int, count long, failure long, seen long"
 
 
