@@ -31,7 +31,11 @@ def lookup_cached(
 
 
 def split_cached(posts, cache, as_of, **options):
-    """(hits, misses): posts with a usable cached result, and the others."""
+    """(hits, misses): posts with a usable cached result, and the others.
+
+    Running both runs the lookup twice; store the result of `lookup_cached`
+    when both sides are needed.
+    """
     found = lookup_cached(posts, cache, as_of, **options)
     hit = F.col("result").isNotNull()
     return found.filter(hit), found.filter(~hit).drop("result")

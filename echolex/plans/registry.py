@@ -30,7 +30,7 @@ ONCE = {"availableNow": True}
 
 
 def _doc(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return testdata.documents(spark, sf_dir)
 
 
 def _scored(spark, sf_dir, **options):
@@ -422,10 +422,8 @@ def cache_key_query(spark, sf_dir):
 def cache_split(spark, sf_dir):
     rows = testdata.posts(spark, sf_dir)
     as_of = cleaning.latest_time(_timed(spark, sf_dir))
-    hits, misses = cache.split_cached(rows, _cache(spark, sf_dir), as_of)
-    return hits.select("id", F.lit(True).alias("hit"), "result.label").unionByName(
-        misses.select("id", F.lit(False).alias("hit"), F.lit(None).cast("string").alias("label"))
-    )
+    found = cache.lookup_cached(rows, _cache(spark, sf_dir), as_of)
+    return found.select("id", F.col("result").isNotNull().alias("hit"), "result.label")
 
 
 def cache_evict(spark, sf_dir):
@@ -547,9 +545,14 @@ def _stream_documents(spark, sf_dir):
     return P.to_messages(testdata.as_posts(rows, text))
 
 
+def _stream_scores(spark, sf_dir):
+    tasks = spark.sparkContext.defaultParallelism
+    return stream.score_messages(_stream_documents(spark, sf_dir), partitions=tasks)
+
+
 def stream_scored(spark, sf_dir):
     base = scratch_path(spark, "stream")
-    scored = stream.score_messages(_stream_documents(spark, sf_dir))
+    scored = _stream_scores(spark, sf_dir)
     stream.start_file_sink(scored, f"{base}/table", f"{base}/checkpoint", ONCE).awaitTermination()
     stored = spark.read.parquet(f"{base}/table")
     return _result(stored, "detected_language", "sentiment_label")
@@ -558,7 +561,7 @@ def stream_scored(spark, sf_dir):
 def stream_idempotent(spark, sf_dir):
     """The batch sink, with a batch written a second time as after a failure."""
     base = scratch_path(spark, "stream")
-    scored = stream.score_messages(_stream_documents(spark, sf_dir))
+    scored = _stream_scores(spark, sf_dir)
     stream.start_batch_sink(scored, f"{base}/table", f"{base}/checkpoint", trigger=ONCE).awaitTermination()
     again = _scored(spark, sf_dir)
     stream.write_scored_batch(again, 0, f"{base}/table")
@@ -568,7 +571,7 @@ def stream_idempotent(spark, sf_dir):
 
 def stream_metrics(spark, sf_dir):
     base = scratch_path(spark, "stream")
-    scored = stream.score_messages(_stream_documents(spark, sf_dir))
+    scored = _stream_scores(spark, sf_dir)
     query = stream.start_file_sink(scored, f"{base}/table", f"{base}/checkpoint", ONCE)
     query.awaitTermination()
     return stream.run_counters(stream.stream_metrics(spark, query))

@@ -14,21 +14,24 @@ def parse_posts(messages, value="value"):
 
     A malformed message gives a row of nulls, which the clean filter drops;
     `split_messages` keeps such messages instead.
+
+    `inline` yields the same columns as selecting `data.*`, but the optimizer
+    cannot push filters below it. After a plain projection each condition of
+    the clean filter would parse the message again.
     """
     decoded = F.from_json(F.col(value).cast("string"), POST_SCHEMA)
-    return messages.select(decoded.alias("data")).select("data.*")
+    return messages.select(F.inline(F.array(decoded)))
 
 
 def split_messages(messages, value="value"):
     """Decode once into (posts, rejects); rejects hold the unreadable text."""
     schema = T.StructType(POST_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
-    decoded = messages.select(
-        F.from_json(
-            F.col(value).cast("string"),
-            schema,
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
-        ).alias("data")
-    ).select("data.*")
+    parsed = F.from_json(
+        F.col(value).cast("string"),
+        schema,
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
+    )
+    decoded = messages.select(F.inline(F.array(parsed)))
     rejects = decoded.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
     return decoded.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), rejects
 

@@ -19,6 +19,21 @@ def read_table(spark, *paths, merge_schema=False):
     return spark.read.option("mergeSchema", merge_schema).parquet(*paths)
 
 
+def spread(df, task_bytes=64 << 20, min_bytes=1 << 20):
+    """Deal a small input over all cores before work that is heavy per row.
+
+    Splits follow files and row groups, so a small table may come as one task.
+    An input of at least `task_bytes` per core fills the cluster by itself and
+    is left alone, without a shuffle; so is one below `min_bytes`.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= cores * task_bytes:
+        return df
+    tasks = min(cores, size // min_bytes)
+    return df.repartition(tasks) if tasks > 1 else df
+
+
 def read_or_empty(spark, path, schema=SCORED_SCHEMA):
     """Read a folder by declared schema; an absent or empty one has no rows.
 

@@ -4,6 +4,8 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from echolex.sources.tables import spread
+
 START_EPOCH = 1704067200  # 2024-01-01 00:00:00 UTC
 LATIN = "abcdefghijklmnopqrstuvwxyz"
 
@@ -28,17 +30,28 @@ def _load(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark, sf_dir):
+    return spread(_load(spark, sf_dir, "documents"))
+
+
 def posts(spark, sf_dir):
     """`documents` as posts, ten minutes apart from 2024 on."""
-    return as_posts(_load(spark, sf_dir, "documents"))
+    return as_posts(documents(spark, sf_dir))
 
 
 def as_posts(documents, text=None):
+    """Documents as posts, with another text when one is given.
+
+    That text is made by `explode`, which filters are not pushed below: it is
+    computed once per row and not once per condition.
+    """
+    if text is not None:
+        documents = documents.select("doc_id", "source", F.explode(F.array(text)).alias("text"))
     doc_id = F.col("doc_id").cast("string")
     return documents.select(
         doc_id.alias("id"),
         F.lit(None).cast("string").alias("title"),
-        (F.col("text") if text is None else text).alias("text"),
+        F.col("text"),
         (F.lit(START_EPOCH) + F.col("doc_id") * 600).cast("double").alias("created_utc"),
         F.col("source").alias("author_name"),
         F.lit("submission").alias("type"),
@@ -61,8 +74,8 @@ def multiscript_text(text, source):
 
 def multiscript_posts(spark, sf_dir):
     """The posts of `posts`, some sources rewritten into other scripts."""
-    documents = _load(spark, sf_dir, "documents")
-    return as_posts(documents, multiscript_text(F.col("text"), F.col("source")))
+    text = multiscript_text(F.col("text"), F.col("source"))
+    return as_posts(documents(spark, sf_dir), text)
 
 
 def conversation_sources(spark, sf_dir):

@@ -35,12 +35,16 @@ def read_messages_stream(spark, fmt="kafka", schema="value string", path=None, *
     return reader.load(path) if path else reader.load()
 
 
-def score_messages(messages, dedup_within=None, **score_options):
+def score_messages(messages, partitions=None, dedup_within=None, **score_options):
     """Messages to scored posts.
 
+    `partitions` deals the messages of a batch over that many tasks first, for
+    sources that deliver a batch in one or a few tasks.
     `dedup_within` (e.g. "1 hour") drops a repeated post id that arrives within
     that time, for sources that may send twice. Off by default.
     """
+    if partitions:
+        messages = messages.repartition(partitions)
     scored = score_posts(parse_posts(messages), **score_options)
     if dedup_within:
         scored = scored.withWatermark("created_at", dedup_within).dropDuplicatesWithinWatermark(["id"])
@@ -51,14 +55,29 @@ def _trigger(writer, trigger):
     return writer.trigger(**(trigger or {"processingTime": TRIGGER}))
 
 
-def start_file_sink(scored, path, checkpoint, trigger=None, compression="snappy"):
+def gather(scored, writers=None):
+    """Bring rows of one day and language together before a partitioned write.
+
+    Without this every task writes a file into every folder. A folder's rows
+    are dealt by post id over `writers` tasks, so one large language is not
+    left to a single task; the default is a sixteenth of the shuffle
+    partitions. Adaptive execution, which would size this by itself, is off in
+    streaming queries.
+    """
+    if writers is None:
+        writers = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16
+    salt = F.pmod(F.xxhash64("id"), F.lit(max(1, writers)))
+    return with_created_date(scored).repartition(*map(F.col, PARTITIONS), salt)
+
+
+def start_file_sink(scored, path, checkpoint, trigger=None, compression="snappy", writers=None):
     """Append scored posts to a partitioned Parquet table, exactly once.
 
     The file sink keeps its own log of committed files in the table folder;
     `checkpoint` must lie outside of it.
     """
     writer = (
-        with_created_date(scored.observe("posts", *observed_counts()))
+        gather(scored.observe("posts", *observed_counts()), writers)
         .writeStream.format("parquet")
         .outputMode("append")
         .partitionBy(*PARTITIONS)
@@ -69,14 +88,14 @@ def start_file_sink(scored, path, checkpoint, trigger=None, compression="snappy"
     return _trigger(writer, trigger).start()
 
 
-def write_scored_batch(batch, batch_id, path, stream="posts", compression="snappy"):
+def write_scored_batch(batch, batch_id, path, stream="posts", compression="snappy", writers=None):
     """Write one micro-batch into its own folder, replacing what is there.
 
     A replayed batch therefore replaces its rows and never doubles them. No
     emptiness test is needed: an empty batch writes no data file.
     """
     (
-        with_created_date(batch)
+        gather(batch, writers)
         .write.mode("overwrite")
         .option("compression", compression)
         .partitionBy(*PARTITIONS)
@@ -84,7 +103,9 @@ def write_scored_batch(batch, batch_id, path, stream="posts", compression="snapp
     )
 
 
-def start_batch_sink(scored, path, checkpoint, stream="posts", trigger=None, compression="snappy"):
+def start_batch_sink(
+    scored, path, checkpoint, stream="posts", trigger=None, compression="snappy", writers=None
+):
     """Write through `write_scored_batch`; failures stop the query, and the
     checkpoint replays the batch.
 
@@ -99,7 +120,9 @@ def start_batch_sink(scored, path, checkpoint, stream="posts", trigger=None, com
         scored.observe("posts", *observed_counts())
         .writeStream.outputMode("append")
         .foreachBatch(
-            lambda batch, batch_id: write_scored_batch(batch, batch_id, path, stream, compression)
+            lambda batch, batch_id: write_scored_batch(
+                batch, batch_id, path, stream, compression, writers
+            )
         )
         .option("checkpointLocation", checkpoint)
     )
