@@ -12,7 +12,7 @@ MAX_ENTRIES = 10_000
 
 def latest_entries(cache):
     """Newest entry per key; entries of equal time are ordered by their result."""
-    order = [F.col("cached_at").desc(), F.to_json("result")]
+    order = [F.col("cached_at").desc(), F.col("result")]
     return top_per_group(cache, ["key"], order, 1, "cached_at")
 
 
@@ -22,10 +22,11 @@ def lookup_cached(
 ):
     """Posts with the cached `result`, null when absent or expired.
 
-    Expired entries are dropped before the join. A text with very many copies
-    is spread over several tasks.
+    Expired entries are dropped first: when the newest entry of a key has
+    expired, so have the older ones. A text with very many copies is spread
+    over several tasks.
     """
-    live = latest_entries(cache).filter(age_under(F.col("cached_at"), as_of, ttl_hours))
+    live = latest_entries(cache.filter(age_under(F.col("cached_at"), as_of, ttl_hours)))
     keyed = posts.withColumn("key", cache_key(F.col(text), source))
     return lookup_join(keyed, live.select("key", "result"), "key", spread, hot_rows=hot_rows)
 

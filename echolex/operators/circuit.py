@@ -146,6 +146,17 @@ def summarise(times, ok, threshold, wait):
     return rows
 
 
+def _text_or_none(value):
+    return None if pd.isna(value) else value
+
+
+def _frame(rows, ddl):
+    """Rows as a frame whose nullable columns keep their nulls."""
+    names = [field.split()[0] for field in ddl.split(",")]
+    nullable = {n: "Int64" for n in names if n.endswith("failure")}
+    return pd.DataFrame(rows, columns=names).astype({"component": object, **nullable})
+
+
 def chain(batches, wait):
     """Start state of every piece, from summaries sorted by component and piece.
 
@@ -156,8 +167,9 @@ def chain(batches, wait):
     for batch in batches:
         out = []
         for row in batch.itertuples(index=False):
-            if row.component != component:
-                component, piece, state = row.component, None, (CLOSED, 0, None)
+            name = _text_or_none(row.component)
+            if name != component:
+                component, piece, state = name, None, (CLOSED, 0, None)
             if row.piece != piece:
                 piece, settled = row.piece, False
                 out.append((component, piece, *state))
@@ -168,9 +180,7 @@ def chain(batches, wait):
                 count = row.exit_count + (state[1] if row.relative else 0)
                 failure = None if pd.isna(row.exit_failure) else int(row.exit_failure)
                 state, settled = (row.exit_mode, count, failure), True
-        yield pd.DataFrame(out, columns=["component", "piece", "mode", "count", "failure"]).astype(
-            {"failure": "Int64"}
-        )
+        yield _frame(out, ENTRY_DDL)
 
 
 def _sorted(pdf):
@@ -208,11 +218,11 @@ def circuit_states(outcomes, threshold=THRESHOLD, timeout=TIMEOUT_SECONDS, piece
         frames = list(batches)
         if not frames:
             return
-        names = [f.split()[0] for f in SUMMARY_DDL.split(",")]
         whole = pd.concat(frames, ignore_index=True)
-        for key, pdf in whole.groupby(["component", "piece"], sort=False, dropna=False):
-            rows = [(*key, *row) for row in summarise(*_arrays(pdf), threshold, wait)]
-            yield pd.DataFrame(rows, columns=names).astype({"exit_failure": "Int64"})
+        for (name, piece), pdf in whole.groupby(["component", "piece"], sort=False, dropna=False):
+            name = _text_or_none(name)
+            exits = summarise(*_arrays(pdf), threshold, wait)
+            yield _frame([(name, piece, *row) for row in exits], SUMMARY_DDL)
 
     summaries = placed.select("component", "piece", "micros", "ok").mapInPandas(
         summarise_pieces, SUMMARY_DDL
@@ -229,8 +239,10 @@ def circuit_states(outcomes, threshold=THRESHOLD, timeout=TIMEOUT_SECONDS, piece
         modes, counts, refused, _ = replay(
             *_arrays(pdf), int(first["mode"]), int(first["count"]), failure, threshold, wait
         )
-        return pdf[["component", "micros", "call_id", "ok"]].assign(
-            state=STATE_NAMES[modes], failure_count=counts, refused=refused
+        return (
+            pdf[["component", "micros", "call_id", "ok"]]
+            .astype({"component": object})
+            .assign(state=STATE_NAMES[modes], failure_count=counts, refused=refused)
         )
 
     schema = T.StructType(

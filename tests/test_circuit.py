@@ -1,0 +1,116 @@
+import random
+from datetime import datetime, timedelta
+
+import pytest
+
+from echolex.operators.circuit import circuit_states, current_states
+from echolex.streaming.circuit import circuit_states_stream
+
+START = datetime(2024, 1, 1)
+DDL = "component string, ts timestamp, call_id long, ok boolean"
+
+
+def walk(calls, threshold, timeout):
+    """The state machine, call by call."""
+    out, machines = {}, {}
+    for component, ts, call_id, ok in sorted(calls, key=lambda c: (str(c[0]), c[1], c[2])):
+        state, count, failed = machines.get(component, ("CLOSED", 0, None))
+        refused = False
+        if state == "OPEN":
+            if int((ts - failed).total_seconds()) > timeout:
+                state = "HALF_OPEN"
+            else:
+                refused = True
+        if not refused:
+            if ok:
+                state, count = ("CLOSED", 0) if state == "HALF_OPEN" else (state, count)
+            else:
+                count, failed = count + 1, ts
+                state = "OPEN" if count >= threshold else state
+        machines[component] = (state, count, failed)
+        out[component, call_id] = (state, count, refused)
+    return out
+
+
+def states_of(df):
+    return {(r["component"], r["call_id"]): (r["state"], r["failure_count"], r["refused"]) for r in df.collect()}
+
+
+def test_hand_made_transitions(spark):
+    steps = [(0, True), (1, False), (2, True), (3, False), (10, True), (63, True), (64, False), (130, True)]
+    calls = [("a", START + timedelta(seconds=s), i, ok) for i, (s, ok) in enumerate(steps)]
+    got = states_of(circuit_states(spark.createDataFrame(calls, DDL), threshold=2, timeout=60, pieces=3))
+    assert [got["a", i] for i in range(8)] == [
+        ("CLOSED", 0, False),
+        ("CLOSED", 1, False),
+        ("CLOSED", 1, False),
+        ("OPEN", 2, False),
+        ("OPEN", 2, True),
+        ("OPEN", 2, True),
+        ("OPEN", 3, False),
+        ("CLOSED", 0, False),
+    ]
+
+
+def random_calls(seed, n, hot_share=0.5, span=4000):
+    pick = random.Random(seed)
+    calls = []
+    for i in range(n):
+        component = "hot" if pick.random() < hot_share else f"c{pick.randrange(5)}"
+        # Coarse times: many calls fall on the same instant.
+        ts = START + timedelta(milliseconds=500 * pick.randrange(span))
+        calls.append((component, ts, i, pick.random() < 0.6))
+    return calls
+
+
+@pytest.mark.parametrize(
+    "seed,threshold,timeout,pieces", [(1, 5, 60, 1), (2, 2, 7, 9), (3, 1, 0, 13), (4, 3, 300, 16), (5, 4, 45, 40)]
+)
+def test_pieces_agree_with_a_plain_walk(spark, seed, threshold, timeout, pieces):
+    calls = random_calls(seed, 1500)
+    df = spark.createDataFrame(calls, DDL)
+    got = states_of(circuit_states(df, threshold, timeout, pieces))
+    assert got == walk(calls, threshold, timeout)
+
+
+def test_one_component_null_component_and_missing_values(spark):
+    calls = random_calls(9, 400, hot_share=1.0) + [(None, START, 1000, False), (None, START, 1001, False)]
+    extra = [("hot", None, 2000, True), ("hot", START + timedelta(days=2), 2001, None)]
+    got = states_of(circuit_states(spark.createDataFrame(calls + extra, DDL), 2, 60, pieces=6))
+    expected = walk(calls + [("hot", START + timedelta(days=2), 2001, False)], 2, 60)
+    assert got == expected
+
+
+def test_current_states(spark):
+    calls = random_calls(11, 300)
+    states = circuit_states(spark.createDataFrame(calls, DDL), 3, 60, pieces=5)
+    last = {}
+    for (component, call_id), value in walk(calls, 3, 60).items():
+        ts = next(c[1] for c in calls if c[2] == call_id)
+        last[component] = max(last.get(component, (datetime.min, -1, "")), (ts, call_id, value[0]))
+    assert {r["component"]: r["state"] for r in current_states(states).collect()} == {c: v[2] for c, v in last.items()}
+
+
+def test_stream_keeps_state_across_batches(spark, tmp_path):
+    calls = sorted(random_calls(21, 600), key=lambda c: (c[1], c[2]))
+    late = ("hot", START - timedelta(hours=1), 9999, False)
+    parts = [calls[:200], calls[200:400], calls[400:] + [late]]
+    for n, part in enumerate(parts):
+        spark.createDataFrame(part, DDL).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in/{n}")
+    stream = (
+        spark.readStream.schema(DDL).option("maxFilesPerTrigger", 1).option("latestFirst", "false")
+        .parquet(f"{tmp_path}/in/*")
+    )
+    query = (
+        circuit_states_stream(stream, 3, 60)
+        .writeStream.format("parquet")
+        .option("path", f"{tmp_path}/out")
+        .option("checkpointLocation", f"{tmp_path}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert len({p.batchId for p in query.recentProgress if p.numInputRows}) == 3
+    assert states_of(out.filter("not late")) == walk(calls, 3, 60)
+    assert [r["call_id"] for r in out.filter("late").collect()] == [9999]
