@@ -76,56 +76,57 @@ def replay(times, ok, mode, count, failure, threshold, wait):
     return modes, counts, refused, (mode, count, failure)
 
 
-def _probe_exits(times, ok, threshold, wait):
-    """Exit state for each call that can be the first one let through.
-
-    An open circuit enters with a failure before the first call, so the first
-    call let through lies within `wait` of it. An exit is (mode, count,
-    relative, failure); a relative count is added to the count on entry.
+def _exits(times, ok, threshold, wait):
+    """Exit states of one sorted piece, by where its circuit stands on entry.
+
+    Returns (closed, probes): the exit per count of a CLOSED entry, and per
+    call that can be the first one an OPEN entry lets through. An open circuit
+    comes in with a failure before the first call, so that call lies within
+    `wait` of the first. An exit is (mode, count, relative, failure); a relative
+    count is added to the count on entry. Paths that meet are followed once.
     """
     n = len(times)
     failures = np.flatnonzero(~ok)
     known = {}
 
-    def after_open(opened_at):
-        probe = int(np.searchsorted(times, times[opened_at] + wait))
-        return max(probe, opened_at + 1)
-
-    def follow(probe):
-        """Next probe and count change after one probe, or its final exit."""
-        if not ok[probe]:
-            following = after_open(probe)
-            if following == n:
-                return None, (OPEN, 1, True, int(times[probe]))
-            return following, 1
-        first = int(np.searchsorted(failures, probe + 1))
-        last = first + threshold - 1
-        if last >= len(failures):
-            return None, (CLOSED, len(failures) - first, False, None)
-        following = after_open(int(failures[last]))
-        if following == n:
-            return None, (OPEN, threshold, False, int(times[failures[last]]))
-        return following, None
+    def opened(at, count):
+        """The next probe after opening at a call, or the exit if there is none."""
+        probe = max(int(np.searchsorted(times, times[at] + wait)), at + 1)
+        return (probe, None) if probe < n else (None, (OPEN, *count, int(times[at])))
 
-    reach = min(n - 1, int(np.searchsorted(times, times[0] + wait)))
-    for start in range(reach + 1):
+    def closed(at, count):
+        """The same for a circuit that is closed with a count before a call."""
+        first = int(np.searchsorted(failures, at))
+        last = first + threshold - count - 1
+        if last < len(failures):
+            return opened(int(failures[last]), (threshold, False))
+        return None, (CLOSED, count + len(failures) - first, False, None)
+
+    def resolve(start):
         path, probe = [], start
         while probe not in known:
-            following, step = follow(probe)
+            following, final = closed(probe + 1, 0) if ok[probe] else opened(probe, (1, True))
             if following is None:
-                known[probe] = step
+                known[probe] = final
                 break
-            path.append((probe, step))
+            path.append(probe)
             probe = following
-        for earlier, step in reversed(path):
-            mode, count, relative, failure = known[probe]
-            if relative:
-                added = count + (threshold if step is None else step)
-                known[earlier] = (mode, added, step is not None, failure)
-            else:
-                known[earlier] = known[probe]
+        for earlier in reversed(path):
+            known[earlier] = add(known[probe], 1, True) if not ok[earlier] else add(known[probe], threshold, False)
             probe = earlier
-    return [known[j] for j in range(reach + 1)]
+        return known[start]
+
+    def add(leaves, count, relative):
+        """An exit seen from a state that comes in with a known or relative count."""
+        mode, exit_count, is_relative, failure = leaves
+        return (mode, exit_count + count, relative, failure) if is_relative else leaves
+
+    by_count = []
+    for count in range(threshold):
+        probe, final = closed(0, count)
+        by_count.append(final if probe is None else add(resolve(probe), threshold, False))
+    reach = min(n - 1, int(np.searchsorted(times, times[0] + wait)))
+    return by_count, [resolve(j) for j in range(reach + 1)]
 
 
 def summarise(times, ok, threshold, wait):
@@ -135,13 +136,10 @@ def summarise(times, ok, threshold, wait):
     before `entry_key` takes the first such row; with no such row the piece
     refuses every call and leaves the state as it was.
     """
-    rows = []
-    for count in range(threshold):
-        mode, exit_count, failure = replay(times, ok, CLOSED, count, None, threshold, wait)[3]
-        rows.append((CLOSED, count, mode, int(exit_count), False, failure))
-    exits = _probe_exits(times, ok, threshold, wait)
-    for j, leaves in enumerate(exits):
-        if j + 1 == len(exits) or exits[j + 1] != leaves:
+    by_count, probes = _exits(times, ok, threshold, wait)
+    rows = [(CLOSED, count, *leaves) for count, leaves in enumerate(by_count)]
+    for j, leaves in enumerate(probes):
+        if j + 1 == len(probes) or probes[j + 1] != leaves:
             rows.append((OPEN, int(times[j]), *leaves))
     return rows
 
