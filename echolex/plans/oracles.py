@@ -386,18 +386,18 @@ ORACLES = {
     "freshness": f"""{WITH_POSTS}, t AS (SELECT max(created_at) AS as_of FROM posts)
         SELECT count(*) AS n, count(*) > 0 AS ok FROM posts, t WHERE created_at >= t.as_of - INTERVAL 1 HOUR""",
     "ensure_timestamp": """SELECT event_id,
-            CASE WHEN event_type <> 'view' THEN CAST(floor(epoch(ts)) AS BIGINT) END AS seconds
+            CASE WHEN event_type <> 'view' THEN CAST(floor(epoch(ts)) AS BIGINT) ELSE -1 END AS seconds
         FROM events""",
     "union_posts": """SELECT conv_id || '_' || turn AS id,
             CAST(1704067200 + conv_id * 3600 + turn * 60 AS DOUBLE) AS created_utc, role AS author_name,
             CASE WHEN turn = 0 THEN 'submission' ELSE 'comment' END AS type,
             conv_id || '_0' AS submission_id,
-            CASE WHEN turn > 0 THEN conv_id || '_' || (turn - 1) END AS parent_id, md5(text) AS digest
+            CASE WHEN turn > 0 THEN conv_id || '_' || (turn - 1) ELSE '-' END AS parent_id, md5(text) AS digest
         FROM conversations WHERE text IS NOT NULL AND regexp_matches(text, '\\S')""",
     "blank_filter": "SELECT conv_id, turn FROM conversations WHERE length(text) > 100",
     "json_roundtrip": f"""{WITH_MULTI}
-        SELECT id, CAST(NULL AS VARCHAR) AS title, CAST(1704067200 + doc_id * 600 AS DOUBLE) AS created_utc,
-            author_name, 'submission' AS type, CAST(NULL AS VARCHAR) AS parent_id, md5(text) AS digest
+        SELECT id, '-' AS title, CAST(1704067200 + doc_id * 600 AS DOUBLE) AS created_utc,
+            author_name, 'submission' AS type, '-' AS parent_id, md5(text) AS digest
         FROM multi""",
     "json_rejects": """SELECT CASE source WHEN 'src3' THEN '(rejected)' ELSE source END AS author_name, count(*) AS n
         FROM documents GROUP BY 1""",
@@ -410,7 +410,7 @@ ORACLES = {
     "cache_key": "SELECT CAST(doc_id AS VARCHAR) AS id, md5(text || ':local') AS key FROM documents",
     "cache_split": f"""{WITH_POSTS}, {CACHE}, t AS (SELECT max(created_at) AS as_of FROM posts),
         fresh AS (SELECT * FROM live, t WHERE as_of - cached_at < INTERVAL 24 HOUR)
-        SELECT id, f.key IS NOT NULL AS hit, f.label
+        SELECT id, f.key IS NOT NULL AS hit, coalesce(f.label, '-') AS label
         FROM posts LEFT JOIN fresh f ON f.key = md5(text || ':local')""",
     "cache_evict": f"""{WITH_POSTS}, {CACHE}
         SELECT key, label, {_shown('cached_at')} AS cached_at FROM live
@@ -428,7 +428,7 @@ ORACLES = {
     "error_breakdown": f"""{WITH_ERRORS}
         SELECT 'component' AS dimension, component AS value, count(*) AS n FROM errors GROUP BY component
         UNION ALL SELECT 'severity', severity, count(*) FROM errors GROUP BY severity
-        UNION ALL SELECT 'total', NULL, count(*) FROM errors""",
+        UNION ALL SELECT 'total', '-', count(*) FROM errors""",
     "error_statistics": f"""{WITH_CIRCUIT}, {ERRORS},
         recent AS (SELECT * FROM errors WHERE ts > (SELECT max(ts) FROM errors) - INTERVAL 168 HOUR),
         last AS (SELECT component, arg_max(state, rn) AS n FROM states GROUP BY component)
@@ -443,7 +443,7 @@ ORACLES = {
         FROM errors""",
     "fallback_rule": f"""{WITH_ERRORS}
         SELECT event_id, CASE error_type WHEN 'TimeoutError' THEN 'keyword_scoring'
-            WHEN 'HTTPError' THEN 'local_processing' WHEN 'SparkError' THEN 'cached_data' END AS fallback
+            WHEN 'HTTPError' THEN 'local_processing' WHEN 'SparkError' THEN 'cached_data' ELSE '-' END AS fallback
         FROM errors""",
     "alerts": f"""{WITH_ERRORS}
         SELECT event_id, severity, 'ALERT: ' || severity || ' error in ' || component AS alert

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from echolex.functions import language as L
-from echolex.functions import recovery, replies, times
+from echolex.functions import replies, times
 from echolex.functions import sentiment as S
 from echolex.functions.text import cache_key, mask_sensitive, truncate
 from echolex.operators import (
@@ -45,6 +45,11 @@ def _shown(ts):
     return F.date_format(ts, TIME)
 
 
+def _or_dash(name):
+    """Nulls shown as a dash, so that both engines hand out the same value."""
+    return F.coalesce(name, F.lit("-")).alias(name)
+
+
 def _result(df, *columns):
     """Scored rows reduced to what is compared."""
     return df.select("id", _shown("created_at").alias("created_at"), *columns)
@@ -329,7 +334,8 @@ def ensure_timestamp(spark, sf_dir):
     text = F.when(F.col("event_type") == "view", "soon").otherwise(_shown("ts"))
     rows = _events(spark, sf_dir).select("event_id", text.alias("created_at"))
     repaired = cleaning.ensure_timestamp(rows)
-    return repaired.select("event_id", F.unix_seconds("created_at").alias("seconds"))
+    seconds = F.coalesce(F.unix_seconds("created_at"), F.lit(-1))
+    return repaired.select("event_id", seconds.alias("seconds"))
 
 
 # --- ingest, storage, quality -------------------------------------------------
@@ -343,7 +349,7 @@ def union_posts(spark, sf_dir):
         "author_name",
         "type",
         "submission_id",
-        "parent_id",
+        _or_dash("parent_id"),
         F.md5("text").alias("digest"),
     )
 
@@ -357,7 +363,15 @@ def blank_filter(spark, sf_dir):
 
 def json_roundtrip(spark, sf_dir):
     rows = P.parse_posts(P.to_messages(testdata.multiscript_posts(spark, sf_dir)))
-    return rows.select("id", "title", "created_utc", "author_name", "type", "parent_id", F.md5("text").alias("digest"))
+    return rows.select(
+        "id",
+        _or_dash("title"),
+        "created_utc",
+        "author_name",
+        "type",
+        _or_dash("parent_id"),
+        F.md5("text").alias("digest"),
+    )
 
 
 def _messages_with_errors(spark, sf_dir):
@@ -423,7 +437,8 @@ def cache_split(spark, sf_dir):
     rows = testdata.posts(spark, sf_dir)
     as_of = cleaning.latest_time(_timed(spark, sf_dir))
     found = cache.lookup_cached(rows, _cache(spark, sf_dir), as_of)
-    return found.select("id", F.col("result").isNotNull().alias("hit"), "result.label")
+    hits = found.select("id", F.col("result").isNotNull().alias("hit"), "result.label")
+    return hits.withColumn("label", _or_dash("label"))
 
 
 def cache_evict(spark, sf_dir):
@@ -467,7 +482,8 @@ def recovery_rate(spark, sf_dir):
 
 
 def error_breakdown(spark, sf_dir):
-    return errors.error_breakdown(_errors(spark, sf_dir))
+    rows = errors.error_breakdown(_errors(spark, sf_dir))
+    return rows.select("dimension", _or_dash("value"), "n")
 
 
 def _entries(name):
@@ -507,7 +523,8 @@ def fallback_rule(spark, sf_dir):
         .otherwise("")
     )
     rows = _errors(spark, sf_dir).withColumn("component", F.concat(name, F.col("component")))
-    return rows.select("event_id", recovery.fallback_rule(F.col("component")).alias("fallback"))
+    rows = errors.with_fallback(rows)
+    return rows.select("event_id", _or_dash("fallback"))
 
 
 def alerts(spark, sf_dir):

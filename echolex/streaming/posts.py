@@ -132,6 +132,8 @@ def start_batch_sink(
 METRICS_SCHEMA = T.StructType(
     [
         T.StructField("batch_id", T.LongType()),
+        T.StructField("started_at", T.StringType()),
+        T.StructField("seconds", T.DoubleType()),
         T.StructField("input_rows", T.LongType()),
         T.StructField("input_rows_per_second", T.DoubleType()),
         T.StructField("processed_rows_per_second", T.DoubleType()),
@@ -148,6 +150,8 @@ def _metric_row(progress):
     counts = observed.asDict() if observed is not None else {}
     return (
         progress.batchId,
+        progress.timestamp,
+        progress.durationMs.get("triggerExecution", 0) / 1000.0,
         progress.numInputRows,
         progress.inputRowsPerSecond,
         progress.processedRowsPerSecond,
