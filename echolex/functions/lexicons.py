@@ -72,9 +72,11 @@ STOPWORDS = (
 
 # First match in this order names the marker.
 SENSITIVE_TERMS = ("password", "secret", "key", "token", "credential")
+SENSITIVE_MARKER = "[로그에 민감한 정보 포함됨 - %s]"
 
 SEVERITIES = ("LOW", "MEDIUM", "HIGH", "CRITICAL")
 ALERT_SEVERITIES = ("HIGH", "CRITICAL")
+ALERT_FORMAT = "🚨 ALERT: %s error in %s"
 
 RECOVERY_STRATEGIES = {
     "ConnectionError": "RETRY",

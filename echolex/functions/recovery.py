@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from echolex.functions.lexicons import DEFAULT_STRATEGY, RECOVERY_STRATEGIES
+from echolex.functions.lexicons import ALERT_FORMAT, DEFAULT_STRATEGY, RECOVERY_STRATEGIES
 
 
 def recovery_strategy(error_type):
@@ -33,4 +33,4 @@ def fallback_rule(component):
 
 
 def alert_text(severity, component):
-    return F.concat(F.lit("ALERT: "), severity, F.lit(" error in "), component)
+    return F.format_string(ALERT_FORMAT, severity, component)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from echolex.functions.lexicons import SENSITIVE_TERMS
+from echolex.functions.lexicons import SENSITIVE_MARKER, SENSITIVE_TERMS
 
 # Unicode white space, once as characters and once as a regex class. Java's
 # bare \s is ASCII only, so every pattern here spells the class out.
@@ -65,7 +65,7 @@ def cache_key(text, source="local"):
     return F.md5(F.concat(text, F.lit(":"), source))
 
 
-def mask_sensitive(message, marker="[masked: contains %s]"):
+def mask_sensitive(message, marker=SENSITIVE_MARKER):
     """Replace a whole message that mentions a sensitive term by a marker."""
     lowered = F.lower(message)
     masked = F

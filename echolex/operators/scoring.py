@@ -50,6 +50,11 @@ def with_label(df, scorer="tokens", text="text", max_chars=None, model=None):
     return df.withColumn("sentiment_label", label).drop(LOWERED, "_model_label")
 
 
+def label_texts(df, text="text", **options):
+    """Language and label of a frame that holds texts only."""
+    return with_label(with_language(df, text), text=text, **options)
+
+
 def with_sentiment(df, text="text", language="detected_language"):
     """Add the full `sentiment` struct of the token scorer."""
     df = df.withColumn(LOWERED, F.lower(or_empty(F.col(text))))
@@ -86,18 +91,19 @@ def model_scorer(factory, batch_size=64):
     return predict_batch_udf(make_predict, return_type=T.StringType(), batch_size=batch_size)
 
 
-def score_distinct(posts, scorer, text="text", spread="id", hot_rows=HOT_ROWS):
+def score_distinct(posts, score, text="text", spread="id", hot_rows=HOT_ROWS):
     """Score each distinct text once and join the labels back.
 
     For scorers that cost more than a shuffle of the text. Copies are combined
     before the shuffle; the join back is keyed by a digest, and the rows of
-    much-copied texts are spread over several tasks. `scorer` is a function
-    from a text column to a label column. Null texts share one key.
+    much-copied texts are spread over several tasks. `score` is a function that
+    adds `sentiment_label` to a frame with the text column, such as
+    `label_texts`. Null texts share one key.
     """
     key = F.coalesce(F.sha2(F.col(text), 256), F.lit("null"))
     keyed = posts.withColumn("text_key", key)
     copies = keyed.groupBy("text_key", text).agg(F.count(F.lit(1)).alias("n"))
-    labels = copies.select("text_key", scorer(F.col(text)).alias("sentiment_label"))
+    labels = score(copies.select("text_key", text)).select("text_key", "sentiment_label")
     joined = lookup_join(
         keyed, labels, "text_key", spread, counts=copies.select("text_key", "n"), hot_rows=hot_rows
     )

@@ -246,7 +246,7 @@ CACHE = f"""live AS (
 MASK = (
     "CASE "
     + " ".join(
-        f"WHEN contains(lower(text), '{t}') THEN '[masked: contains {t}]'" for t in W.SENSITIVE_TERMS
+        f"WHEN contains(lower(text), '{t}') THEN '[로그에 민감한 정보 포함됨 - {t}]'" for t in W.SENSITIVE_TERMS
     )
     + " ELSE md5(text) END"
 )
@@ -446,7 +446,7 @@ ORACLES = {
             WHEN 'HTTPError' THEN 'local_processing' WHEN 'SparkError' THEN 'cached_data' ELSE '-' END AS fallback
         FROM errors""",
     "alerts": f"""{WITH_ERRORS}
-        SELECT event_id, severity, 'ALERT: ' || severity || ' error in ' || component AS alert
+        SELECT event_id, severity, '🚨 ALERT: ' || severity || ' error in ' || component AS alert
         FROM errors WHERE severity IN ('HIGH', 'CRITICAL')""",
     "mask_sensitive": f"SELECT doc_id, {MASK} AS shown FROM documents",
     "circuit_states": f"""{WITH_CIRCUIT}

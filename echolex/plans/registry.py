@@ -183,7 +183,7 @@ def model_score(spark, sf_dir):
 
 def score_distinct(spark, sf_dir):
     rows = testdata.posts(spark, sf_dir)
-    labelled = scoring.score_distinct(rows, lambda t: S.token_label(t))
+    labelled = scoring.score_distinct(rows, scoring.label_texts)
     return labelled.select("id", "sentiment_label")
 
 

@@ -129,7 +129,7 @@ def test_error_statistics(spark):
 
 def test_alerts_and_rate(spark):
     assert {r["alert"] for r in errors.alerts(error_rows(spark)).collect()} == {
-        "ALERT: HIGH error in api", "ALERT: CRITICAL error in db",
+        "🚨 ALERT: HIGH error in api", "🚨 ALERT: CRITICAL error in db",
     }
     assert errors.recovery_rate(error_rows(spark)).first()["recovery_success_rate"] > 66
     assert errors.recovery_rate(error_rows(spark).limit(0)).first()["recovery_success_rate"] == 0.0

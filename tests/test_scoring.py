@@ -5,7 +5,6 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from echolex.functions import sentiment as S
 from echolex.functions.text import cache_key
 from echolex.operators import cache, ranking, scoring
 from echolex.operators.skew import hot_keys, lookup_join, top_per_group
@@ -57,7 +56,7 @@ def test_score_distinct_keeps_every_row(spark):
     texts = ["good copy"] * 300 + [pick.choice(["bad one", "so so", None]) for _ in range(100)]
     rows = posts(spark, texts)
     for hot_rows in (10, 1000):
-        got = labels(scoring.score_distinct(rows, lambda t: S.token_label(t), hot_rows=hot_rows))
+        got = labels(scoring.score_distinct(rows, scoring.label_texts, hot_rows=hot_rows))
         expected = {"good copy": "POSITIVE", "bad one": "NEGATIVE", "so so": "NEUTRAL", None: "NEUTRAL"}
         assert got == {str(i): expected[t] for i, t in enumerate(texts)}
 

@@ -43,8 +43,8 @@ def test_cache_key(column_of):
 def test_mask_names_first_term(column_of):
     values = ["The TOKEN and the password", "api Key", "nothing", None]
     assert column_of(values, X.mask_sensitive(TEXT)) == [
-        "[masked: contains password]",
-        "[masked: contains key]",
+        "[로그에 민감한 정보 포함됨 - password]",
+        "[로그에 민감한 정보 포함됨 - key]",
         "nothing",
         None,
     ]
