@@ -53,13 +53,14 @@ def replay(times, ok, mode, count, failure, threshold, wait):
     while at < n:
         if mode == CLOSED:
             first = np.searchsorted(failures, at)
-            last = first + threshold - count - 1
+            needed = max(1, threshold - count)
+            last = first + needed - 1
             stop = failures[last] if last < len(failures) else n
             counts[at:stop] = count + np.cumsum(~ok[at:stop])
             if stop == n:
                 count += len(failures) - first
                 break
-            mode, count, failure = OPEN, threshold, times[stop]
+            mode, count, failure = OPEN, count + needed, times[stop]
             modes[stop], counts[stop] = mode, count
             at = stop + 1
         else:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from echolex.functions.lexicons import ALERT_SEVERITIES, DEFAULT_STRATEGY
 from echolex.functions.recovery import alert_text, fallback_rule, recovery_strategy
 from echolex.functions.times import cutoff
+from echolex.operators.skew import lookup_join
 
 
 def recent_errors(errors, as_of, hours=24):
@@ -92,15 +93,16 @@ def error_statistics(errors, as_of, hours=24, states=None):
     )
 
 
-def with_strategy(errors, strategies=None):
+def with_strategy(errors, strategies=None, spread="timestamp"):
     """Add the recovery strategy of each event.
 
     `strategies` (error_type, strategy) replaces the built-in table; types it
-    does not list are MANUAL.
+    does not list are MANUAL. Events of a very frequent type are dealt over
+    several tasks by the hash of `spread`.
     """
     if strategies is None:
         return errors.withColumn("strategy", recovery_strategy(F.col("error_type")))
-    joined = errors.join(strategies, "error_type", "left")
+    joined = lookup_join(errors, strategies, "error_type", spread)
     return joined.withColumn("strategy", F.coalesce("strategy", F.lit(DEFAULT_STRATEGY)))
 
 

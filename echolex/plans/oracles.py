@@ -280,8 +280,6 @@ QUALITY = " UNION ALL ".join(
     ]
 )
 
-MODEL_STARS = STARS.format("(length(trim(text)) % 5 + 1) || '_STARS'")
-
 ORACLES = {
     "label_distribution": f"""{WITH_POSTS}
         SELECT {_versus(_token_hits(W.ENGLISH_POSITIVE), _token_hits(W.ENGLISH_NEGATIVE))} AS sentiment_label,

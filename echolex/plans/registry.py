@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from echolex.functions import language as L
 from echolex.functions import replies, times
 from echolex.functions import sentiment as S
 from echolex.functions.text import cache_key, mask_sensitive, truncate

@@ -88,5 +88,6 @@ def test_recovery_rules(column_of, spark):
         "keyword_scoring", "local_processing", "cached_data", None, None,
     ]
     own = spark.createDataFrame([("KeyError", "RETRY")], "error_type string, strategy string")
-    errors = spark.createDataFrame([("KeyError",), ("TimeoutError",)], "error_type string")
-    assert sorted(r["strategy"] for r in with_strategy(errors, own).collect()) == ["MANUAL", "RETRY"]
+    errors = spark.createDataFrame([("KeyError", 1), ("TimeoutError", 2)], "error_type string, n int")
+    got = with_strategy(errors, own, spread="n").collect()
+    assert {r["n"]: r["strategy"] for r in got} == {1: "RETRY", 2: "MANUAL"}
