@@ -94,3 +94,10 @@ def test_adapters_keep_every_row(spark, sf_dir, name):
     n = spark.read.parquet(f"{sf_dir}/{name}.parquet").count()
     build = {"documents": testdata.multiscript_posts, "events": testdata.error_events}[name]
     assert build(spark, sf_dir).count() == n
+
+
+def test_write_messages_to_a_file_sink(spark, sf_dir, tmp_path):
+    rows = testdata.posts(spark, sf_dir)
+    P.write_messages(rows, fmt="text", path=f"{tmp_path}/messages")
+    back = P.parse_posts(spark.read.text(f"{tmp_path}/messages"))
+    assert back.exceptAll(rows.select(back.columns)).isEmpty() and back.count() == rows.count()
