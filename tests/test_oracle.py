@@ -4,6 +4,7 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
+from echolex.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,14 +13,14 @@ def con(sf_dir):
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
     assert set(entry.entry(spark).columns) == {"sentiment_label", "n"}
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, sf_dir, con, name):
     got, expected, types, expected_types = oracle.compare(
         entry.queries()[name](spark, sf_dir), con, entry.oracle_sql()[name]
