@@ -2,10 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from echolex.llm import sharding
+from echolex.llm import packing, sharding, tokens
 from echolex.session import ensure_checkpoint_dir
 
 SHARDS = 24
+SEQUENCE_TOKENS = 2048
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def _table(spark, sf_dir, name):
@@ -13,6 +15,22 @@ def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name):
+    """Place of an installed public tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op9_sum_of_squares_packing(spark, sf_dir):
+    """Token pieces of all documents in sequences of 2048."""
+    pieces = tokens.encode_pieces(
+        _table(spark, sf_dir, "documents"), tokenizer_path(WORD_TOKENIZER), SEQUENCE_TOKENS
+    )
+    slim = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(slim, SEQUENCE_TOKENS)
+
+
 def op10_best_fit_shards(spark, sf_dir):
     """Equal texts together, 24 shards of near-equal bytes."""
     rows = sharding.assign_shards(_table(spark, sf_dir, "documents"), SHARDS)
@@ -27,5 +45,8 @@ def op10_best_fit_shards(spark, sf_dir):
     )
 
 
-QUERIES = {"op10_best_fit_shards": op10_best_fit_shards}
+QUERIES = {
+    "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
+    "op10_best_fit_shards": op10_best_fit_shards,
+}
 ORACLES = {}
