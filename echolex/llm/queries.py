@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from echolex.llm import packing, sharding, tokens
+from echolex.llm import packing, quality, sharding, tokens
 from echolex.session import ensure_checkpoint_dir
 
 SHARDS = 24
@@ -22,6 +22,13 @@ def tokenizer_path(name):
     return public_tokenizers.path(name)
 
 
+def op8_ngram_perplexity(spark, sf_dir):
+    """Base statistics of every document and its place in the bands of its language."""
+    rows = quality.judge(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    base = [F.col(f"_scores.{n}").alias(n) for n in quality.SCORES]
+    return rows.select("doc_id", *base, "base_failed", "kept", "_lower", "_upper")
+
+
 def op9_sum_of_squares_packing(spark, sf_dir):
     """Token pieces of all documents in sequences of 2048."""
     pieces = tokens.encode_pieces(
@@ -46,6 +53,7 @@ def op10_best_fit_shards(spark, sf_dir):
 
 
 QUERIES = {
+    "op8_ngram_perplexity": op8_ngram_perplexity,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_best_fit_shards": op10_best_fit_shards,
 }
