@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from echolex.llm import packing, quality, sharding, tokens
+from echolex.llm import near_dups, packing, quality, sharding, tokens
 from echolex.session import ensure_checkpoint_dir
 
 SHARDS = 24
@@ -22,6 +22,11 @@ def tokenizer_path(name):
     return public_tokenizers.path(name)
 
 
+def op6_prob_minhash(spark, sf_dir):
+    """Class of every document by five-word shingles at similarity 0.8."""
+    return near_dups.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_perplexity(spark, sf_dir):
     """Base statistics of every document and its place in the bands of its language."""
     rows = quality.judge(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
@@ -53,6 +58,7 @@ def op10_best_fit_shards(spark, sf_dir):
 
 
 QUERIES = {
+    "op6_prob_minhash": op6_prob_minhash,
     "op8_ngram_perplexity": op8_ngram_perplexity,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_best_fit_shards": op10_best_fit_shards,

@@ -143,9 +143,13 @@ def windows(hashes, words, size, short=False):
 
 
 def _run(hashes, size):
-    value = np.uint64(size - len(hashes))
-    with np.errstate(over="ignore"):
-        for h in hashes:
-            value = (value ^ h) * ROLL
-            value ^= value >> np.uint64(29)
-    return mix(value)
+    value = np.full(1, size - len(hashes), np.uint64)
+    for h in hashes:
+        value = (value ^ h) * ROLL
+        value ^= value >> np.uint64(29)
+    return mix(value)[0]
+
+
+def stream_code(k):
+    """The k-th of a row of well-spread 64-bit numbers."""
+    return np.uint64(k * int(ROLL) % (1 << 64))
