@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from echolex.llm import near_dups, packing, quality, sharding, tokens
+from echolex.llm import near_dups, packing, quality, sharding, substrings, tokens
 from echolex.session import ensure_checkpoint_dir
 
 SHARDS = 24
@@ -22,6 +22,18 @@ def tokenizer_path(name):
     return public_tokenizers.path(name)
 
 
+def op4_content_chunks(spark, sf_dir):
+    """Every document without the passages that an earlier one has."""
+    rows = substrings.dedup_substrings(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select(
+        "doc_id",
+        F.col("_removed.words").alias("removed_words"),
+        F.col("_removed.spans").alias("spans"),
+        F.crc32("text").alias("text_crc32"),
+        "text",
+    )
+
+
 def op6_prob_minhash(spark, sf_dir):
     """Class of every document by five-word shingles at similarity 0.8."""
     return near_dups.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -58,6 +70,7 @@ def op10_best_fit_shards(spark, sf_dir):
 
 
 QUERIES = {
+    "op4_content_chunks": op4_content_chunks,
     "op6_prob_minhash": op6_prob_minhash,
     "op8_ngram_perplexity": op8_ngram_perplexity,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
