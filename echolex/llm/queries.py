@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from echolex.llm import near_dups, packing, quality, sharding, substrings, tokens
+from echolex.llm import mixing, near_dups, packing, quality, sharding, substrings, tokens
 from echolex.session import ensure_checkpoint_dir
 
 SHARDS = 24
@@ -22,6 +22,83 @@ def tokenizer_path(name):
     return public_tokenizers.path(name)
 
 
+DOMAINS = 4
+DOMAIN_WEIGHTS = (0.4, 0.3, 0.2, 0.1)
+LANGUAGE_WEIGHTS = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.6, 2, 17
+
+
+def with_domain(docs):
+    """Sources are dealt to a few domains by the number in their name."""
+    number = F.regexp_extract("source", r"(\d+)$", 1)
+    domain = F.when(number != "", F.concat(F.lit("domain"), F.pmod(number.cast("long"), F.lit(DOMAINS))))
+    return docs.withColumn("domain", domain)
+
+
+def mix_weights(spark):
+    """Weights of the domains, and of the languages in each; sources share alike."""
+    domains = [(f"domain{i}", w) for i, w in enumerate(DOMAIN_WEIGHTS)]
+    languages = [(d, lang, w) for d, _ in domains for lang, w in LANGUAGE_WEIGHTS.items()]
+    return {
+        "domain": spark.createDataFrame(domains, "domain string, weight double"),
+        "lang": spark.createDataFrame(languages, "domain string, lang string, weight double"),
+    }
+
+
+def op3_hierarchical_mix(spark, sf_dir):
+    """How often each document is taken for six tenths of all tokens."""
+    docs = with_domain(_table(spark, sf_dir, "documents"))
+    return mixing.mix(docs, MIX_SHARE, mix_weights(spark), MIX_EPOCHS, MIX_SEED)
+
+
+_SHARES = """
+{name}_f AS (SELECT *, cap / w AS full_at FROM {name}_n WHERE w > 0),
+{name}_l AS (SELECT *, (amount - coalesce(sum(cap) OVER (PARTITION BY {parent} ORDER BY full_at, {key}
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(w) OVER (PARTITION BY {parent}
+      ORDER BY full_at, {key} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM {name}_f),
+{name}_o AS (SELECT *, max(CASE WHEN full_at > level THEN level END) OVER (PARTITION BY {parent}) AS open_level
+    FROM {name}_l),
+{name}_g AS (SELECT *, coalesce(least(cap, w * open_level), cap) AS given FROM {name}_o),
+"""
+
+_MIX_SQL = (
+    r"""
+WITH slim AS (
+  SELECT doc_id, coalesce('domain' || (nullif(regexp_extract(source, '(\d+)$', 1), '')::BIGINT % 4)::VARCHAR, '-')
+      AS domain, coalesce(lang, '-') AS lang, coalesce(source, '-') AS source,
+    coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS tokens
+  FROM documents),
+leaves AS (SELECT domain, lang, source, sum(tokens)::BIGINT AS tokens, 2.0::DOUBLE * sum(tokens) AS cap
+  FROM slim GROUP BY ALL),
+d_n AS (SELECT domain, sum(cap)::DOUBLE AS cap, (SELECT 0.6::DOUBLE * sum(tokens) FROM leaves) AS amount,
+    (CASE domain WHEN 'domain0' THEN 0.4 WHEN 'domain1' THEN 0.3 WHEN 'domain2' THEN 0.2 WHEN 'domain3' THEN 0.1
+     ELSE 1 END)::DOUBLE AS w FROM leaves GROUP BY domain),"""
+    + _SHARES.format(name="d", parent="1", key="domain")
+    + """
+l_n AS (SELECT domain, lang, sum(leaves.cap)::DOUBLE AS cap, any_value(given) AS amount,
+    (CASE WHEN domain = '-' THEN 1 WHEN lang = 'en' THEN 0.5 WHEN lang IN ('de', 'fr') THEN 0.2
+     WHEN lang = 'es' THEN 0.1 ELSE 1 END)::DOUBLE AS w
+  FROM leaves JOIN d_g USING (domain) GROUP BY domain, lang),"""
+    + _SHARES.format(name="l", parent="domain", key="lang")
+    + """
+s_n AS (SELECT domain, lang, source, leaves.cap AS cap, given AS amount, 1.0::DOUBLE AS w
+  FROM leaves JOIN l_g USING (domain, lang)),"""
+    + _SHARES.format(name="s", parent="domain, lang", key="source")
+    + """
+targets AS (SELECT domain, lang, source, leaves.tokens AS leaf_tokens, round(coalesce(given, 0))::BIGINT AS target
+  FROM leaves LEFT JOIN s_g USING (domain, lang, source)),
+placed AS (SELECT slim.*, (CASE WHEN leaf_tokens > 0 THEN target // leaf_tokens ELSE 0 END)::INT AS whole,
+    target, leaf_tokens FROM slim JOIN targets USING (domain, lang, source) WHERE tokens > 0),
+ordered AS (SELECT *, coalesce(sum(tokens) OVER (PARTITION BY domain, lang, source
+    ORDER BY md5('17:' || whole || ':' || coalesce(doc_id::VARCHAR, '-')), tokens
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM placed)
+SELECT doc_id, domain, lang, source, tokens,
+  (whole + CASE WHEN before < target - whole * leaf_tokens THEN 1 ELSE 0 END)::INT AS copies
+FROM ordered WHERE whole + CASE WHEN before < target - whole * leaf_tokens THEN 1 ELSE 0 END > 0
+"""
+)
+
+
 def op4_content_chunks(spark, sf_dir):
     """Every document without the passages that an earlier one has."""
     rows = substrings.dedup_substrings(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -70,10 +147,11 @@ def op10_best_fit_shards(spark, sf_dir):
 
 
 QUERIES = {
+    "op3_hierarchical_mix": op3_hierarchical_mix,
     "op4_content_chunks": op4_content_chunks,
     "op6_prob_minhash": op6_prob_minhash,
     "op8_ngram_perplexity": op8_ngram_perplexity,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_best_fit_shards": op10_best_fit_shards,
 }
-ORACLES = {}
+ORACLES = {"op3_hierarchical_mix": _MIX_SQL}
