@@ -33,8 +33,10 @@ LOWER_DEVIATIONS = 8.0
 UPPER_DEVIATIONS = 20.0
 # Log perplexities are compared in steps of this size.
 STEP = 0.0005
+# Tables of one row per language are broadcast up to this many languages.
+MAX_BROADCAST_LANGUAGES = 10_000
 HELD_GRAMS = 1 << 21  # distinct grams a counting task holds before it passes them on
-UNITS = 4 << 20
+UNITS = 1 << 20
 
 _IS_SYMBOL = np.zeros(256, bool)
 _IS_SYMBOL[list(SYMBOLS.encode())] = True
@@ -170,7 +172,18 @@ def count_grams(docs, hash_bits=HASH_BITS):
     counted = docs.select(_lang(docs), "text").mapInArrow(
         count, "lang string, gram long, slot long, n long"
     )
-    return counted.groupBy("lang", "gram", "slot").agg(F.sum("n").alias("n"))
+    return counted.groupBy("lang", "gram", "slot").agg(F.sum("n").alias("n")).checkpoint()
+
+
+def _few(rows):
+    """A function that marks tables of one row per language of `rows` for broadcast.
+
+    A shuffled join by language would send most rows to one task. Beyond the
+    checked number of languages no single one can fill a task alone, and the
+    join is left to Spark.
+    """
+    found = rows.select("lang").distinct().limit(MAX_BROADCAST_LANGUAGES + 1).count()
+    return F.broadcast if found <= MAX_BROADCAST_LANGUAGES else lambda table: table
 
 
 def _lang(docs):
@@ -190,9 +203,10 @@ def kneser_ney(counts):
         levels.append(
             levels[-1].groupBy("lang", suffix.alias("gram")).agg(F.count(F.lit(1)).alias("n"))
         )
+    few = _few(counts)
     lower = None
     for k, level in zip(range(1, ORDER + 1), reversed(levels)):
-        level = _discounted(level)
+        level = _discounted(level, few)
         if lower is None:
             share = F.lit(1.0) / F.col("types")
         else:
@@ -205,20 +219,20 @@ def kneser_ney(counts):
     return lower.select("lang", "gram", "slot", "n", "p")
 
 
-def _discounted(level):
+def _discounted(level, few):
     """Adds the discount d of each row and, per context, total, freed mass, types."""
-    few = level.groupBy("lang").agg(
+    cut = level.groupBy("lang").agg(
         *[F.greatest(F.count_if(F.col("n") == k), F.lit(1)).alias(f"n{k}") for k in range(1, 5)]
     )
     y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
     cuts = [
         F.greatest(F.lit(0.0), k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}")) for k in (1, 2, 3)
     ]
-    few = few.select("lang", *[c.alias(f"d{k}") for k, c in enumerate(cuts, 1)])
+    cut = cut.select("lang", *[c.alias(f"d{k}") for k, c in enumerate(cuts, 1)])
     d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
     context = Window.partitionBy("lang", F.shiftrightunsigned("gram", 16))
     return (
-        level.join(few, "lang")
+        level.join(few(cut), "lang")
         .withColumn("d", d)
         .withColumn("total", F.sum("n").over(context))
         .withColumn("freed", F.sum("d").over(context))
@@ -267,9 +281,8 @@ def _log_perplexities(langs, texts, model, bits):
 
 def scored(docs, model, hash_bits=HASH_BITS):
     """`docs` with the columns of SCORES in a struct column `_scores`; nothing else changes."""
-    kept = docs.columns
     inner = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"),
+        F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"),
         _lang(docs),
         F.col("text").cast("string").alias("text"),
     )
@@ -284,13 +297,17 @@ def scored(docs, model, hash_bits=HASH_BITS):
                 _log_perplexities(batch.column(1), batch.column(2), model.value, hash_bits)
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.StructArray.from_arrays(columns, names)], names=["row", "_scores"]
+                [batch.column(0), batch.column(2), pa.StructArray.from_arrays(columns, names)],
+                names=["row", "text", "_scores"],
             )
 
     fields = ", ".join(f"{n} {'double' if n == 'log_perplexity' else 'long'}" for n in names)
     kind = inner.schema["row"].dataType.simpleString()
-    out = inner.select("row", "lang", "text").mapInArrow(score, f"row {kind}, _scores struct<{fields}>")
-    return out.select("row.*", "_scores")
+    out = inner.select("row", "lang", "text").mapInArrow(
+        score, f"row {kind}, text string, _scores struct<{fields}>"
+    )
+    columns = [F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns]
+    return out.select(*columns, "_scores")
 
 
 def base_failed(scores="_scores"):
@@ -305,8 +322,9 @@ def bands(rows, lower=LOWER_DEVIATIONS, upper=UPPER_DEVIATIONS):
     """
     good = rows.filter(~base_failed() & F.col("_scores.log_perplexity").isNotNull())
     level = good.select(_lang(rows), F.round(F.col("_scores.log_perplexity") / STEP).alias("v"))
+    few = _few(rows)
     middle = _median(level)
-    away = level.join(middle, "lang").select("lang", F.abs(F.col("v") - F.col("median")).alias("v"))
+    away = level.join(few(middle), "lang").select("lang", F.abs(F.col("v") - F.col("median")).alias("v"))
     width = _median(away).withColumnRenamed("median", "width")
     step = F.greatest(F.col("width"), F.lit(1.0)) * STEP
     return middle.join(width, "lang").select(
@@ -345,13 +363,14 @@ def judge(docs, hash_bits=HASH_BITS):
 
 
 def verdicts(rows, limits):
+    """Adds base_failed and kept to scored rows."""
     named = limits.select(
         F.col("lang").alias("_lang"), F.col("lower").alias("_lower"), F.col("upper").alias("_upper")
     )
     inside = F.col("_scores.log_perplexity").between(F.col("_lower"), F.col("_upper"))
     return (
         rows.withColumn("_lang", _lang(rows))
-        .join(named, "_lang", "left")
+        .join(_few(limits)(named), "_lang", "left")
         .withColumn("base_failed", base_failed())
         .withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))
         .drop("_lang")

@@ -150,7 +150,7 @@ def dedup_substrings(docs, min_words=MIN_WORDS):
     repeated = repeated_chunks(slim.filter("doc_id is not null and text is not null"))
     others = [F.col(f"`{c}`") for c in names if c != "text"]
     inner = docs.select(
-        F.struct(*others).alias("row"),
+        F.struct(F.lit(0).alias("_"), *others).alias("row"),
         F.col("doc_id").cast("long").alias("_id"),
         F.col("text").cast("string").alias("text"),
     ).join(repeated.withColumnRenamed("doc_id", "_id"), "_id", "left")
