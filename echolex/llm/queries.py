@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from echolex.llm import mixing, near_dups, packing, quality, sharding, substrings, tokens
+from echolex.llm import mixing, near_dups, packing, quality, sharding, substrings, tokens, vectors
 from echolex.session import ensure_checkpoint_dir
 
 SHARDS = 24
@@ -22,6 +22,11 @@ def tokenizer_path(name):
     return public_tokenizers.path(name)
 
 
+def op1_rotation_codes(spark, sf_dir):
+    """Links and classes of the embeddings of one label at cosine 0.93."""
+    return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 DOMAINS = 4
 DOMAIN_WEIGHTS = (0.4, 0.3, 0.2, 0.1)
 LANGUAGE_WEIGHTS = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
@@ -147,6 +152,7 @@ def op10_best_fit_shards(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_rotation_codes": op1_rotation_codes,
     "op3_hierarchical_mix": op3_hierarchical_mix,
     "op4_content_chunks": op4_content_chunks,
     "op6_prob_minhash": op6_prob_minhash,
@@ -154,4 +160,23 @@ QUERIES = {
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_best_fit_shards": op10_best_fit_shards,
 }
-ORACLES = {"op3_hierarchical_mix": _MIX_SQL}
+_VECTORS_SQL = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+u AS (SELECT * FROM v WHERE label IS NOT NULL AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0
+  AND len([x FOR x IN e IF x <> 0]) > 0),
+l AS (SELECT a.r AS x, b.r AS y, a.vec_id AS vx, b.vec_id AS vy FROM u a JOIN u b
+  ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+c AS (SELECT vec_id AS node, vec_id AS reached FROM v
+  UNION SELECT c.node, l.vy FROM c JOIN l ON l.vx = c.reached),
+g AS (SELECT node, min(reached) AS component_id FROM c GROUP BY node)
+SELECT v.vec_id, (SELECT count(*) FROM l WHERE l.x = v.r) AS n_links, g.component_id,
+  v.vec_id = g.component_id AS kept
+FROM v JOIN g ON g.node = v.vec_id
+"""
+
+ORACLES = {
+    "op1_rotation_codes": _VECTORS_SQL,
+    "op3_hierarchical_mix": _MIX_SQL,
+}
