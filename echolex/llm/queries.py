@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from echolex.llm import mixing, near_dups, packing, quality, sharding, substrings, tokens, vectors
+from echolex.llm import licenses, mixing, near_dups, packing, quality, sharding, substrings, tokens, vectors
 from echolex.session import ensure_checkpoint_dir
 
 SHARDS = 24
@@ -116,6 +116,11 @@ def op4_content_chunks(spark, sf_dir):
     )
 
 
+def op5_license_scan(spark, sf_dir):
+    """Places of known license texts in every document."""
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op6_prob_minhash(spark, sf_dir):
     """Class of every document by five-word shingles at similarity 0.8."""
     return near_dups.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -155,6 +160,7 @@ QUERIES = {
     "op1_rotation_codes": op1_rotation_codes,
     "op3_hierarchical_mix": op3_hierarchical_mix,
     "op4_content_chunks": op4_content_chunks,
+    "op5_license_scan": op5_license_scan,
     "op6_prob_minhash": op6_prob_minhash,
     "op8_ngram_perplexity": op8_ngram_perplexity,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
