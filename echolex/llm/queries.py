@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from echolex.llm import licenses, mixing, near_dups, packing, quality, sharding, substrings, tokens, vectors
+from echolex.llm import licenses, mixing, near_dups, packing, quality, sharding, substrings, tokens, transcripts, vectors
 from echolex.session import ensure_checkpoint_dir
 
 SHARDS = 24
@@ -126,6 +126,13 @@ def op6_prob_minhash(spark, sf_dir):
     return near_dups.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_transcript_roles(spark, sf_dir):
+    """Turns recovered from transcripts written from all conversations."""
+    lines = transcripts.written(_table(spark, sf_dir, "conversations")).checkpoint()
+    model = transcripts.train(lines)
+    return transcripts.parse_transcripts(lines, model)
+
+
 def op8_ngram_perplexity(spark, sf_dir):
     """Base statistics of every document and its place in the bands of its language."""
     rows = quality.judge(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
@@ -162,6 +169,7 @@ QUERIES = {
     "op4_content_chunks": op4_content_chunks,
     "op5_license_scan": op5_license_scan,
     "op6_prob_minhash": op6_prob_minhash,
+    "op7_transcript_roles": op7_transcript_roles,
     "op8_ngram_perplexity": op8_ngram_perplexity,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_best_fit_shards": op10_best_fit_shards,
