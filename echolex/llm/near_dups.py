@@ -11,9 +11,12 @@ probability. Arrivals later than the latest register are not generated.
 
 Candidates share a band of registers. Their number of equal registers gives an
 estimate with a confidence bound; pairs that may reach the threshold are
-verified exactly on their texts. Within a bucket not all pairs are formed:
-every member meets the bucket's smallest one, and after that only pairs that
-are not yet connected. What stays apart has therefore been compared.
+verified exactly on their texts. The pairs of a bucket are never formed as
+rows: every member meets the bucket's smallest one, and after that members that
+are still apart are compared in blocks, of which only a spanning forest comes
+out. The same is done once more with exact similarities, inside the classes
+that the estimates had joined and verification has split. So whatever stays
+apart has been compared, and a large class costs one comparison per member.
 """
 
 import numpy as np
@@ -29,6 +32,8 @@ THRESHOLD = 0.8
 BANDS, BAND_ROWS = 25, 5
 REGISTERS = BANDS * BAND_ROWS
 SIGMAS = 5.0
+# Rows on one side of a block of comparisons.
+REGISTER_BLOCK, TEXT_BLOCK = 2048, 256
 # Equal registers a pair at the threshold has at least, but for SIGMAS deviations.
 MIN_EQUAL = int(REGISTERS * THRESHOLD - SIGMAS * (REGISTERS * THRESHOLD * (1 - THRESHOLD)) ** 0.5)
 
@@ -130,33 +135,33 @@ def probability_jaccard(a, x, b, y):
     return float((1.0 / (x_part / u + y_part / v)).sum())
 
 
+def shingle_sets(texts):
+    """(sorted shingles, counts) of each text."""
+    out = []
+    for _, data, offsets in T.slices(texts):
+        value, row, count = shingles(data, offsets)
+        order = np.lexsort((value, row))
+        value, count = value[order], count[order]
+        bounds = np.searchsorted(row[order], np.arange(len(offsets)))
+        out += [(value[s:e], count[s:e]) for s, e in zip(bounds[:-1], bounds[1:])]
+    return out
+
+
 def similar_pairs(pairs, threshold=THRESHOLD):
-    """a, b, similarity of the rows (a, b, text_a, text_b) that reach the threshold."""
-
-    def sets(column):
-        out = []
-        for _, data, offsets in T.slices(column):
-            value, row, count = shingles(data, offsets)
-            order = np.lexsort((value, row))
-            value, count = value[order], count[order]
-            bounds = np.searchsorted(row[order], np.arange(len(offsets)))
-            out += [(value[s:e], count[s:e]) for s, e in zip(bounds[:-1], bounds[1:])]
-        return out
+    """a, b of the rows (a, b, text_a, text_b) that reach the threshold."""
 
     def run(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                left, right = sets(batch.column(2)), sets(batch.column(3))
+                left, right = shingle_sets(batch.column(2)), shingle_sets(batch.column(3))
                 value = np.array([probability_jaccard(*p, *q) for p, q in zip(left, right)])
-                keep = value >= threshold - 1e-12
+                keep = pa.array(value >= threshold - 1e-12)
                 yield pa.RecordBatch.from_arrays(
-                    [c.filter(pa.array(keep)) for c in (batch.column(0), batch.column(1))]
-                    + [pa.array(value[keep], pa.float64())],
-                    names=["a", "b", "similarity"],
+                    [batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"]
                 )
 
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, similarity double")
+    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
 def _likely(pairs, registers):
@@ -179,25 +184,134 @@ def _likely(pairs, registers):
     return both.mapInArrow(run, "a long, b long")
 
 
-def _apart(buckets, groups):
-    """Pairs of one bucket that lie in different groups; groups: rep, inside, group.
+def _apart(members, compare, block):
+    """Links a, b between members of one key that lie in different groups.
 
-    Only pairs with equal `inside` count. Members of the largest group of a
-    bucket are not paired with each other, nor are those of any other group.
+    `members`: key (any type), rep, group, payload. Keys with one group drop
+    out. Members outside the largest group of a key meet all others of it, in
+    blocks of at most `block` rows on either side; those of the largest group
+    do not meet each other. `compare(payloads, few, group)` gets the payloads of
+    two blocks, which of them belong to the first, and their group numbers, and
+    returns the positions of linked pairs.
     """
-    known = buckets.join(groups, "rep")
-    size = known.groupBy("bucket", "inside", "group").agg(F.count(F.lit(1)).alias("n"))
-    mixed = (
-        size.groupBy("bucket", "inside")
-        .agg(F.count(F.lit(1)).alias("groups"), F.max_by("group", F.struct("n", "group")).alias("largest"))
-        .filter("groups > 1")
+    size = members.groupBy("key", "group").agg(F.count(F.lit(1)).alias("n"))
+    mixed = size.groupBy("key").agg(
+        F.count(F.lit(1)).alias("groups"),
+        F.max(F.struct("n", "group")).alias("largest"),
+        F.sum("n").alias("all"),
     )
-    known = known.join(mixed, ["bucket", "inside"])
-    few = known.filter(F.col("group") != F.col("largest"))
-    few = few.select("bucket", "inside", F.col("rep").alias("x"), F.col("group").alias("gx"))
-    many = known.select("bucket", "inside", F.col("rep").alias("y"), F.col("group").alias("gy"))
-    met = few.join(many, ["bucket", "inside"]).filter(F.col("gx") != F.col("gy"))
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    mixed = mixed.filter("groups > 1").select(
+        "key",
+        F.col("largest.group").alias("largest"),
+        F.ceil(F.col("all") / block).cast("int").alias("columns"),
+        F.ceil((F.col("all") - F.col("largest.n")) / block).cast("int").alias("lines"),
+    )
+    known = members.join(mixed, "key").withColumn("few", F.col("group") != F.col("largest"))
+    column = F.pmod(F.xxhash64("rep"), F.col("columns"))
+    line = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("lines"))
+    from_few = known.filter("few").withColumn("line", line).withColumn("column", F.explode(F.sequence(F.lit(0), F.col("columns") - 1)))
+    from_all = known.withColumn("column", column).withColumn("line", F.explode(F.sequence(F.lit(0), F.col("lines") - 1)))
+    kept = [F.xxhash64("key", "line", "column").alias("place"), "rep", "group", "payload"]
+    met = from_few.select(*kept, F.lit(True).alias("few")).unionAll(from_all.select(*kept, F.lit(False).alias("few")))
+    met = met.repartition("place").sortWithinPartitions("place", F.col("few").desc(), "rep")
+
+    def run(batches):
+        for rows in _runs(batches):
+            rep = rows["rep"].to_numpy()
+            few, group = (rows[c].to_numpy(zero_copy_only=False) for c in ("few", "group"))
+            i, j = compare(rows["payload"], few, group)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(rep[i], rep[j])), pa.array(np.maximum(rep[i], rep[j]))], names=["a", "b"]
+            )
+
+    return met.mapInArrow(run, "a long, b long").distinct()
+
+
+def _runs(batches):
+    """Record batches of the consecutive rows with one `place`."""
+    held = []
+    for batch in batches:
+        place = batch["place"].to_numpy()
+        if held and len(place) and held[-1]["place"][0].as_py() != place[0]:
+            yield _whole(held)
+            held = []
+        cuts = np.flatnonzero(place[1:] != place[:-1]) + 1
+        bounds = [0, *cuts.tolist(), len(place)]
+        for low, high in zip(bounds[:-2], bounds[1:-1]):
+            yield _whole([*held, batch.slice(low, high - low)])
+            held = []
+        if len(place):
+            held.append(batch.slice(bounds[-2]))
+    if held:
+        yield _whole(held)
+
+
+def _whole(parts):
+    return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+
+class _Forest:
+    """Union of numbered items; starts with items of equal `group` together."""
+
+    def __init__(self, group):
+        _, first = np.unique(group, return_index=True)
+        self.up = first[np.searchsorted(group[first], group)].tolist()
+
+    def root(self, i):
+        while self.up[i] != i:
+            self.up[i] = self.up[self.up[i]]
+            i = self.up[i]
+        return i
+
+    def join(self, i, j):
+        i, j = self.root(i), self.root(j)
+        self.up[max(i, j)] = min(i, j)
+        return i != j
+
+
+def _likely_places(registers, few, group):
+    """Pairs (one of `few`, any of another group) with enough equal registers, most equal first."""
+    x, y = np.flatnonzero(few), np.flatnonzero(~few)
+    found = []
+    for low in range(0, len(x), 64):
+        part = x[low : low + 64]
+        equal = np.zeros((len(part), len(y)), np.int16)
+        for k in range(registers.shape[1]):
+            equal += registers[part, k][:, None] == registers[y, k][None, :]
+        near = (equal >= MIN_EQUAL) & (group[part][:, None] != group[y][None, :])
+        i, j = np.nonzero(near)
+        found.append((part[i], y[j], equal[i, j]))
+    i, j, equal = (np.concatenate(c) for c in zip(*found)) if found else [np.zeros(0, np.int64)] * 3
+    order = np.argsort(-equal, kind="stable")
+    return i[order], j[order]
+
+
+def _forest_of(pairs, group, linked=None):
+    forest, i_out, j_out = _Forest(group), [], []
+    for i, j in zip(*(p.tolist() for p in pairs)):
+        if forest.root(i) != forest.root(j) and (linked is None or linked(i, j)):
+            forest.join(i, j)
+            i_out.append(i)
+            j_out.append(j)
+    return np.array(i_out, np.int64), np.array(j_out, np.int64)
+
+
+def _compare_registers(payloads, few, group):
+    registers = np.frombuffer(b"".join(payloads.to_pylist()), "<u2").reshape(-1, REGISTERS)
+    return _forest_of(_likely_places(registers, few, group), group)
+
+
+def _compare_texts(payloads, few, group):
+    sets = shingle_sets(payloads)
+    value = np.concatenate([v for v, _ in sets])
+    count = np.concatenate([n for _, n in sets]).astype(np.float64)
+    row = np.repeat(np.arange(len(sets)), [len(v) for v, _ in sets])
+    registers = (prob_minhash(value, row, count, len(sets)) >> np.uint64(48)).astype(np.uint16)
+
+    def linked(i, j):
+        return probability_jaccard(*sets[i], *sets[j]) >= THRESHOLD - 1e-12
+
+    return _forest_of(_likely_places(registers, few, group), group, linked)
 
 
 def _groups(reps, links, name="group"):
@@ -247,26 +361,27 @@ def _links(copies, docs, id_col, text_col):
 
     stars = buckets.filter("rep != a").select("a", F.col("rep").alias("b")).distinct()
     likely = _likely(stars, registers).checkpoint()
-    anywhere = F.lit(0).alias("inside")
-    met = _groups(reps, likely).select("rep", anywhere, "group").checkpoint()
-    rest = _likely(_apart(buckets.select("bucket", "rep"), met), registers).checkpoint()
-    likely = likely.unionAll(rest)
+    groups = _groups(reps, likely)
+    members = buckets.select(F.col("bucket").alias("key"), "rep").join(
+        groups.join(registers, "rep").withColumnRenamed("registers", "payload"), "rep"
+    )
+    likely = likely.unionAll(_apart(members, _compare_registers, REGISTER_BLOCK)).checkpoint()
 
-    needed = likely.select(F.col("a").alias("doc_id")).unionAll(likely.select("b")).distinct()
+    joined = components(likely).withColumnRenamed("node", "rep").checkpoint()
     text = (
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-        .join(needed, "doc_id", "left_semi")
+        .join(joined.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
         .groupBy("doc_id")
         .agg(F.min("text").alias("text"))
         .checkpoint()
     )
     links = similar_pairs(_with_texts(likely, text)).checkpoint()
     # Verification may have split what the estimates had joined: compare there again.
-    inside = _groups(reps, likely, "inside")
-    parts = inside.join(_groups(reps, links), "rep").select("rep", "inside", "group")
-    again = _likely(_apart(buckets.select("bucket", "rep"), parts), registers)
-    again = again.join(likely, ["a", "b"], "left_anti")
-    return links.unionAll(similar_pairs(_with_texts(again, text)))
+    parts = _groups(joined.select("rep"), links).join(joined, "rep")
+    members = parts.select(F.col("component").alias("key"), "rep", "group").join(
+        text.select(F.col("doc_id").alias("rep"), F.col("text").alias("payload")), "rep"
+    )
+    return links.unionAll(_apart(members, _compare_texts, TEXT_BLOCK))
 
 
 def _with_texts(pairs, text):
