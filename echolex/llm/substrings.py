@@ -108,10 +108,10 @@ def _spans(data, offsets, repeated, min_words):
     for r, positions in enumerate(repeated):
         if positions is not None:
             dup[first[r] + np.asarray(positions)] = True
-    joined = dup.copy()
-    joined[1:] &= dup[:-1] & (row[1:] == row[:-1])
+    joined = np.zeros(len(dup), bool)  # continues the run of the chunk before it
+    joined[1:] = dup[1:] & dup[:-1] & (row[1:] == row[:-1])
     opens = np.flatnonzero(dup & ~joined)
-    closes = np.flatnonzero(dup & ~np.append(joined[1:], False))
+    closes = np.flatnonzero(dup & ~np.append(joined, False)[1:])
     words = T.find_words(data, offsets)
     w0 = np.searchsorted(words.start, start[opens])
     w1 = np.searchsorted(words.end, end[closes], "right")
