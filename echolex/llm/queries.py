@@ -2,11 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from echolex.llm import licenses, mixing, near_dups, packing, quality, sharding, substrings, tokens, transcripts, vectors
+from echolex.llm import licenses, mixing, near_dups, packing, quality, sharding, substrings, token_trees, tokens, transcripts, vectors
 from echolex.session import ensure_checkpoint_dir
 
 SHARDS = 24
 SEQUENCE_TOKENS = 2048
+TREE_TOKENIZER = "byte_bpe_50k.tiktoken"
 WORD_TOKENIZER = "word_bpe_49k.json"
 
 
@@ -27,6 +28,41 @@ def op1_rotation_codes(spark, sf_dir):
     return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def sample_edits():
+    """Three edits of each text, made from the text itself: insert, delete, replace."""
+    n = F.length("text").cast("long")
+
+    def one(pos, remove, insert):
+        return F.struct(
+            F.floor(pos).cast("long").alias("pos"), F.lit(remove).cast("long").alias("remove"), insert.alias("insert")
+        )
+
+    return F.array(
+        one(n / 3, 0, F.substring("text", 1, 12)),
+        one(n / 2, 25, F.lit("")),
+        one(n * 2 / 3, 10, F.expr("right(text, 15)")),
+    )
+
+
+def op2_token_trees(spark, sf_dir):
+    """Token counts of every document before and after three edits of it."""
+    import public_tokenizers
+
+    path, pattern = tokenizer_path(TREE_TOKENIZER), public_tokenizers.PATTERN
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = token_trees.build_trees(docs, path, pattern)
+    trees = trees.withColumn("tokens_before", token_trees.tree_tokens()).withColumn("edits", sample_edits())
+    edited = token_trees.apply_edits(trees, path, pattern)
+    return edited.select(
+        "doc_id",
+        "tokens_before",
+        F.col("n_tokens").alias("tokens_after"),
+        F.coalesce(F.size("tree.tokens"), F.lit(0)).alias("n_pre_tokens"),
+        F.col("n_encoded"),
+        F.crc32("text").alias("text_crc32"),
+    )
+
+
 DOMAINS = 4
 DOMAIN_WEIGHTS = (0.4, 0.3, 0.2, 0.1)
 LANGUAGE_WEIGHTS = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
@@ -165,6 +201,7 @@ def op10_best_fit_shards(spark, sf_dir):
 
 QUERIES = {
     "op1_rotation_codes": op1_rotation_codes,
+    "op2_token_trees": op2_token_trees,
     "op3_hierarchical_mix": op3_hierarchical_mix,
     "op4_content_chunks": op4_content_chunks,
     "op5_license_scan": op5_license_scan,
