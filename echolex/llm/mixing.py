@@ -14,6 +14,8 @@ epoch, up to the one that reaches the target.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from echolex.llm.sizes import broadcast_if_small
+
 TREE = ("domain", "lang", "source")
 BUCKET_HEX = 3  # 4,096 buckets of the seeded order per leaf
 
@@ -102,11 +104,11 @@ def mix(docs, share, weights=None, max_epochs=1, seed=0, tree=TREE):
     )
     targets = targets.select(
         *tree, "whole", (F.col("target") - F.col("whole") * F.col("leaf_tokens")).alias("rest")
-    )
+    ).checkpoint()
     place = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
     rows = (
         slim.filter("tokens > 0")
-        .join(targets, list(tree))
+        .join(broadcast_if_small(targets), list(tree))
         .withColumn("place", place)
         .withColumn("bucket", F.substring("place", 1, BUCKET_HEX))
     )
