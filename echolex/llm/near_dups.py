@@ -207,8 +207,8 @@ def _apart(members, compare, block):
         F.ceil((F.col("all") - F.col("largest.n")) / block).cast("int").alias("lines"),
     )
     known = members.join(mixed, "key").withColumn("few", F.col("group") != F.col("largest"))
-    column = F.pmod(F.xxhash64("rep"), F.col("columns"))
-    line = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("lines"))
+    column = F.pmod(F.xxhash64("rep"), F.col("columns")).cast("int")
+    line = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("lines")).cast("int")
     from_few = known.filter("few").withColumn("line", line).withColumn("column", F.explode(F.sequence(F.lit(0), F.col("columns") - 1)))
     from_all = known.withColumn("column", column).withColumn("line", F.explode(F.sequence(F.lit(0), F.col("lines") - 1)))
     kept = [F.xxhash64("key", "line", "column").alias("place"), "rep", "group", "payload"]
