@@ -15,7 +15,8 @@ from echolex.llm.queries import (
     tokenizer_path,
     with_domain,
 )
-from echolex.session import ensure_checkpoint_dir, scratch_path
+from echolex.llm.sizes import prepare
+from echolex.session import scratch_path
 
 MIX_SHARE = 0.8  # of the tokens that are left
 MIX_EPOCHS = 1
@@ -23,11 +24,13 @@ MIX_EPOCHS = 1
 
 def quality_rules(spark, docs, sf_dir):
     """Documents that pass the text rules and the perplexity bands."""
+    prepare(spark)
     return quality.judge(docs).filter("kept").select(docs.columns)
 
 
 def near_dedup(spark, docs, sf_dir):
     """One document of each near-duplicate class: that with the smallest id."""
+    prepare(spark)
     found = near_dups.near_duplicates(docs).filter("kept")
     ids = found.select(F.col("doc_id").alias("_kept")).distinct()
     met = docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi")
@@ -38,18 +41,21 @@ def near_dedup(spark, docs, sf_dir):
 
 def substring_dedup(spark, docs, sf_dir):
     """Texts without the passages of earlier documents; emptied documents go."""
+    prepare(spark)
     rows = substrings.dedup_substrings(docs)
     return rows.filter("_removed.words = 0 or length(trim(text)) > 0").select(docs.columns)
 
 
 def mix_sources(spark, docs, sf_dir):
     """Documents taken so that sources meet their target weights."""
+    prepare(spark)
     mixed = mixing.mix(with_domain(docs), MIX_SHARE, mix_weights(spark), MIX_EPOCHS, MIX_SEED)
     return mixing.take(docs, mixed)
 
 
 def pack_sequences(spark, docs, sf_dir):
     """Token pieces with the sequence and the place each lies at."""
+    prepare(spark)
     path = tokenizer_path(WORD_TOKENIZER)
     return packing.pack(tokens.encode_pieces(docs, path, SEQUENCE_TOKENS), SEQUENCE_TOKENS)
 
@@ -65,7 +71,7 @@ STAGES = [
 
 def run(spark, sf_dir):
     """All stages over the documents, each written and read again."""
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, name)

@@ -36,7 +36,7 @@ STEP = 0.0005
 # Tables of one row per language are broadcast up to this many languages.
 MAX_BROADCAST_LANGUAGES = 10_000
 HELD_GRAMS = 1 << 21  # distinct grams a counting task holds before it passes them on
-UNITS = 1 << 20
+UNITS = 1 << 18
 
 _IS_SYMBOL = np.zeros(256, bool)
 _IS_SYMBOL[list(SYMBOLS.encode())] = True

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from echolex.llm import licenses, mixing, near_dups, packing, quality, sharding, substrings, token_trees, tokens, transcripts, vectors
-from echolex.session import ensure_checkpoint_dir
+from echolex.llm.sizes import prepare
 
 SHARDS = 24
 SEQUENCE_TOKENS = 2048
@@ -12,7 +12,7 @@ WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def _table(spark, sf_dir, name):
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

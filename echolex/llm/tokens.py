@@ -12,9 +12,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 32 << 20
+SLICE_BYTES = 8 << 20
 # Words kept per worker, some 150 bytes each; the cache starts anew beyond it.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 MISS_CHARS = 1 << 20
 
 
