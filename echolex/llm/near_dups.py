@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from echolex.llm import texts as T
-from echolex.llm.graph import components
+from echolex.llm.graph import components, linked_groups
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -314,12 +314,6 @@ def _compare_texts(payloads, few, group):
     return _forest_of(_likely_places(registers, few, group), group, linked)
 
 
-def _groups(reps, links, name="group"):
-    """rep and its group: smallest linked rep, or itself."""
-    found = components(links).withColumnRenamed("node", "rep").withColumnRenamed("component", name)
-    return reps.join(found, "rep", "left").select("rep", F.coalesce(name, "rep").alias(name))
-
-
 def near_duplicates(docs, id_col="doc_id", text_col="text"):
     """doc_id, class_id, n_copies, kept: one row per row of `docs`.
 
@@ -361,7 +355,7 @@ def _links(copies, docs, id_col, text_col):
 
     stars = buckets.filter("rep != a").select("a", F.col("rep").alias("b")).distinct()
     likely = _likely(stars, registers).checkpoint()
-    groups = _groups(reps, likely)
+    groups = linked_groups(reps, likely)
     members = buckets.select(F.col("bucket").alias("key"), "rep").join(
         groups.join(registers, "rep").withColumnRenamed("registers", "payload"), "rep"
     )
@@ -377,7 +371,7 @@ def _links(copies, docs, id_col, text_col):
     )
     links = similar_pairs(_with_texts(likely, text)).checkpoint()
     # Verification may have split what the estimates had joined: compare there again.
-    parts = _groups(joined.select("rep"), links).join(joined, "rep")
+    parts = linked_groups(joined.select("rep"), links).join(joined, "rep")
     members = parts.select(F.col("component").alias("key"), "rep", "group").join(
         text.select(F.col("doc_id").alias("rep"), F.col("text").alias("payload")), "rep"
     )
