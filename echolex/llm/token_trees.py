@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 SEGMENT = 64
 LOOKAHEAD = 2
-CACHE_PIECES = 500_000  # pre-tokens whose count a worker keeps; it starts anew beyond
+CACHE_PIECES = 300_000  # pre-tokens whose count a worker keeps; it starts anew beyond
 MAX_CACHED_CHARS = 64
 PIECE_BATCH = 1_000_000  # characters handed on at once
 

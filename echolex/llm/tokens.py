@@ -12,10 +12,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 # Words kept per worker, some 150 bytes each; the cache starts anew beyond it.
-CACHE_WORDS = 500_000
-MISS_CHARS = 1 << 20
+CACHE_WORDS = 300_000
+MISS_CHARS = 1 << 17
 
 
 @lru_cache(maxsize=2)
