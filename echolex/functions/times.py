@@ -7,7 +7,7 @@ No function reads the clock: callers pass `as_of`.
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-KST_OFFSET = "+09:00"
+KST = "Asia/Seoul"
 # Range of epoch seconds a timestamp can show: years 1 to 9999.
 MIN_EPOCH = -62135596800
 MAX_EPOCH = 253402300799
@@ -19,23 +19,28 @@ def as_time(value):
     return column.cast("timestamp")
 
 
+def utc_day(ts):
+    """The UTC day of an instant, whatever the time zone of the session."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(ts) / 86_400_000_000).cast("int"))
+
+
 def epoch_to_timestamp(seconds):
     """Instant of whole epoch seconds; out-of-range values give null."""
     whole = seconds.try_cast("bigint")
     return F.when(whole.between(MIN_EPOCH, MAX_EPOCH), F.timestamp_seconds(whole))
 
 
-def epoch_to_local(seconds, zone="Asia/Seoul"):
+def epoch_to_local(seconds, zone=KST):
     """Wall-clock time of epoch seconds in a zone, for display."""
     return F.from_utc_timestamp(epoch_to_timestamp(seconds), zone)
 
 
 def utc_to_kst(ts):
-    return F.from_utc_timestamp(ts, KST_OFFSET)
+    return F.from_utc_timestamp(ts, KST)
 
 
 def kst_to_utc(ts):
-    return F.to_utc_timestamp(ts, KST_OFFSET)
+    return F.to_utc_timestamp(ts, KST)
 
 
 def format_kst(ts, as_of=None, naive=False):

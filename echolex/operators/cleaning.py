@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from echolex.functions.times import cutoff
+from echolex.functions.times import cutoff, utc_day
 
 # Fixed values of the clean filter.
 REMOVED_MARKERS = ("[deleted]", "[removed]")
@@ -50,7 +50,7 @@ def recent(df, as_of, hours=None, mode="rolling", ts="created_at", strict=False)
     start = cutoff(as_of, hours, mode)
     kept = F.col(ts) > start if strict else F.col(ts) >= start
     if ts == "created_at" and "created_date" in df.columns:
-        kept = kept & (F.col("created_date") >= start.cast("date"))
+        kept = kept & (F.col("created_date") >= utc_day(start))
     return df.filter(kept)
 
 

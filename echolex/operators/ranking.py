@@ -11,9 +11,9 @@ def newest(df, ts="created_at", tie="id"):
     return df.orderBy(F.col(ts).desc(), F.col(tie))
 
 
-def latest_row(df, ts):
-    """The newest row of a table."""
-    return df.orderBy(F.col(ts).desc()).limit(1)
+def latest_row(df, ts, *ties):
+    """The newest row of a table; `ties` order rows of one time, the smallest first."""
+    return df.orderBy(F.col(ts).desc(), *ties).limit(1)
 
 
 def latest_per_bucket(df, n=10, ts="created_at", tie="id"):

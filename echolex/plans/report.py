@@ -30,7 +30,7 @@ def daily_report(scored, as_of, mode="rolling", n=10, compat=False):
 
 def latest_report(reports):
     """The newest report with its display time."""
-    return latest_row(reports, "report_date").withColumn(
+    return latest_row(reports, "report_date", *[c for c in reports.columns if c != "report_date"]).withColumn(
         "report_time", report_time(F.col("report_date"))
     )
 

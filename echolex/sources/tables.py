@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from echolex.functions.times import as_time
-from echolex.schemas import SCORED_SCHEMA
+from echolex.functions.times import as_time, utc_day
+from echolex.schemas import REPORT_SCHEMA, SCORED_SCHEMA
 
 PARTITIONS = ("created_date", "detected_language")
 
@@ -19,19 +19,13 @@ def read_table(spark, *paths, merge_schema=False):
     return spark.read.option("mergeSchema", merge_schema).parquet(*paths)
 
 
-def spread(df, task_bytes=64 << 20, min_bytes=1 << 20):
-    """Deal a small input over all cores before work that is heavy per row.
+def spread(df, partitions=None):
+    """Deal a small input over `partitions` tasks before work that is heavy per row.
 
     Splits follow files and row groups, so a small table may come as one task.
-    An input of at least `task_bytes` per core fills the cluster by itself and
-    is left alone, without a shuffle; so is one below `min_bytes`.
+    Without a number nothing is done: a large input fills the cluster by itself.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= cores * task_bytes:
-        return df
-    tasks = min(cores, size // min_bytes)
-    return df.repartition(tasks) if tasks > 1 else df
+    return df.repartition(partitions) if partitions else df
 
 
 def read_or_empty(spark, path, schema=SCORED_SCHEMA):
@@ -56,7 +50,8 @@ def sample_rows(df, n=5, order_by=None):
 
 
 def with_created_date(df):
-    return df.withColumn("created_date", F.to_date("created_at"))
+    """Add the partition day: that of the instant in UTC."""
+    return df.withColumn("created_date", utc_day(F.col("created_at")))
 
 
 def write_scored(df, path, mode="append", compression="snappy"):
@@ -64,8 +59,7 @@ def write_scored(df, path, mode="append", compression="snappy"):
 
     `rebalance` sends the rows of a partition together, to avoid small files,
     and lets adaptive execution cut a large partition (one language may hold
-    most of a day) into several tasks. Rewriting a table through this function
-    also compacts it.
+    most of a day) into several tasks.
     """
     (
         with_created_date(df)
@@ -82,12 +76,51 @@ def read_scored(spark, path, since=None, languages=None):
     df = spark.read.parquet(path)
     if since is not None:
         since = as_time(since)
-        df = df.filter((F.col("created_date") >= since.cast("date")) & (F.col("created_at") >= since))
+        df = df.filter((F.col("created_date") >= utc_day(since)) & (F.col("created_at") >= since))
     if languages is not None:
         df = df.filter(F.col("detected_language").isin(*languages))
     return df
 
 
-def append_report(report, path, compression="snappy"):
-    """Add a report row to the report table."""
-    report.write.mode("append").option("compression", compression).parquet(path)
+def compact(spark, path, day):
+    """Write the files of one day anew, gathered; other days stay as they are.
+
+    The day's rows go to a folder beside the table first, since a folder cannot
+    be read while it is replaced.
+    """
+    staged = f"{path.rstrip('/')}.compact-{day}"
+    rows = spark.read.parquet(path).filter(F.col("created_date") == F.lit(str(day)).cast("date"))
+    rows.write.mode("overwrite").parquet(staged)
+    (
+        spark.read.parquet(staged)
+        .hint("rebalance", *PARTITIONS)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*PARTITIONS)
+        .parquet(path)
+    )
+    remove_path(spark, staged)
+
+
+def remove_path(spark, path):
+    """Remove a folder the library made for itself."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(jvm_path, True)
+
+
+def write_report(report, path, compression="snappy"):
+    """Store the report rows of some days; a day's rows replace what is there of it."""
+    report = report.select(*[F.col(f.name).cast(f.dataType) for f in REPORT_SCHEMA])
+    (
+        report.withColumn("report_day", utc_day(F.col("report_date")))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", compression)
+        .partitionBy("report_day")
+        .parquet(path)
+    )
+
+
+def read_reports(spark, path):
+    """All stored reports, one per day; an absent folder has none."""
+    return read_or_empty(spark, path, REPORT_SCHEMA)

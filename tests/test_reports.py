@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from echolex.operators import distribution, errors, keywords, quality
 from echolex.plans.report import daily_report, latest_report, read_model
-from echolex.sources.tables import append_report
+from echolex.sources.tables import read_reports, write_report
 
 AS_OF = datetime(2024, 1, 10, 12)
 DDL = "id string, created_at timestamp, text string, detected_language string, sentiment_label string"
@@ -41,9 +41,11 @@ def test_daily_report_accepts_text_times_and_empty_days(spark):
 
 def test_report_store_and_read_model(spark, tmp_path):
     path = f"{tmp_path}/reports"
-    for day in (AS_OF - timedelta(days=1), AS_OF):
-        append_report(daily_report(scored(spark), day), path)
-    reports = spark.read.parquet(path)
+    assert read_reports(spark, path).count() == 0
+    for day in (AS_OF - timedelta(days=1), AS_OF, AS_OF):
+        write_report(daily_report(scored(spark), day), path)
+    reports = read_reports(spark, path)
+    assert reports.count() == 2
     latest = latest_report(reports).first()
     assert latest["report_date"] == AS_OF and latest["report_time"] == AS_OF + timedelta(hours=9)
     frames = read_model(scored(spark), reports, n=1)
@@ -116,7 +118,7 @@ def error_rows(spark):
 
 
 def test_error_statistics(spark):
-    states = spark.createDataFrame([("api", "OPEN")], "component string, state string")
+    states = spark.createDataFrame([("api", "OPEN"), (None, "OPEN"), ("db", None)], "component string, state string")
     row = errors.error_statistics(error_rows(spark), AS_OF, states=states).first()
     assert row["total_errors"] == 4
     assert row["component_breakdown"] == {"api": 2, "db": 1}

@@ -76,17 +76,43 @@ def test_partitioned_write_prunes_and_compacts(spark, sf_dir, tmp_path):
     filters = plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "created_date" in filters and "detected_language" in filters
     assert kept.select("detected_language").distinct().count() == 2
-    tables.write_scored(tables.read_table(spark, path), f"{tmp_path}/compact")
-    compact = tables.read_table(spark, f"{tmp_path}/compact")
-    assert compact.count() == 2 * scored.count()
-    assert len(compact.inputFiles()) <= len(tables.read_table(spark, path).inputFiles())
 
 
-def test_spread_only_small_inputs(spark, sf_dir):
+def test_spread_only_when_asked(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    assert "Exchange" in tables.spread(df, min_bytes=1000)._jdf.queryExecution().executedPlan().toString()
-    assert tables.spread(df, task_bytes=1) is df
-    assert tables.spread(df, min_bytes=1 << 40) is df
+    assert tables.spread(df, 5).rdd.getNumPartitions() == 5
+    assert tables.spread(df) is df
+
+
+def test_days_do_not_depend_on_the_session_zone(spark, tmp_path):
+    path = f"{tmp_path}/zones"
+    rows = spark.range(1).selectExpr("'a' id", "timestamp_seconds(1704139200) created_at", "'en' detected_language")
+    tables.write_scored(rows, path)  # 2024-01-01 20:00 UTC
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Seoul")
+    try:
+        since = F.timestamp_seconds(F.lit(1704135600))
+        kept = tables.read_scored(spark, path, since)
+        assert kept.count() == 1
+        assert "PartitionFilters: [isnotnull(created_date" in kept._jdf.queryExecution().executedPlan().toString()
+        tables.write_scored(rows, path)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r["created_date"].isoformat() for r in spark.read.parquet(path).collect()] == ["2024-01-01"] * 2
+
+
+def test_compaction_keeps_rows_and_other_days(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    rows = spark.range(40).selectExpr(
+        "string(id) id", "timestamp_seconds(1704100000 + id % 2 * 86400) created_at", "'en' detected_language"
+    )
+    for part in range(4):
+        tables.write_scored(rows.filter(f"id % 4 = {part}").coalesce(1), path)
+    before = spark.read.parquet(path).inputFiles()
+    tables.compact(spark, path, "2024-01-01")
+    after = spark.read.parquet(path)
+    assert sorted(int(r["id"]) for r in after.collect()) == list(range(40))
+    assert len([f for f in after.inputFiles() if "2024-01-01" in f]) == 1
+    assert {f for f in before if "2024-01-02" in f} == {f for f in after.inputFiles() if "2024-01-02" in f}
 
 
 @pytest.mark.parametrize("name", ["documents", "events"])
