@@ -23,17 +23,30 @@ def parse_posts(messages, value="value"):
     return messages.select(F.inline(F.array(decoded)))
 
 
-def split_messages(messages, value="value"):
-    """Decode once into (posts, rejects); rejects hold the unreadable text."""
+def tagged_posts(messages, value="value"):
+    """Messages decoded once: the post columns and the text of an unreadable message."""
     schema = T.StructType(POST_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(
         F.col(value).cast("string"),
         schema,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
-    decoded = messages.select(F.inline(F.array(parsed)))
-    rejects = decoded.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
-    return decoded.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), rejects
+    return messages.select(F.inline(F.array(parsed)))
+
+
+def split_tagged(tagged):
+    """(posts, rejects) of decoded messages. Store `tagged` when both sides are needed."""
+    bad = F.col(CORRUPT).isNotNull()
+    return tagged.filter(~bad).drop(CORRUPT), tagged.filter(bad).select(F.col(CORRUPT).alias("value"))
+
+
+def split_messages(messages, value="value"):
+    """(posts, rejects) of messages; rejects hold the unreadable text.
+
+    Each side decodes when it is used. To decode once for both, keep
+    `tagged_posts` and split that.
+    """
+    return split_tagged(tagged_posts(messages, value))
 
 
 def to_messages(posts):

@@ -1,15 +1,21 @@
 """The streaming scorer: source, sinks, metrics."""
 
+import threading
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from echolex.operators.distribution import observed_counts
 from echolex.plans.score import score_posts
-from echolex.sources.posts import parse_posts
+from echolex.sources.posts import split_messages, split_tagged, tagged_posts
 from echolex.sources.tables import PARTITIONS, path_exists, with_created_date
 
-# Defaults of the message source.
-KAFKA_OPTIONS = {
+# Nothing is skipped or capped by default: all messages from the first on, and an
+# error when messages expired before they were read.
+KAFKA_OPTIONS = {"startingOffsets": "earliest", "failOnDataLoss": "true"}
+# For a live view that may skip messages: newest first, at most 1,000 a trigger.
+LIVE_OPTIONS = {
     "failOnDataLoss": "false",
     "startingOffsets": "latest",
     "maxOffsetsPerTrigger": "1000",
@@ -36,18 +42,21 @@ def read_messages_stream(spark, fmt="kafka", schema="value string", path=None, *
 
 
 def score_messages(messages, partitions=None, dedup_within=None, **score_options):
-    """Messages to scored posts.
+    """Messages to scored posts; unreadable messages are left out, see `start_split_sink`.
 
     `partitions` deals the messages of a batch over that many tasks first, for
     sources that deliver a batch in one or a few tasks.
     `dedup_within` (e.g. "1 hour") drops a repeated post id that arrives within
-    that time, for sources that may send twice. Off by default.
+    that time, for sources that may send twice. The time is that of arrival, so
+    an old post that comes late is kept. Off by default.
     """
     if partitions:
         messages = messages.repartition(partitions)
-    scored = score_posts(parse_posts(messages), **score_options)
+    posts, _ = split_messages(messages)
+    scored = score_posts(posts, **score_options)
     if dedup_within:
-        scored = scored.withWatermark("created_at", dedup_within).dropDuplicatesWithinWatermark(["id"])
+        arrived = scored.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", dedup_within)
+        scored = arrived.dropDuplicatesWithinWatermark(["id"]).drop("_arrived")
     return scored
 
 
@@ -61,8 +70,8 @@ def gather(scored, writers=None):
     Without this every task writes a file into every folder. A folder's rows
     are dealt by post id over `writers` tasks, so one large language is not
     left to a single task; the default is a sixteenth of the shuffle
-    partitions. Adaptive execution, which would size this by itself, is off in
-    streaming queries.
+    partitions. Where adaptive execution is on in a stateless query, it joins
+    small writers again.
     """
     if writers is None:
         writers = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16
@@ -70,7 +79,13 @@ def gather(scored, writers=None):
     return with_created_date(scored).repartition(*map(F.col, PARTITIONS), salt)
 
 
-def start_file_sink(scored, path, checkpoint, trigger=None, compression="snappy", writers=None):
+def _named(writer, name):
+    return writer.queryName(name) if name else writer
+
+
+def start_file_sink(
+    scored, path, checkpoint, trigger=None, compression="snappy", writers=None, name=None
+):
     """Append scored posts to a partitioned Parquet table, exactly once.
 
     The file sink keeps its own log of committed files in the table folder;
@@ -85,7 +100,7 @@ def start_file_sink(scored, path, checkpoint, trigger=None, compression="snappy"
         .option("checkpointLocation", checkpoint)
         .option("path", path)
     )
-    return _trigger(writer, trigger).start()
+    return _trigger(_named(writer, name), trigger).start()
 
 
 def write_scored_batch(batch, batch_id, path, stream="posts", compression="snappy", writers=None):
@@ -104,7 +119,7 @@ def write_scored_batch(batch, batch_id, path, stream="posts", compression="snapp
 
 
 def start_batch_sink(
-    scored, path, checkpoint, stream="posts", trigger=None, compression="snappy", writers=None
+    scored, path, checkpoint, stream="posts", trigger=None, compression="snappy", writers=None, name=None
 ):
     """Write through `write_scored_batch`; failures stop the query, and the
     checkpoint replays the batch.
@@ -126,6 +141,25 @@ def start_batch_sink(
         )
         .option("checkpointLocation", checkpoint)
     )
+    return _trigger(_named(writer, name), trigger).start()
+
+
+def start_split_sink(messages, path, rejects_path, checkpoint, stream="posts", trigger=None, **score_options):
+    """Score messages and keep the unreadable ones, both from one decoding.
+
+    Each micro-batch is decoded once and kept while its two sides are written:
+    posts through `write_scored_batch`, rejects into their own folder by batch
+    number, so that a replayed batch replaces both.
+    """
+
+    def write(batch, batch_id):
+        tagged = tagged_posts(batch).persist()
+        posts, rejects = split_tagged(tagged)
+        write_scored_batch(score_posts(posts, **score_options), batch_id, path, stream)
+        rejects.write.mode("overwrite").parquet(f"{rejects_path}/stream={stream}/batch_id={batch_id}")
+        tagged.unpersist()
+
+    writer = messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()
 
 
@@ -159,9 +193,51 @@ def _metric_row(progress):
     )
 
 
-def stream_metrics(spark, query):
-    """One row per recent micro-batch, from the progress Spark keeps."""
-    return spark.createDataFrame([_metric_row(p) for p in query.recentProgress], METRICS_SCHEMA)
+class MetricsTable(StreamingQueryListener):
+    """Writes one row per micro-batch of one query to a table, whatever the run's length.
+
+    Rows are keyed by stream name and batch number, so a replayed batch
+    replaces its row. `finish` waits for the query's last event and detaches.
+    """
+
+    def __init__(self, spark, path, query_name):
+        self.spark, self.path, self.query_name = spark, path, query_name
+        self.ended, self.failure = threading.Event(), None
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        progress = event.progress
+        if progress.name != self.query_name or self.failure:
+            return
+        try:
+            row = self.spark.createDataFrame([_metric_row(progress)], METRICS_SCHEMA).coalesce(1)
+            folder = f"{self.path}/stream={self.query_name}/batch={progress.batchId}"
+            row.write.mode("overwrite").parquet(folder)
+        except Exception as failure:  # reported by finish, in the caller's thread
+            self.failure = failure
+
+    def onQueryTerminated(self, event):
+        self.ended.set()
+
+    def finish(self, seconds=60):
+        """Detach once the query's end has been heard; raises what a write has raised."""
+        heard = self.ended.wait(seconds)
+        self.spark.streams.removeListener(self)
+        if self.failure:
+            raise self.failure
+        if not heard:
+            raise TimeoutError(f"no end of query {self.query_name!r} within {seconds} s")
+
+
+def stream_metrics(spark, path):
+    """One row per micro-batch of the whole run, from the table a `MetricsTable` wrote."""
+    return spark.read.schema(METRICS_SCHEMA).option("recursiveFileLookup", True).parquet(path)
 
 
 def run_counters(metrics):
@@ -173,4 +249,3 @@ def run_counters(metrics):
             for c in ("records", "positive", "negative", "neutral")
         ],
     )
-

@@ -43,18 +43,18 @@ def test_file_sink_equals_batch_and_restarts(spark, inbox, tmp_path):
     inbox.add(0)
     run(stream.start_file_sink(inbox.scored(partitions=4), path, checkpoint, ONCE))
     inbox.add(1)
-    query = run(stream.start_file_sink(inbox.scored(), path, checkpoint, ONCE, writers=2))
+    run(stream.start_file_sink(inbox.scored(), path, checkpoint, ONCE, writers=2))
     run(stream.start_file_sink(inbox.scored(), path, checkpoint, ONCE))
     assert rows_of(spark.read.parquet(path)) == rows_of(inbox.expected)
-    counters = stream.run_counters(stream.stream_metrics(spark, query)).first()
-    assert counters["processed_batches"] == 1 and 0 < counters["total_records"] < inbox.expected.count()
 
 
 def test_batch_sink_replaces_replayed_batches(spark, inbox, tmp_path):
     path, checkpoint = f"{tmp_path}/table", f"{tmp_path}/checkpoint"
     inbox.add(0)
     inbox.add(1)
-    query = run(stream.start_batch_sink(inbox.scored(), path, checkpoint, trigger=ONCE))
+    listener = stream.MetricsTable(spark, f"{tmp_path}/metrics", "replayed")
+    run(stream.start_batch_sink(inbox.scored(), path, checkpoint, trigger=ONCE, name="replayed"))
+    listener.finish()
     table = spark.read.parquet(path)
     assert rows_of(table) == rows_of(inbox.expected)
     first = table.filter("batch_id = 0").select(*inbox.expected.columns)
@@ -63,7 +63,7 @@ def test_batch_sink_replaces_replayed_batches(spark, inbox, tmp_path):
     assert rows_of(spark.read.parquet(path)) == rows_of(inbox.expected)
     stream.write_scored_batch(first.limit(0), 99, path)
     assert rows_of(spark.read.parquet(path)) == rows_of(inbox.expected)
-    counters = stream.run_counters(stream.stream_metrics(spark, query)).first()
+    counters = stream.run_counters(stream.stream_metrics(spark, f"{tmp_path}/metrics")).first()
     assert counters["processed_batches"] == 2 and counters["total_records"] == inbox.expected.count()
 
 
@@ -85,21 +85,45 @@ def test_failing_batch_stops_the_query(spark, inbox, tmp_path):
         query.awaitTermination()
 
 
-def test_repeated_ids_can_be_dropped(spark, inbox, tmp_path):
-    inbox.add(0)
-    inbox.add(0)
-    scored = inbox.scored(dedup_within="400 days")
+def test_repeated_ids_go_and_late_posts_stay(spark, inbox, tmp_path):
+    rows = multiscript_posts(spark, "/root/testdata/sf0.001")
+    for part in ("cast(id as int) >= 100", "cast(id as int) < 100", "cast(id as int) >= 100"):
+        to_messages(rows.filter(part)).coalesce(1).write.mode("append").text(inbox.path)
+    scored = inbox.scored(dedup_within="1 hour")
     run(stream.start_file_sink(scored, f"{tmp_path}/table", f"{tmp_path}/c", ONCE))
-    ids = [r["id"] for r in spark.read.parquet(f"{tmp_path}/table").collect()]
-    assert len(ids) == len(set(ids)) > 0
+    assert rows_of(spark.read.parquet(f"{tmp_path}/table")) == rows_of(inbox.expected)
+
+
+def test_metrics_outlast_the_progress_spark_keeps(spark, inbox, tmp_path):
+    rows = to_messages(multiscript_posts(spark, "/root/testdata/sf0.001"))
+    rows.repartition(5).write.text(inbox.path)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        listener = stream.MetricsTable(spark, f"{tmp_path}/metrics", "long_run")
+        query = stream.start_file_sink(
+            inbox.scored(), f"{tmp_path}/table", f"{tmp_path}/c", ONCE, name="long_run"
+        )
+        run(query)
+        listener.finish()
+        assert len(query.recentProgress) <= 2
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    counters = stream.run_counters(stream.stream_metrics(spark, f"{tmp_path}/metrics")).first()
+    assert counters["processed_batches"] == 5
+    assert counters["total_records"] == inbox.expected.count()
+
+
+def test_unreadable_messages_are_kept(spark, inbox, tmp_path):
+    inbox.add(0)
+    spark.createDataFrame([("{broken",), ("[1",)], "value string").coalesce(1).write.mode("append").text(inbox.path)
+    messages = stream.read_messages_stream(spark, "text", path=inbox.path, maxFilesPerTrigger=1)
+    run(stream.start_split_sink(messages, f"{tmp_path}/table", f"{tmp_path}/bad", f"{tmp_path}/c", trigger=ONCE))
+    assert sorted(r["value"] for r in spark.read.parquet(f"{tmp_path}/bad").collect()) == ["[1", "{broken"]
+    assert spark.read.parquet(f"{tmp_path}/table").count() == inbox.expected.filter("id % 2 = 0").count()
 
 
 def test_kafka_defaults():
-    options = stream.source_options("kafka", {"subscribe": "posts", "startingOffsets": "earliest"})
-    assert options == {
-        "failOnDataLoss": "false",
-        "startingOffsets": "earliest",
-        "maxOffsetsPerTrigger": "1000",
-        "subscribe": "posts",
-    }
+    options = stream.source_options("kafka", {"subscribe": "posts"})
+    assert options == {"failOnDataLoss": "true", "startingOffsets": "earliest", "subscribe": "posts"}
+    assert stream.source_options("kafka", stream.LIVE_OPTIONS) == stream.LIVE_OPTIONS
     assert stream.source_options("text", {"maxFilesPerTrigger": 1}) == {"maxFilesPerTrigger": 1}
