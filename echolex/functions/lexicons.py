@@ -48,8 +48,8 @@ MIXED_NEGATIVE = (
     "나쁘", "최악", "끔찍", "혐오",
 )
 
-# Lexicon per language; languages not listed use the "en" entry. Callers may
-# pass their own table of the same shape.
+# Lexicon per language; languages not listed use the "en" entry. The token
+# scorers take a caller's table of the same shape as `lexicons`.
 LEXICONS = {
     "ko": (KOREAN_POSITIVE, KOREAN_NEGATIVE),
     "en": (ENGLISH_POSITIVE, ENGLISH_NEGATIVE),
@@ -74,7 +74,6 @@ STOPWORDS = (
 SENSITIVE_TERMS = ("password", "secret", "key", "token", "credential")
 SENSITIVE_MARKER = "[로그에 민감한 정보 포함됨 - %s]"
 
-SEVERITIES = ("LOW", "MEDIUM", "HIGH", "CRITICAL")
 ALERT_SEVERITIES = ("HIGH", "CRITICAL")
 ALERT_FORMAT = "🚨 ALERT: %s error in %s"
 

@@ -49,15 +49,20 @@ def _sign_label(balance):
     return _by_sign(balance, F.lit("NEGATIVE"), F.lit("NEUTRAL"), F.lit("POSITIVE"))
 
 
-def _by_language(language, build):
-    """`build(pos, neg)` for a fixed language, or routed by a language column."""
+def _by_language(language, build, lexicons=None):
+    """`build(pos, neg)` for a fixed language, or routed by a language column.
+
+    `lexicons` adds languages to the built-in table or replaces them; a language
+    in neither takes "en".
+    """
+    known = {**LEXICONS, **(lexicons or {})}
     if isinstance(language, str):
-        return build(*LEXICONS.get(language, LEXICONS["en"]))
+        return build(*known.get(language, known["en"]))
     routed = F
-    for code, lists in LEXICONS.items():
+    for code, lists in known.items():
         if code != "en":
             routed = routed.when(language == code, build(*lists))
-    return routed.otherwise(build(*LEXICONS["en"]))
+    return routed.otherwise(build(*known["en"]))
 
 
 def _minimal(words):
@@ -81,16 +86,16 @@ def token_hits(lowered, words):
     return F.when(reduce(or_, [lowered.contains(w) for w in words]), hits).otherwise(0)
 
 
-def token_label(text, language="en", lowered=None):
-    """Label of the token-containment scorer."""
+def token_label(text, language="en", lowered=None, lexicons=None):
+    """Label of the token-containment scorer, by the built-in and the caller's word lists."""
     lowered = F.lower(or_empty(text)) if lowered is None else lowered
     balance = _by_language(
-        language, lambda pos, neg: token_hits(lowered, pos) - token_hits(lowered, neg)
+        language, lambda pos, neg: token_hits(lowered, pos) - token_hits(lowered, neg), lexicons
     )
     return _sign_label(balance)
 
 
-def token_sentiment(text, language="en", lowered=None):
+def token_sentiment(text, language="en", lowered=None, lexicons=None):
     """Token-containment scorer as struct (label, confidence, source, text_length).
 
     A text is positive when more tokens contain a positive word than a negative
@@ -99,8 +104,8 @@ def token_sentiment(text, language="en", lowered=None):
     """
     text = or_empty(text)
     lowered = F.lower(text) if lowered is None else lowered
-    pos = _by_language(language, lambda p, _: token_hits(lowered, p))
-    neg = _by_language(language, lambda _, n: token_hits(lowered, n))
+    pos = _by_language(language, lambda p, _: token_hits(lowered, p), lexicons)
+    neg = _by_language(language, lambda _, n: token_hits(lowered, n), lexicons)
     balance = pos - neg
     winner = F.least(F.lit(0.8), F.lit(0.5) + F.lit(0.1) * F.greatest(pos, neg))
     blank = is_blank(text)

@@ -24,20 +24,24 @@ def with_language(df, text="text", two_way=False):
     return df.withColumn("detected_language", rule(F.col(text)))
 
 
-def with_label(df, scorer="tokens", text="text", max_chars=None, model=None):
+def with_label(
+    df, scorer="tokens", text="text", max_chars=None, model=None, lexicons=None, status=None
+):
     """Add `sentiment_label` by a scorer, or by a model with the scorer behind it.
 
     Scorers: `tokens` (default, by the row's language), `presence`, `mixed`,
     `exact`, `routed`. The whole text is scored unless `max_chars` is given.
     `model` is a UDF from `model_scorer`; rows it fails on fall back to the
-    scorer, and then to NEUTRAL.
+    scorer, and then to NEUTRAL; `status` names a boolean column that marks
+    them. `lexicons` (language: (positive words, negative words)) replaces
+    entries of the token scorer's table or adds languages to it.
     """
     body = truncate(F.col(text), max_chars) if max_chars else F.col(text)
     # A projection of its own: the lower-cased text is computed once per row.
     df = df.withColumn(LOWERED, F.lower(or_empty(body)))
     lowered, language = F.col(LOWERED), F.col("detected_language")
     scorers = {
-        "tokens": lambda: S.token_label(body, language, lowered),
+        "tokens": lambda: S.token_label(body, language, lowered, lexicons),
         "presence": lambda: S.presence_label(body, lowered=lowered),
         "mixed": lambda: S.mixed_presence_label(body, lowered),
         "exact": lambda: S.exact_label(body, lowered),
@@ -45,9 +49,12 @@ def with_label(df, scorer="tokens", text="text", max_chars=None, model=None):
     }
     label = S.cascade(scorers[scorer]())
     if model is not None:
-        df = df.withColumn("_model_label", S.standard_label(model(body)))
-        label = S.cascade(F.col("_model_label"), scorers[scorer]())
-    return df.withColumn("sentiment_label", label).drop(LOWERED, "_model_label")
+        df = df.withColumn("_model", model(body))
+        label = S.cascade(S.standard_label(F.col("_model.label")), scorers[scorer]())
+    df = df.withColumn("sentiment_label", label)
+    if status:
+        df = df.withColumn(status, (F.col("_model.failed") == 1) if model is not None else F.lit(False))
+    return df.drop(LOWERED, "_model")
 
 
 def label_texts(df, text="text", **options):
@@ -62,49 +69,67 @@ def with_sentiment(df, text="text", language="detected_language"):
     return df.withColumn("sentiment", value).drop(LOWERED)
 
 
-def model_scorer(factory, batch_size=64):
+MODEL_RESULT = T.StructType(
+    [T.StructField("label", T.StringType()), T.StructField("failed", T.IntegerType())]
+)
+# Texts a worker has scored before its share of failures is judged.
+MIN_JUDGED = 200
+
+
+def model_scorer(factory, batch_size=64, max_failed_share=0.5):
     """A UDF over text from `factory`, which loads a model and returns `predict`.
 
     `predict` takes a list of texts and returns raw labels. The factory runs
     once per Python worker. When a batch fails its texts are tried one by one,
-    and a text that fails alone gets a null label.
+    and a text that fails alone gets a null label and `failed`. A worker of
+    which more than `max_failed_share` of the texts have failed raises the
+    model's error instead of labelling on without it; 1 never raises.
     """
 
     def make_predict():
         predict = factory()
+        seen = {"texts": 0, "failed": 0}
 
         def attempt(texts):
             try:
                 labels = list(predict(texts))
-            except Exception:
-                labels = None
-            if labels is not None and len(labels) == len(texts):
-                return labels
-            return [None] if len(texts) == 1 else [x for t in texts for x in attempt([t])]
+                if len(labels) != len(texts):
+                    raise ValueError(f"{len(labels)} labels for {len(texts)} texts")
+                return [(label, False) for label in labels], None
+            except Exception as failure:
+                if len(texts) == 1:
+                    return [(None, True)], failure
+                parts = [attempt([t]) for t in texts]
+                return [x for part, _ in parts for x in part], failure
 
         def predict_batch(texts):
             filled = ["" if pd.isna(t) else t for t in texts]
-            return np.array(attempt(filled), dtype=object)
+            found, failure = attempt(filled)
+            seen["texts"] += len(found)
+            seen["failed"] += sum(failed for _, failed in found)
+            if seen["texts"] >= MIN_JUDGED and seen["failed"] > max_failed_share * seen["texts"]:
+                raise RuntimeError(f"the model failed on {seen['failed']} of {seen['texts']} texts") from failure
+            return {
+                "label": np.array([label for label, _ in found], dtype=object),
+                "failed": np.array([failed for _, failed in found], dtype=np.int32),
+            }
 
         return predict_batch
 
-    return predict_batch_udf(make_predict, return_type=T.StringType(), batch_size=batch_size)
+    return predict_batch_udf(make_predict, return_type=MODEL_RESULT, batch_size=batch_size)
 
 
 def score_distinct(posts, score, text="text", spread="id", hot_rows=HOT_ROWS):
     """Score each distinct text once and join the labels back.
 
-    For scorers that cost more than a shuffle of the text. Copies are combined
-    before the shuffle; the join back is keyed by a digest, and the rows of
-    much-copied texts are spread over several tasks. `score` is a function that
-    adds `sentiment_label` to a frame with the text column, such as
-    `label_texts`. Null texts share one key.
+    For scorers that cost more than a shuffle of the text. Texts are grouped by
+    their digest, one copy of each per task reaching the shuffle; the join back
+    is keyed by the digest, and the rows of much-copied texts are spread over
+    several tasks. `score` is a function that adds `sentiment_label` to a frame
+    with the text column, such as `label_texts`. Null texts share one key.
     """
     key = F.coalesce(F.sha2(F.col(text), 256), F.lit("null"))
     keyed = posts.withColumn("text_key", key)
-    copies = keyed.groupBy("text_key", text).agg(F.count(F.lit(1)).alias("n"))
-    labels = score(copies.select("text_key", text)).select("text_key", "sentiment_label")
-    joined = lookup_join(
-        keyed, labels, "text_key", spread, counts=copies.select("text_key", "n"), hot_rows=hot_rows
-    )
-    return joined.drop("text_key")
+    copies = keyed.groupBy("text_key").agg(F.any_value(text).alias(text))
+    labels = score(copies).select("text_key", "sentiment_label")
+    return lookup_join(keyed, labels, "text_key", spread, hot_rows=hot_rows).drop("text_key")

@@ -5,21 +5,17 @@ from pyspark.sql import functions as F
 
 # A key with more rows than this is spread over several tasks.
 HOT_ROWS = 1_000_000
-MAX_SALTS = 64
-# At most this many hot keys are looked up by broadcast (some 300 KB). Keys
-# beyond it are joined unsalted, with the same result.
-MAX_HOT_KEYS = 4096
+# Sub-groups a large ranking is cut in first.
+RANK_SALTS = 64
 
 
 def hot_keys(counts, key, n="n", hot_rows=HOT_ROWS):
-    """The largest keys of a (key, n) table with the number of salts each gets."""
-    salts = F.least(F.lit(MAX_SALTS), F.ceil(F.col(n) / hot_rows)).cast("int")
-    return (
-        counts.filter((F.col(n) > hot_rows) & F.col(key).isNotNull())
-        .orderBy(F.col(n).desc(), key)
-        .limit(MAX_HOT_KEYS)
-        .select(key, salts.alias("salts"))
-    )
+    """The keys of a (key, n) table above `hot_rows`, with the number of salts each gets.
+
+    There are at most as many as all rows over `hot_rows`.
+    """
+    salts = F.ceil(F.col(n) / hot_rows).cast("int")
+    return counts.filter((F.col(n) > hot_rows) & F.col(key).isNotNull()).select(key, salts.alias("salts"))
 
 
 def lookup_join(rows, table, key, spread, how="left", counts=None, hot_rows=HOT_ROWS):
@@ -27,16 +23,19 @@ def lookup_join(rows, table, key, spread, how="left", counts=None, hot_rows=HOT_
 
     `counts` holds rows per key (key, n); it is computed with map-side
     combining when not given. Rows of a hot key are dealt to `salts` tasks by
-    the hash of `spread` and the one matching table row is repeated that many
-    times. All other keys take salt 0. Only the hot keys are broadcast, and
-    their number is bounded.
+    the hash of `spread`, and the one matching table row is repeated that many
+    times, so a task gets some `hot_rows` rows of a key. Null keys match
+    nothing; they are dealt over all shuffle partitions. All other keys take
+    salt 0. Broadcast are the hot keys, one per `hot_rows` rows at most.
     """
     if counts is None:
         counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     hot = F.broadcast(hot_keys(counts, key, hot_rows=hot_rows))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salts = F.coalesce(F.col("salts"), F.lit(1))
+    dealt = F.when(F.col(key).isNull(), F.lit(16 * tasks)).otherwise(salts)
     left = rows.join(hot, key, "left").withColumn(
-        "salt", F.pmod(F.xxhash64(spread), salts).cast("int")
+        "salt", F.pmod(F.xxhash64(spread), dealt).cast("int")
     )
     right = table.join(hot, key, "left").withColumn(
         "salt", F.explode(F.sequence(F.lit(0), salts - 1))
@@ -54,7 +53,7 @@ def top_per_group(df, keys, order, n, spread):
     spark = df.sparkSession
     threshold = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n > threshold:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(MAX_SALTS)))
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(RANK_SALTS)))
         df = _ranked(salted, [*keys, "_salt"], order, n).drop("_salt")
     return _ranked(df, keys, order, n)
 

@@ -89,5 +89,5 @@ def test_recovery_rules(column_of, spark):
     ]
     own = spark.createDataFrame([("KeyError", "RETRY")], "error_type string, strategy string")
     errors = spark.createDataFrame([("KeyError", 1), ("TimeoutError", 2)], "error_type string, n int")
-    got = with_strategy(errors, own, spread="n").collect()
+    got = with_strategy(errors, own).collect()
     assert {r["n"]: r["strategy"] for r in got} == {1: "RETRY", 2: "MANUAL"}

@@ -3,6 +3,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from echolex.functions.text import cache_key
@@ -51,6 +52,32 @@ def test_model_with_fallback(spark):
     assert labels(scored) == {"0": "POSITIVE", "1": "POSITIVE", "2": "NEUTRAL", "3": "NEGATIVE"}
 
 
+def test_model_failures_are_marked_and_end_the_job_over_a_share(spark):
+    def factory():
+        def predict(texts):
+            if any("boom" in t for t in texts):
+                raise RuntimeError("model failed")
+            return ["5_STARS" for _ in texts]
+
+        return predict
+
+    texts = ["plain words in here" if i % 3 else "boom and a bad day" for i in range(900)]
+    rows = posts(spark, texts).coalesce(1)
+    scored = score_posts(rows, model=scoring.model_scorer(factory), status="failed").cache()
+    assert scored.filter("failed").count() == 300
+    assert scored.filter("failed and sentiment_label = 'NEGATIVE'").count() == 300
+    strict = score_posts(rows, model=scoring.model_scorer(factory, max_failed_share=0.2))
+    with pytest.raises(Exception, match="the model failed on"):
+        strict.write.format("noop").mode("overwrite").save()
+
+
+def test_lexicons_of_the_caller(spark):
+    rows = posts(spark, ["очень хорошо сегодня", "это плохо сегодня", "just a superb day"])
+    own = {"ru": (("хорошо",), ("плохо",)), "en": (("superb",), ("dull",))}
+    assert labels(score_posts(rows, lexicons=own)) == {"0": "POSITIVE", "1": "NEGATIVE", "2": "POSITIVE"}
+    assert labels(score_posts(rows)) == {"0": "NEUTRAL", "1": "NEUTRAL", "2": "NEUTRAL"}
+
+
 def test_score_distinct_keeps_every_row(spark):
     pick = random.Random(3)
     texts = ["good copy"] * 300 + [pick.choice(["bad one", "so so", None]) for _ in range(100)]
@@ -73,6 +100,20 @@ def test_lookup_join_salts_hot_keys(spark):
     assert all(got[i] == (2 if i % 7 == 1 else None) for i in range(400, 1000))
 
 
+def test_null_keys_are_spread(spark):
+    rows = spark.range(1000).select("id", F.when(F.col("id") % 10 == 0, "k").alias("key"))
+    table = spark.createDataFrame([("k", 1)], "key string, v int")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lookup_join(rows, table, "key", "id", hot_rows=10)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 1000 and max(sizes) <= 2 * 1000 / 8
+
+
 def entry(key, label, hours_ago):
     return (key, (label, 0.6, "local", 1), AS_OF - timedelta(hours=hours_ago))
 
