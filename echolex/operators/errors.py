@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from echolex.functions.lexicons import ALERT_SEVERITIES, DEFAULT_STRATEGY
 from echolex.functions.recovery import alert_text, fallback_rule, recovery_strategy
 from echolex.functions.times import cutoff
-from echolex.operators.skew import lookup_join
 
 
 def recent_errors(errors, as_of, hours=24):
@@ -57,8 +56,9 @@ def error_statistics(errors, as_of, hours=24, states=None):
 
     Both count maps, the totals and the recovery rate come from one pass over
     the recent events: events are first counted per (component, severity), and
-    only those counts are gathered. `states` (component, state) adds the
-    circuit states. The maps have one entry per component.
+    only those counts are gathered, one entry per component. `states`
+    (component, state) adds a map of states that are known already; rows
+    without a component or state are left out of it.
     """
     pairs = (
         recent_errors(errors, as_of, hours)
@@ -87,22 +87,24 @@ def error_statistics(errors, as_of, hours=24, states=None):
     ).select(F.col("n").alias("total_errors"), "component_breakdown", "severity_breakdown", _rate())
     if states is None:
         return report
+    states = states.filter(F.col("component").isNotNull() & F.col("state").isNotNull())
+    states = states.groupBy("component").agg(F.max("state").alias("state"))
     entries = F.array_sort(F.collect_list(F.struct("component", "state")))
     return report.withColumn(
         "circuit_breaker_states", states.agg(F.map_from_entries(entries)).scalar()
     )
 
 
-def with_strategy(errors, strategies=None, spread="timestamp"):
+def with_strategy(errors, strategies=None):
     """Add the recovery strategy of each event.
 
     `strategies` (error_type, strategy) replaces the built-in table; types it
-    does not list are MANUAL. Events of a very frequent type are dealt over
-    several tasks by the hash of `spread`.
+    does not list are MANUAL. It is a plain join: Spark broadcasts a table that
+    it finds small enough, and may split a frequent type otherwise.
     """
     if strategies is None:
         return errors.withColumn("strategy", recovery_strategy(F.col("error_type")))
-    joined = lookup_join(errors, strategies, "error_type", spread)
+    joined = errors.join(strategies, "error_type", "left")
     return joined.withColumn("strategy", F.coalesce("strategy", F.lit(DEFAULT_STRATEGY)))
 
 

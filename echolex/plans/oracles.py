@@ -1,7 +1,7 @@
 """The queries of `registry` as DuckDB SQL over the same tables.
 
 Written apart from the Spark side: tokens are split instead of searched,
-ratios are divided, circuit states are walked call by call.
+ratios are divided.
 """
 
 from echolex.functions import lexicons as W
@@ -86,6 +86,12 @@ def _exact(words, text="text"):
     return f"len(list_intersect({tokens}, {_list(words)}))"
 
 
+def _own(language, side):
+    """Hits of the word lists a caller brings, as the query has them."""
+    lists = {"ru": (("тхе", "аб"), ("ин", "ел")), "en": (("great", "tion"), ("awful", "er"))}
+    return _token_hits(lists[language][side])
+
+
 def _versus(pos, neg):
     return f"CASE WHEN {pos} > {neg} THEN 'POSITIVE' WHEN {neg} > {pos} THEN 'NEGATIVE' ELSE 'NEUTRAL' END"
 
@@ -201,30 +207,6 @@ RATE = (
     "round(coalesce(100.0 * count(*) FILTER (WHERE attempted AND ok)"
     " / nullif(count(*) FILTER (WHERE attempted), 0), 0)::DOUBLE, 6) AS recovery_success_rate"
 )
-# Threshold 3, timeout 7200 s: a call passes an open circuit from second 7201 on.
-CIRCUIT = f"""calls AS (
-    SELECT {COMPONENT} AS component, ts, event_id AS call_id, event_type <> 'error' AS ok,
-        row_number() OVER (PARTITION BY user_id % 10 ORDER BY ts, event_id) AS rn
-    FROM events),
-states AS (
-    SELECT DISTINCT component, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS call_id, 'CLOSED' AS state,
-        CAST(0 AS BIGINT) AS failure_count, CAST(NULL AS TIMESTAMP) AS failed_at, FALSE AS refused
-    FROM calls
-    UNION ALL
-    SELECT component, rn, call_id,
-        CASE WHEN refused THEN 'OPEN' WHEN ok AND was_open THEN 'CLOSED' WHEN ok THEN 'CLOSED'
-            WHEN failures + 1 >= 3 THEN 'OPEN' ELSE 'CLOSED' END,
-        CASE WHEN refused THEN failures WHEN ok AND was_open THEN 0 WHEN ok THEN failures ELSE failures + 1 END,
-        CASE WHEN refused OR ok THEN failed_at ELSE ts END,
-        refused
-    FROM (
-        SELECT c.component, c.rn, c.call_id, c.ok, c.ts, s.failed_at, s.failure_count AS failures,
-            s.state = 'OPEN' AS was_open,
-            s.state = 'OPEN' AND epoch_us(c.ts) - epoch_us(s.failed_at) < 7201000000 AS refused
-        FROM states s JOIN calls c ON c.component = s.component AND c.rn = s.rn + 1))"""
-WITH_CIRCUIT = f"WITH RECURSIVE {CIRCUIT}"
-
-
 def _capped(unit, limit):
     return f"""SELECT component, call_id, {_shown('window_start')} AS window_start FROM (
         SELECT {COMPONENT} AS component, event_id AS call_id, date_trunc('{unit}', ts) AS window_start,
@@ -326,8 +308,42 @@ ORACLES = {
         FROM documents""",
     "model_score": f"""{WITH_SCORED}
         SELECT id, CASE WHEN length(text) > 5000 THEN sentiment_label ELSE
-            {STARS.format("(length(text) % 5 + 1) || '_STARS'")} END AS sentiment_label
+            {STARS.format("(length(text) % 5 + 1) || '_STARS'")} END AS sentiment_label,
+            length(text) > 5000 AS failed, count(*) FILTER (WHERE length(text) > 5000) OVER () AS failed_rows
         FROM scored""",
+    "lexicon_custom": f"""WITH {MULTI}, tagged AS (SELECT *, {LANGUAGE} AS detected_language FROM multi),
+        own AS (SELECT *, CASE detected_language WHEN 'ru' THEN {_own('ru', 0)} WHEN 'ko' THEN
+                {_token_hits(W.KOREAN_POSITIVE)} ELSE {_own('en', 0)} END AS pos,
+            CASE detected_language WHEN 'ru' THEN {_own('ru', 1)} WHEN 'ko' THEN
+                {_token_hits(W.KOREAN_NEGATIVE)} ELSE {_own('en', 1)} END AS neg FROM tagged)
+        SELECT id, detected_language, {_versus('pos', 'neg')} AS sentiment_label FROM own WHERE {_clean()}""",
+    "describe_table": """SELECT * FROM (VALUES ('doc_id', 'bigint'), ('text', 'string'), ('lang', 'string'),
+        ('source', 'string'), ('n_chars', 'bigint')) t(name, type)""",
+    "merged_read": """SELECT doc_id, lang, CASE WHEN doc_id % 2 = 1 THEN coalesce(source, '-') ELSE '-' END AS source
+        FROM documents""",
+    "written_formats": """SELECT event_id, 2::BIGINT AS n, (2 * CAST(value AS DECIMAL(18, 4)))::DOUBLE AS total
+        FROM events""",
+    "recovery_strategy_table": f"""{WITH_ERRORS}
+        SELECT event_id, error_type, CASE WHEN error_type = 'TimeoutError' THEN 'WAIT'
+            WHEN error_type = 'Other' THEN 'MANUAL' ELSE 'SKIP' END AS strategy FROM errors""",
+    "empty_window_report": f"""{WITH_SCORED}, t AS (SELECT max(created_at) AS as_of FROM posts_all)
+        SELECT {_shown('as_of')} AS report_date, round(avg({SCORE}), 6) AS average_sentiment_score
+        FROM scored, t WHERE created_at >= as_of - INTERVAL 24 HOUR GROUP BY as_of""".replace(
+        "posts_all", "multi"),
+    "report_store": f"""{WITH_SCORED}, t AS (SELECT max(created_at) AS as_of FROM multi)
+        SELECT {_shown('as_of')} AS report_date, round(avg({SCORE}), 6) AS average_sentiment_score,
+            2::BIGINT AS n_reports
+        FROM scored, t WHERE created_at >= as_of - INTERVAL 24 HOUR GROUP BY as_of""",
+    "read_model": f"""{_report(ROLLING)}, bucketed AS (SELECT *, {BUCKET} AS lang_bucket FROM scored)
+        SELECT 'kpis' AS frame, k AS key, (CASE k WHEN 'total' THEN count(*) ELSE
+            count(*) FILTER (WHERE lang_bucket = k) END)::VARCHAR AS value
+        FROM bucketed, (VALUES ('total'), ('ko'), ('en'), ('other')) v(k) GROUP BY k
+        UNION ALL SELECT 'labels', lang_bucket || '/' || sentiment_label, count(*)::VARCHAR
+        FROM bucketed GROUP BY ALL
+        UNION ALL SELECT 'newest', lang_bucket || '/' || id, sentiment_label FROM (SELECT *, row_number() OVER (
+            PARTITION BY lang_bucket ORDER BY created_at DESC, id) AS rn FROM bucketed) WHERE rn <= 10
+        UNION ALL SELECT 'report', 'report_date', {_shown('max(created_at)')} FROM multi
+        UNION ALL SELECT 'keywords', row_number() OVER (ORDER BY "count" DESC, word)::VARCHAR, word FROM top""",
     "score_distinct": f"{WITH_POSTS} SELECT id, {TOKENS_EN} AS sentiment_label FROM posts",
     "parse_reply": f"""SELECT doc_id,
             CASE WHEN n_chars % 5 IN (1, 4)
@@ -427,12 +443,10 @@ ORACLES = {
         SELECT 'component' AS dimension, component AS value, count(*) AS n FROM errors GROUP BY component
         UNION ALL SELECT 'severity', severity, count(*) FROM errors GROUP BY severity
         UNION ALL SELECT 'total', '-', count(*) FROM errors""",
-    "error_statistics": f"""{WITH_CIRCUIT}, {ERRORS},
-        recent AS (SELECT * FROM errors WHERE ts > (SELECT max(ts) FROM errors) - INTERVAL 168 HOUR),
-        last AS (SELECT component, arg_max(state, rn) AS n FROM states GROUP BY component)
+    "error_statistics": f"""{WITH_ERRORS},
+        recent AS (SELECT * FROM errors WHERE ts > (SELECT max(ts) FROM errors) - INTERVAL 168 HOUR)
         SELECT count(*) AS total_errors, {_by_text('component', 'recent')}, {_by_text('severity', 'recent')},
-            {RATE},
-            (SELECT string_agg(component || '=' || n, ';' ORDER BY component) FROM last) AS circuit_breaker_states
+            {RATE}
         FROM recent""",
     "recovery_strategy": f"""{WITH_ERRORS}
         SELECT event_id, error_type, CASE WHEN error_type IN ('TimeoutError', 'ValidationError') THEN 'RETRY'
@@ -447,16 +461,16 @@ ORACLES = {
         SELECT event_id, severity, '🚨 ALERT: ' || severity || ' error in ' || component AS alert
         FROM errors WHERE severity IN ('HIGH', 'CRITICAL')""",
     "mask_sensitive": f"SELECT doc_id, {MASK} AS shown FROM documents",
-    "circuit_states": f"""{WITH_CIRCUIT}
-        SELECT component, call_id, state, failure_count, refused FROM states WHERE rn > 0""",
     "stream_scored": SCORED_ROWS,
     "stream_idempotent": SCORED_ROWS,
+    "stream_dedup": SCORED_ROWS,
+    "stream_throughput": "SELECT 6::BIGINT AS batches, count(*) AS input_rows, true AS measured FROM documents",
+    "stream_rejects": f"""WITH {POSTS} SELECT 'reject' AS kind, count(*) AS n FROM documents WHERE source = 'src3'
+        UNION ALL SELECT 'post', count(*) FROM posts WHERE author_name IS DISTINCT FROM 'src3' AND {_clean()}""",
     "stream_metrics": f"""{WITH_SCORED}
-        SELECT CAST(1 AS BIGINT) AS processed_batches, count(*) AS total_records,
+        SELECT CAST(6 AS BIGINT) AS processed_batches, count(*) AS total_records,
             count(*) FILTER (WHERE sentiment_label = 'POSITIVE') AS total_positive,
             count(*) FILTER (WHERE sentiment_label = 'NEGATIVE') AS total_negative,
             count(*) FILTER (WHERE sentiment_label = 'NEUTRAL') AS total_neutral
         FROM scored""",
-    "stream_circuit_states": f"""{WITH_CIRCUIT}
-        SELECT component, call_id, state, failure_count, refused, FALSE AS late FROM states WHERE rn > 0""",
 }

@@ -1,5 +1,7 @@
 """The queries of the engine over the benchmark tables, by name."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from echolex.functions import replies, times
@@ -7,7 +9,6 @@ from echolex.functions import sentiment as S
 from echolex.functions.text import cache_key, mask_sensitive, truncate
 from echolex.operators import (
     cache,
-    circuit,
     cleaning,
     distribution,
     errors,
@@ -16,16 +17,18 @@ from echolex.operators import (
     ranking,
     scoring,
 )
-from echolex.plans.report import daily_report, latest_report
+from echolex.plans.report import daily_report, latest_report, read_model
 from echolex.plans.score import score_posts
-from echolex.session import scratch_path
+from echolex.session import ensure_checkpoint_dir, scratch_path
 from echolex.sources import posts as P
 from echolex.sources import tables, testdata
 from echolex.streaming import posts as stream
-from echolex.streaming.circuit import circuit_states_stream
 
 TIME = "yyyy-MM-dd HH:mm:ss"
 ONCE = {"availableNow": True}
+STREAM_FILES = 6
+# Word lists a caller may bring: Russian ones, and English ones in place of the built-in.
+OWN_LEXICONS = {"ru": (("тхе", "аб"), ("ин", "ел")), "en": (("great", "tion"), ("awful", "er"))}
 
 
 def _doc(spark, sf_dir):
@@ -176,8 +179,17 @@ def _stub_model():
 
 
 def model_score(spark, sf_dir):
-    scored = _scored(spark, sf_dir, model=scoring.model_scorer(_stub_model))
-    return scored.select("id", "sentiment_label")
+    """Labels, which rows the model failed on, and how many did."""
+    model = scoring.model_scorer(_stub_model)
+    scored = _scored(spark, sf_dir, model=model, status="failed").select("id", "sentiment_label", "failed")
+    total = scored.agg(F.count_if("failed").alias("failed_rows"))
+    return scored.withColumn("failed_rows", total.scalar())
+
+
+def lexicon_custom(spark, sf_dir):
+    """Labels with word lists of the caller for two languages."""
+    scored = _scored(spark, sf_dir, lexicons=OWN_LEXICONS)
+    return scored.select("id", "detected_language", "sentiment_label")
 
 
 def score_distinct(spark, sf_dir):
@@ -382,10 +394,55 @@ def _messages_with_errors(spark, sf_dir):
 
 
 def json_rejects(spark, sf_dir):
-    posts, rejects = P.split_messages(_messages_with_errors(spark, sf_dir))
-    good = posts.groupBy("author_name").agg(F.count(F.lit(1)).alias("n"))
-    bad = rejects.agg(F.count(F.lit(1)).alias("n")).select(F.lit("(rejected)").alias("author_name"), "n")
-    return good.unionByName(bad.filter("n > 0"))
+    """Posts per author and unreadable messages, counted over one decoding."""
+    tagged = P.tagged_posts(_messages_with_errors(spark, sf_dir))
+    author = F.when(F.col(P.CORRUPT).isNotNull(), F.lit("(rejected)")).otherwise(F.col("author_name"))
+    return tagged.groupBy(author.alias("author_name")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def describe_table(spark, sf_dir):
+    return tables.describe_table(_doc(spark, sf_dir))
+
+
+def _settled(spark, base, result):
+    """A result kept in the checkpoint folder, so that the query's own folder can go."""
+    ensure_checkpoint_dir(spark)
+    kept = result.checkpoint()
+    tables.remove_path(spark, base)
+    return kept
+
+
+def merged_read(spark, sf_dir):
+    """Files of two versions and an absent folder read together, by declared schema."""
+    base = scratch_path(spark, "versions")
+    rows = _doc(spark, sf_dir)
+    rows.filter("doc_id % 2 = 0").select("doc_id", "lang").write.parquet(f"{base}/old")
+    rows.filter("doc_id % 2 = 1").select("doc_id", "lang", "source").write.parquet(f"{base}/new")
+    both = tables.read_table(spark, f"{base}/old", f"{base}/new", merge_schema=True)
+    none = tables.read_or_empty(spark, f"{base}/absent", both.schema)
+    read = both.unionByName(none)
+    return _settled(spark, base, read.select("doc_id", "lang", _or_dash("source")))
+
+
+def written_formats(spark, sf_dir):
+    """Event values written with another compression and in the legacy layout, read back."""
+    base = scratch_path(spark, "formats")
+    rows = _events(spark, sf_dir).select("event_id", F.col("value").cast("decimal(18,4)").alias("value"))
+    rows.write.option("compression", "zstd").parquet(f"{base}/zstd")
+    legacy = rows.write.option("compression", "gzip").option("spark.sql.parquet.writeLegacyFormat", "true")
+    legacy.parquet(f"{base}/legacy")
+    both = spark.read.parquet(f"{base}/zstd").unionAll(spark.read.parquet(f"{base}/legacy"))
+    totals = both.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+    return _settled(spark, base, totals.select("event_id", "n", F.col("total").cast("double").alias("total")))
+
+
+def empty_window_report(spark, sf_dir):
+    """The daily report of a day without posts, and of the last day: one row in all."""
+    scored = _scored(spark, sf_dir)
+    as_of = cleaning.latest_time(_timed(spark, sf_dir))
+    late = daily_report(scored, as_of + F.expr("INTERVAL 30 DAYS"))
+    both = daily_report(scored, as_of).unionByName(late)
+    return both.select(_shown("report_date").alias("report_date"), F.round("average_sentiment_score", 6).alias("average_sentiment_score"))
 
 
 def quality_report(spark, sf_dir):
@@ -412,7 +469,46 @@ def partitioned_read(spark, sf_dir):
     tables.write_scored(_scored(spark, sf_dir), path)
     since = cleaning.latest_time(_timed(spark, sf_dir)) - F.expr("INTERVAL 1 DAY")
     kept = tables.read_scored(spark, path, since, ["en", "ko"])
-    return _result(kept, "detected_language", "sentiment_label")
+    return _settled(spark, path, _result(kept, "detected_language", "sentiment_label"))
+
+
+def _reports(spark, sf_dir):
+    """Stored reports of the last two days, that of the last day written twice."""
+    base = scratch_path(spark, "reports")
+    scored = _scored(spark, sf_dir)
+    as_of = cleaning.latest_time(_timed(spark, sf_dir))
+    for at in (as_of - F.expr("INTERVAL 1 DAY"), as_of, as_of):
+        tables.write_report(daily_report(scored, at), f"{base}/table")
+    return base, scored, tables.read_reports(spark, f"{base}/table")
+
+
+def report_store(spark, sf_dir):
+    base, _, stored = _reports(spark, sf_dir)
+    counted = stored.agg(F.count(F.lit(1)).alias("n_reports"))
+    latest = latest_report(stored).select(
+        _shown("report_date").alias("report_date"), F.round("average_sentiment_score", 6).alias("average_sentiment_score")
+    )
+    return _settled(spark, base, latest.withColumn("n_reports", counted.scalar()))
+
+
+def read_model_query(spark, sf_dir):
+    """All frames of the read model as (frame, key, value) rows."""
+    base, scored, stored = _reports(spark, sf_dir)
+    frames = read_model(scored, stored)
+
+    def rows(name, key, value):
+        return frames[name].select(F.lit(name).alias("frame"), key.alias("key"), value.cast("string").alias("value"))
+
+    c = F.col
+    parts = [
+        rows("kpis", F.lit(k), c(k)) for k in ("total", "ko", "en", "other")
+    ] + [
+        rows("labels", F.concat_ws("/", "lang_bucket", "sentiment_label"), c("n")),
+        rows("newest", F.concat_ws("/", "lang_bucket", "id"), c("sentiment_label")),
+        rows("report", F.lit("report_date"), _shown("report_date")),
+        rows("keywords", c("rank").cast("string"), c("word")),
+    ]
+    return _settled(spark, base, reduce(lambda a, b: a.unionByName(b), parts))
 
 
 # --- score cache and limits ---------------------------------------------------
@@ -494,16 +590,12 @@ def _entries(name):
 
 
 def error_statistics(spark, sf_dir):
-    states = circuit.current_states(circuit_states(spark, sf_dir))
-    report = errors.error_statistics(
-        _errors(spark, sf_dir), _error_time(spark, sf_dir), hours=168, states=states
-    )
+    report = errors.error_statistics(_errors(spark, sf_dir), _error_time(spark, sf_dir), hours=168)
     return report.select(
         "total_errors",
         _entries("component_breakdown"),
         _entries("severity_breakdown"),
         F.round("recovery_success_rate", 6).alias("recovery_success_rate"),
-        _entries("circuit_breaker_states"),
     )
 
 
@@ -512,6 +604,14 @@ def recovery_strategy(spark, sf_dir):
     return rows.select("event_id", "error_type", "strategy")
 
 
+def recovery_strategy_table(spark, sf_dir):
+    """Strategies from a table of the caller, made from the error types that occur."""
+    rows = _errors(spark, sf_dir)
+    given = F.when(F.col("error_type").startswith("T"), "WAIT").otherwise("SKIP")
+    table = rows.filter("error_type != 'Other'").select("error_type").distinct().withColumn("strategy", given)
+    return errors.with_strategy(rows, table).select("event_id", "error_type", "strategy")
+
+
 def fallback_rule(spark, sf_dir):
     """Fallbacks of components named after what they do."""
     kind = F.col("error_type")
@@ -536,78 +636,86 @@ def mask_sensitive_query(spark, sf_dir):
     return _doc(spark, sf_dir).select("doc_id", shown.alias("shown"))
 
 
-def circuit_states(spark, sf_dir):
-    return circuit.circuit_states(testdata.call_outcomes(spark, sf_dir), threshold=3, timeout=7200)
-
-
-def circuit_states_query(spark, sf_dir):
-    return circuit_states(spark, sf_dir).select("component", "call_id", "state", "failure_count", "refused")
-
-
 # --- streaming ------------------------------------------------------------------
 
 
-def _file_stream(spark, sf_dir, name, schema):
-    return stream.read_messages_stream(
-        spark, "parquet", schema, sf_dir, pathGlobFilter=f"{name}.parquet"
-    )
-
-
-def _stream_documents(spark, sf_dir):
-    """`documents` as a file stream of JSON messages."""
-    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-    rows = _file_stream(spark, sf_dir, "documents", schema)
-    text = testdata.multiscript_text(F.col("text"), F.col("source"))
-    return P.to_messages(testdata.as_posts(rows, text))
-
-
-def _stream_scores(spark, sf_dir):
-    tasks = spark.sparkContext.defaultParallelism
-    return stream.score_messages(_stream_documents(spark, sf_dir), partitions=tasks)
+def _stream_messages(spark, sf_dir, base, rows=None, files=STREAM_FILES):
+    """JSON messages in several files, streamed one file a batch."""
+    messages = P.to_messages(testdata.multiscript_posts(spark, sf_dir)) if rows is None else rows
+    messages.repartition(files).write.parquet(f"{base}/in")
+    return stream.read_messages_stream(spark, "parquet", path=f"{base}/in", maxFilesPerTrigger=1)
 
 
 def stream_scored(spark, sf_dir):
     base = scratch_path(spark, "stream")
-    scored = _stream_scores(spark, sf_dir)
+    scored = stream.score_messages(_stream_messages(spark, sf_dir, base))
     stream.start_file_sink(scored, f"{base}/table", f"{base}/checkpoint", ONCE).awaitTermination()
     stored = spark.read.parquet(f"{base}/table")
-    return _result(stored, "detected_language", "sentiment_label")
+    return _settled(spark, base, _result(stored, "detected_language", "sentiment_label"))
 
 
 def stream_idempotent(spark, sf_dir):
-    """The batch sink, with a batch written a second time as after a failure."""
+    """The batch sink over several batches, one of them written again as after a failure."""
     base = scratch_path(spark, "stream")
-    scored = _stream_scores(spark, sf_dir)
+    scored = stream.score_messages(_stream_messages(spark, sf_dir, base))
     stream.start_batch_sink(scored, f"{base}/table", f"{base}/checkpoint", trigger=ONCE).awaitTermination()
-    again = _scored(spark, sf_dir)
-    stream.write_scored_batch(again, 0, f"{base}/table")
+    ids = spark.read.parquet(f"{base}/table").filter("batch_id = 1").select("id")
+    ids.write.parquet(f"{base}/ids")
+    again = _scored(spark, sf_dir).join(spark.read.parquet(f"{base}/ids"), "id", "left_semi")
+    stream.write_scored_batch(again, 1, f"{base}/table")
     stored = spark.read.parquet(f"{base}/table")
-    return _result(stored, "detected_language", "sentiment_label")
+    return _settled(spark, base, _result(stored, "detected_language", "sentiment_label"))
+
+
+def _metrics(spark, sf_dir, base):
+    scored = stream.score_messages(_stream_messages(spark, sf_dir, base))
+    name = base.rsplit("/", 1)[-1]
+    listener = stream.MetricsTable(spark, f"{base}/metrics", name)
+    query = stream.start_file_sink(scored, f"{base}/table", f"{base}/checkpoint", ONCE, name=name)
+    query.awaitTermination()
+    listener.finish()
+    return stream.stream_metrics(spark, f"{base}/metrics")
 
 
 def stream_metrics(spark, sf_dir):
+    """Run totals over all batches."""
     base = scratch_path(spark, "stream")
-    scored = _stream_scores(spark, sf_dir)
-    query = stream.start_file_sink(scored, f"{base}/table", f"{base}/checkpoint", ONCE)
-    query.awaitTermination()
-    return stream.run_counters(stream.stream_metrics(spark, query))
-
-
-def stream_circuit_states(spark, sf_dir):
-    base = scratch_path(spark, "circuit")
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    rows = _file_stream(spark, sf_dir, "events", schema)
-    states = circuit_states_stream(testdata.as_outcomes(rows), threshold=3, timeout=7200)
-    query = (
-        states.writeStream.format("parquet")
-        .option("path", f"{base}/table")
-        .option("checkpointLocation", f"{base}/checkpoint")
-        .trigger(**ONCE)
-        .start()
+    return _settled(spark, base, stream.run_counters(_metrics(spark, sf_dir, base)))
+
+
+def stream_throughput(spark, sf_dir):
+    """Batches with rows, their rows, and whether each one's rates were measured."""
+    base = scratch_path(spark, "stream")
+    measured = (F.col("seconds") > 0) & (F.col("processed_rows_per_second") > 0)
+    rows = _metrics(spark, sf_dir, base).filter("input_rows > 0")
+    totals = rows.agg(
+        F.count(F.lit(1)).alias("batches"), F.sum("input_rows").alias("input_rows"), F.every(measured).alias("measured")
     )
-    query.awaitTermination()
+    return _settled(spark, base, totals)
+
+
+def stream_dedup(spark, sf_dir):
+    """Every message sent twice, the older half of the posts last: each id is stored once."""
+    base = scratch_path(spark, "stream")
+    sent = P.to_messages(testdata.multiscript_posts(spark, sf_dir))
+    messages = _stream_messages(spark, sf_dir, base, sent.unionAll(sent))
+    scored = stream.score_messages(messages, dedup_within="1 hour")
+    stream.start_file_sink(scored, f"{base}/table", f"{base}/checkpoint", ONCE).awaitTermination()
     stored = spark.read.parquet(f"{base}/table")
-    return stored.select("component", "call_id", "state", "failure_count", "refused", "late")
+    return _settled(spark, base, _result(stored, "detected_language", "sentiment_label"))
+
+
+def stream_rejects(spark, sf_dir):
+    """Posts and unreadable messages stored by a stream, per batch sink."""
+    base = scratch_path(spark, "stream")
+    messages = _stream_messages(spark, sf_dir, base, _messages_with_errors(spark, sf_dir))
+    stream.start_split_sink(
+        messages, f"{base}/table", f"{base}/rejects", f"{base}/checkpoint", trigger=ONCE
+    ).awaitTermination()
+    good = spark.read.parquet(f"{base}/table").select(F.lit("post").alias("kind"))
+    bad = spark.read.parquet(f"{base}/rejects").select(F.lit("reject").alias("kind"))
+    counts = good.unionAll(bad).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    return _settled(spark, base, counts)
 
 
 QUERIES = {
@@ -675,9 +783,18 @@ QUERIES = {
     "fallback_rule": fallback_rule,
     "alerts": alerts,
     "mask_sensitive": mask_sensitive_query,
-    "circuit_states": circuit_states_query,
     "stream_scored": stream_scored,
     "stream_idempotent": stream_idempotent,
     "stream_metrics": stream_metrics,
-    "stream_circuit_states": stream_circuit_states,
+    "stream_throughput": stream_throughput,
+    "stream_dedup": stream_dedup,
+    "stream_rejects": stream_rejects,
+    "lexicon_custom": lexicon_custom,
+    "describe_table": describe_table,
+    "merged_read": merged_read,
+    "written_formats": written_formats,
+    "empty_window_report": empty_window_report,
+    "report_store": report_store,
+    "read_model": read_model_query,
+    "recovery_strategy_table": recovery_strategy_table,
 }

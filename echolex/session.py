@@ -62,9 +62,3 @@ def ensure_checkpoint_dir(spark):
     """Set the checkpoint folder where the session has none yet."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
-
-
-def reliable_checkpoint(df):
-    """Materialise `df` in the shared folder and cut its lineage there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()

@@ -3,13 +3,14 @@
 import pytest
 
 import __spark_entry__ as entry
+from echolex.plans.registry import QUERIES
 from echolex.plans.score import score_posts
 from echolex.sources.posts import parse_posts, to_messages
 from echolex.sources.testdata import posts
 
-WITH_PYTHON = {"model_score", "circuit_states", "error_statistics"}
+WITH_PYTHON = {"model_score"}
 WITH_ACTIONS = {
-    "partitioned_read", "stream_scored", "stream_idempotent", "stream_metrics", "stream_circuit_states",
+    "partitioned_read", "merged_read", "written_formats", "report_store", "read_model", *[n for n in QUERIES if n.startswith("stream_")],
 }
 
 
@@ -17,7 +18,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WITH_ACTIONS - {"circuit_states", "error_statistics"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WITH_ACTIONS))
 def test_no_python_and_no_cross_join(spark, sf_dir, name):
     plan = plan_of(entry.queries()[name](spark, sf_dir))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
@@ -30,6 +31,18 @@ def test_messages_are_parsed_once(spark, sf_dir):
     assert plan_of(scored).count("from_json") == 1
 
 
+def test_rejects_are_counted_over_one_decoding(spark, sf_dir):
+    plan = plan_of(QUERIES["json_rejects"](spark, sf_dir))
+    assert plan.count("from_json") == 1 and plan.count("FileScan") == 1
+
+
+def test_distinct_texts_are_shuffled_without_the_text_as_key(spark, sf_dir):
+    plan = plan_of(QUERIES["score_distinct"](spark, sf_dir))
+    assert "hashpartitioning(text_key" in plan and ", text#" not in "".join(
+        line for line in plan.splitlines() if "Exchange hashpartitioning" in line
+    )
+
+
 def test_scoring_a_scan_needs_no_shuffle(spark, sf_dir):
     table = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr(
         "cast(doc_id as string) id", "null title", "text", "1d created_utc", "source author_name",
