@@ -14,7 +14,6 @@ then that of one group, some dozens of sequences, at any size.
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 GROUP_PIECES = 250_000
 MAX_LEVELS = 8
@@ -57,7 +56,7 @@ def sum_of_squares(lengths, capacity):
 def _packer(level, capacity):
     def pack_group(key, rows):
         # Hash order: sums of squares want sizes as they come, not sorted.
-        rows = rows.sort_by([("_order", "ascending"), ("length", "ascending")])
+        rows = rows.sort_by([("_order", "ascending"), ("length", "ascending"), ("_row", "ascending")])
         bins, offsets, gaps = sum_of_squares(rows["length"].to_numpy(), capacity)
         number = (level << 58) + (key[0].as_py() << 32) + bins
         rows = rows.drop_columns("_group").append_column("sequence_id", pa.array(number))
@@ -75,27 +74,25 @@ def pack(pieces, capacity=2048, group_pieces=GROUP_PIECES):
     an empty table gives no rows. The pieces of a sequence lie gapless from
     offset 0. Sequence numbers are any numbers, no two sequences share one.
     """
-    carried = [c for c in pieces.columns if c not in ("sequence_id", "offset", "gap", "_order", "_group")]
-    left = pieces.select(
-        *carried, F.xxhash64("doc_id", "piece", "length").alias("_order")
-    ).checkpoint()
-    schema = T.StructType(list(left.schema.fields))
-    schema = schema.add("sequence_id", "long").add("offset", "long").add("gap", "long")
-    done = None
+    carried = [c for c in pieces.columns if c not in ("sequence_id", "offset", "_row", "_order", "_group")]
+    order = F.xxhash64("doc_id", "piece", "length").alias("_order")
+    # Numbered before they are stored, so the numbers stay; only lengths go through the groups.
+    stored = pieces.select(*carried, order, F.monotonically_increasing_id().alias("_row")).checkpoint()
+    left, done = stored.select("_row", "_order", "length"), None
+    schema = "_row long, _order long, length long, sequence_id long, offset long, gap long"
     for level in range(MAX_LEVELS):
-        n = left.count()
-        groups = max(1, -(-n // group_pieces))
+        groups = max(1, -(-left.count() // group_pieces))
         last = groups == 1 or level == MAX_LEVELS - 1
         dealt = left.withColumn("_group", F.pmod(F.xxhash64("_order", F.lit(level)), F.lit(groups)))
         packed = dealt.groupBy("_group").applyInArrow(_packer(level, capacity), schema)
         if not last:
             packed = packed.checkpoint()
         full = packed if last else packed.filter("gap = 0")
-        full = full.select(*carried, "sequence_id", "offset")
+        full = full.select("_row", "sequence_id", "offset")
         done = full if done is None else done.unionByName(full)
         if last:
-            return done
-        left = packed.filter("gap > 0").select(*carried, "_order")
+            return stored.join(done, "_row").select(*carried, "sequence_id", "offset")
+        left = packed.filter("gap > 0").select("_row", "_order", "length")
 
 
 def sequences(packed):
