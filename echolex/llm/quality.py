@@ -5,25 +5,29 @@ Four units fill exactly one 64-bit number, so counting, contexts and suffixes
 are plain arithmetic on a LONG column. Spark counts the grams of all texts and
 computes the probabilities with joins and aggregates.
 
-For scoring the model is stored as two arrays sorted by hash: the hash of
-(language, gram) cut to `hash_bits` bits, and the log probability. Grams that
-share a hash share their count-weighted mean, so what is sent to the executors
-never exceeds 2 ** hash_bits entries of 8 bytes, whatever the corpus.
+Every gram keeps its own log probability, whatever the corpus. The most frequent
+ones, at most 2 ** hash_bits, are sent to the executors as arrays sorted by gram
+(12 bytes an entry) and looked up there. The others stay a table on Spark: each
+text's counts of them are joined to it. With the default no joined gram has more
+than one in two million of all units, so none is a hot key. Log probabilities are
+whole multiples of 1 / SCALE, so sums are exact and do not depend on the way taken.
 
 Every text takes part in the counts, so no gram of a text is unknown.
 """
 
-from hashlib import blake2b
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Window
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from echolex.llm import texts as T
 
 ORDER = 4
-HASH_BITS = 22
+HASH_BITS = 22  # 2 ** HASH_BITS grams at most are looked up, the others are joined
+SCALE = 1 << 24
 PAD = "\n" * (ORDER - 1)
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -94,14 +98,6 @@ def statistics(data, offsets):
 # --- grams ------------------------------------------------------------------------
 
 
-def _language_code(lang):
-    return np.uint64(int.from_bytes(blake2b(lang.encode(), digest_size=8).digest(), "little"))
-
-
-def _slots(grams, lang, bits):
-    return (T.mix(grams ^ _language_code(lang)) >> np.uint64(64 - bits)).astype(np.int64)
-
-
 def _gram_slices(values):
     """(position, grams, counts of grams per text) of ranges of a list of texts."""
     at = 0
@@ -140,8 +136,8 @@ def _merged(parts):
     return unique, np.bincount(inverse, np.concatenate([p[1] for p in parts])).astype(np.int64)
 
 
-def count_grams(docs, hash_bits=HASH_BITS):
-    """lang, gram, slot, n: counted per task first, then over all tasks."""
+def count_grams(docs):
+    """lang, gram, n: counted per task first, then over all tasks."""
 
     def count(batches):
         held = {}
@@ -153,10 +149,9 @@ def count_grams(docs, hash_bits=HASH_BITS):
                     [
                         pa.array([lang] * len(gram), pa.string()),
                         pa.array(gram.view(np.int64)),
-                        pa.array(_slots(gram, lang, hash_bits)),
                         pa.array(n),
                     ],
-                    names=["lang", "gram", "slot", "n"],
+                    names=["lang", "gram", "n"],
                 )
             held.clear()
 
@@ -169,10 +164,8 @@ def count_grams(docs, hash_bits=HASH_BITS):
                 yield from emit()
         yield from emit()
 
-    counted = docs.select(_lang(docs), "text").mapInArrow(
-        count, "lang string, gram long, slot long, n long"
-    )
-    return counted.groupBy("lang", "gram", "slot").agg(F.sum("n").alias("n")).checkpoint()
+    counted = docs.select(_lang(docs), "text").mapInArrow(count, "lang string, gram long, n long")
+    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).checkpoint()
 
 
 def _few(rows):
@@ -192,7 +185,7 @@ def _lang(docs):
 
 
 def kneser_ney(counts):
-    """lang, gram, slot, n, p of every counted gram: interpolated modified Kneser-Ney.
+    """lang, gram, n, p of every counted gram: interpolated modified Kneser-Ney.
 
     The highest order uses counts; lower orders use the number of distinct
     units a gram follows. The lowest one gives way to the uniform distribution.
@@ -216,7 +209,7 @@ def kneser_ney(counts):
             share = F.col("share")
         p = (F.col("n") - F.col("d")) / F.col("total") + F.col("freed") / F.col("total") * share
         lower = level.withColumn("p", p)
-    return lower.select("lang", "gram", "slot", "n", "p")
+    return lower.select("lang", "gram", "n", "p")
 
 
 def _discounted(level, few):
@@ -241,15 +234,47 @@ def _discounted(level, few):
     )
 
 
+@dataclass
+class Model:
+    """Log probabilities in steps of 1 / SCALE: frequent grams by language, the table of the others."""
+
+    frequent: Broadcast  # lang to (sorted grams, log probabilities)
+    others: DataFrame | None  # lang, gram, log_p; None where there are none
+
+
+def _frequent_from(counts, limit):
+    """The smallest power of two so that at most `limit` grams are counted as often; 1: all of them."""
+    size = F.floor(F.log2("n")).cast("int")
+    sizes = counts.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("grams")).collect()
+    total = 0
+    for r in sorted(sizes, reverse=True):  # at most 63 rows
+        total += r["grams"]
+        if total > limit:
+            return 2 << r["size"]
+    return 1
+
+
 def train(docs, hash_bits=HASH_BITS):
-    """The model as two arrays sorted by hash (at most 2 ** hash_bits entries), on the executors."""
-    model = kneser_ney(count_grams(docs, hash_bits))
-    weighted = F.sum(F.col("n") * F.log("p")) / F.sum("n")
-    table = model.groupBy("slot").agg(weighted.cast("float").alias("log_p")).toArrow()
-    slot = table["slot"].to_numpy()
-    order = np.argsort(slot)
-    arrays = slot[order].astype(np.uint32), table["log_p"].to_numpy()[order]
-    return docs.sparkSession.sparkContext.broadcast(arrays)
+    """The Model of all grams; at most 2 ** hash_bits of them go to the executors, the others are joined."""
+    counts = count_grams(docs)
+    least = _frequent_from(counts, 1 << hash_bits)
+    log_p = F.round(F.log("p") * SCALE).cast("int").alias("log_p")
+    model = kneser_ney(counts).select("lang", "gram", "n", log_p)
+    others = None
+    if least > 1:
+        model = model.checkpoint()
+        others = model.filter(F.col("n") < least).select("lang", "gram", "log_p")
+    table = model.filter(F.col("n") >= least).select("lang", "gram", "log_p").toArrow()
+    lang = table["lang"].combine_chunks().dictionary_encode()
+    gram, log_p = table["gram"].to_numpy().view(np.uint64), table["log_p"].to_numpy()
+    code = lang.indices.to_numpy()
+    order = np.lexsort((gram, code))
+    bounds = np.searchsorted(code[order], np.arange(len(lang.dictionary) + 1))
+    frequent = {
+        name: (gram[order[low:high]], log_p[order[low:high]])
+        for name, low, high in zip(lang.dictionary.to_pylist(), bounds[:-1], bounds[1:])
+    }
+    return Model(docs.sparkSession.sparkContext.broadcast(frequent), others)
 
 
 # --- scoring ----------------------------------------------------------------------
@@ -264,50 +289,110 @@ SCORES = {
 }
 
 
-def _log_perplexities(langs, texts, model, bits):
-    slots, log_p = model
-    out = np.full(len(langs), np.nan)
+_NO_GRAMS = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+
+
+def _looked_up(gram, lang, frequent):
+    """(log probability or 0, found) of each gram among the frequent ones of its language."""
+    grams, log_p = frequent.get(lang, _NO_GRAMS)
+    if not len(grams):
+        return np.zeros(len(gram), np.int64), np.zeros(len(gram), bool)
+    at = np.minimum(np.searchsorted(grams, gram), len(grams) - 1)
+    found = grams[at] == gram
+    return np.where(found, log_p[at], 0).astype(np.int64), found
+
+
+def _frequent_sums(langs, texts, frequent):
+    """Units, units of other grams, and sum of log probabilities of the frequent ones, of each row."""
+    out = np.zeros((3, len(langs)), np.int64)
     for lang, rows, values in _by_language(langs, texts):
         for at, gram, count in _gram_slices(values):
-            at_slot = np.searchsorted(slots, _slots(gram, lang, bits).astype(np.uint32))
-            total = np.zeros(len(gram) + 1)
-            np.cumsum(log_p[at_slot], out=total[1:], dtype=np.float64)
+            log_p, found = _looked_up(gram, lang, frequent)
             ends = np.concatenate([[0], np.cumsum(count)])
-            with np.errstate(invalid="ignore"):
-                mean = -(total[ends[1:]] - total[ends[:-1]]) / count
-            out[rows[at : at + len(count)]] = mean
-    return pa.array(out, from_pandas=True)  # a text without grams has none
+            some = rows[at : at + len(count)]
+            out[0, some], out[1, some], out[2, some] = count, _per_row(~found, ends), _per_row(log_p, ends)
+    return out
 
 
-def scored(docs, model, hash_bits=HASH_BITS):
+def _key():
+    """The text and its language by digest: rows alike in both have the same log perplexity."""
+    return F.unhex(F.md5(F.concat_ws("\n", F.md5("lang"), "text")))
+
+
+def _other_sums(docs, model):
+    """_key, _met, _other: units of grams that are not frequent, and the sum of their log probabilities.
+
+    Both count a text as often as it occurs.
+    """
+    frequent = model.frequent
+
+    def count(batches):
+        for batch in batches:
+            for lang, rows, values in _by_language(batch.column(1), batch.column(2)):
+                for at, gram, size in _gram_slices(values):
+                    other = np.flatnonzero(~_looked_up(gram, lang, frequent.value)[1])
+                    gram, row = gram[other], rows[at + np.repeat(np.arange(len(size)), size)[other]]
+                    order = np.lexsort((gram, row))
+                    gram, row = gram[order], row[order]
+                    new = np.ones(len(gram), bool)
+                    new[1:] = (gram[1:] != gram[:-1]) | (row[1:] != row[:-1])
+                    first = np.flatnonzero(new)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(0).take(pa.array(row[first])),
+                            pa.array([lang] * len(first), pa.string()),
+                            pa.array(gram[first].view(np.int64)),
+                            pa.array(np.diff(np.append(first, len(gram)))),
+                        ],
+                        names=["_key", "lang", "gram", "n"],
+                    )
+
+    slim = docs.select(_lang(docs), F.col("text").cast("string").alias("text")).filter("text is not null")
+    met = slim.select(_key().alias("_key"), "lang", "text").mapInArrow(
+        count, "_key binary, lang string, gram long, n long"
+    )
+    return (
+        met.join(model.others, ["lang", "gram"])
+        .groupBy("_key")
+        .agg(F.sum("n").alias("_met"), F.sum(F.col("n") * F.col("log_p")).alias("_other"))
+    )
+
+
+def scored(docs, model):
     """`docs` with the columns of SCORES in a struct column `_scores`; nothing else changes."""
     inner = docs.select(
         F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"),
         _lang(docs),
         F.col("text").cast("string").alias("text"),
     )
-    names = list(SCORES)
+    names = [n for n in SCORES if n != "log_perplexity"]
+    sums = ["units", "others", "log_p"]
+    frequent = model.frequent
 
     def score(batches):
         for batch in batches:
             parts = [statistics(d, o) for _, d, o in T.slices(batch.column(2))]
             columns = [pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*parts)]
             columns = columns or [pa.array([], pa.int64())] * 5
-            columns.append(
-                _log_perplexities(batch.column(1), batch.column(2), model.value, hash_bits)
-            )
+            columns += map(pa.array, _frequent_sums(batch.column(1), batch.column(2), frequent.value))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.StructArray.from_arrays(columns, names)],
-                names=["row", "text", "_scores"],
+                [*batch.columns, pa.StructArray.from_arrays(columns, names + sums)],
+                names=["row", "lang", "text", "_sums"],
             )
 
-    fields = ", ".join(f"{n} {'double' if n == 'log_perplexity' else 'long'}" for n in names)
+    fields = ", ".join(f"{n} long" for n in names + sums)
     kind = inner.schema["row"].dataType.simpleString()
-    out = inner.select("row", "lang", "text").mapInArrow(
-        score, f"row {kind}, text string, _scores struct<{fields}>"
-    )
+    out = inner.mapInArrow(score, f"row {kind}, lang string, text string, _sums struct<{fields}>")
+    log_p = F.col("_sums.log_p")
+    if model.others is not None:
+        # Unique on the right side: adaptive execution may split a text of very many rows on the left.
+        out = out.withColumn("_key", _key()).join(_other_sums(docs, model), "_key", "left")
+        log_p += F.coalesce(F.expr("_other div (_met div _sums.others)"), F.lit(0))
+    # A text without grams has none.
+    log_perplexity = -log_p / F.nullif(F.col("_sums.units"), F.lit(0)) / SCALE
+    scores = F.struct(*[F.col(f"_sums.{n}") for n in names], log_perplexity.alias("log_perplexity"))
     columns = [F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns]
-    return out.select(*columns, "_scores")
+    return out.select(*columns, scores.alias("_scores"))
 
 
 def base_failed(scores="_scores"):
@@ -353,13 +438,14 @@ def judge(docs, hash_bits=HASH_BITS):
 
     Needs doc_id and text; without lang all texts are one language, a null lang
     is a language of its own. Null and empty texts have no words and fail.
-    Repeated rows are judged alike, an empty table gives no rows.
+    Repeated rows are judged alike, an empty table gives no rows. `hash_bits`
+    decides how many grams are looked up and how many are joined, not the result.
     """
     model = train(docs, hash_bits)
     slim = docs.select("text", *(["lang"] if "lang" in docs.columns else []))
-    scores = scored(slim, model, hash_bits).select(_lang(slim), "_scores").checkpoint()
+    scores = scored(slim, model).select(_lang(slim), "_scores").checkpoint()
     limits = bands(scores).checkpoint()
-    return verdicts(scored(docs, model, hash_bits), limits)
+    return verdicts(scored(docs, model), limits)
 
 
 def verdicts(rows, limits):

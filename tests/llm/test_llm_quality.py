@@ -106,6 +106,16 @@ def test_few_hash_bits_still_score_all(spark):
     assert all(r["_scores"]["log_perplexity"] is not None for r in got)
 
 
+def test_no_gram_takes_the_value_of_another(docs, judged):
+    """Most grams are joined; scores and verdicts stay those of the whole table."""
+    df = docs.withColumnRenamed("kept", "kept_").withColumnRenamed("_scores", "scores_")
+
+    def plain(rows):
+        return Counter((r["doc_id"], r["text"], r["_scores"], r["_lower"], r["_upper"], r["kept"]) for r in rows)
+
+    assert plain(Q.judge(df, hash_bits=6).collect()) == plain(judged)
+
+
 def test_empty_table_and_no_language(no_docs, docs):
     assert Q.judge(no_docs.drop("_scores", "kept")).count() == 0
     assert Q.judge(docs.select("doc_id", "text")).count() == docs.count()
