@@ -2,13 +2,29 @@
 
 from pyspark.sql import functions as F
 
-from echolex.llm import licenses, mixing, near_dups, packing, quality, sharding, substrings, token_trees, tokens, transcripts, vectors
+from echolex.llm import (
+    alignment,
+    licenses,
+    mixing,
+    near_dups,
+    packing,
+    quality,
+    repair,
+    sharding,
+    substrings,
+    token_trees,
+    tokens,
+    transcripts,
+    vectors,
+)
 from echolex.llm.sizes import prepare
 
 SHARDS = 24
 SEQUENCE_TOKENS = 2048
 TREE_TOKENIZER = "byte_bpe_50k.tiktoken"
 WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
+PIECE_TOKENIZER = "piece_bpe_32k.model"
 
 
 def _table(spark, sf_dir, name):
@@ -199,6 +215,29 @@ def op10_best_fit_shards(spark, sf_dir):
     )
 
 
+def op11_arrow_alignment(spark, sf_dir):
+    """Byte-level tokens against pieces of every document, with corpus-wide link counts."""
+    rows = alignment.align(
+        _table(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENIZER), tokenizer_path(PIECE_TOKENIZER)
+    )
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return rows.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        "n_a",
+        "n_b",
+        "n_groups",
+        "n_links",
+        "n_best",
+        "count_sum",
+        digest.alias("groups_sha256"),
+    )
+
+
+def op13_branch_and_bound(spark, sf_dir):
+    """The cheapest repair of every conversation after damage."""
+    return repair.repair(repair.damaged(_table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_rotation_codes": op1_rotation_codes,
     "op2_token_trees": op2_token_trees,
@@ -210,6 +249,8 @@ QUERIES = {
     "op8_ngram_perplexity": op8_ngram_perplexity,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_best_fit_shards": op10_best_fit_shards,
+    "op11_arrow_alignment": op11_arrow_alignment,
+    "op13_branch_and_bound": op13_branch_and_bound,
 }
 _VECTORS_SQL = """
 WITH RECURSIVE v AS (
