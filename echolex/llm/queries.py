@@ -12,6 +12,7 @@ from echolex.llm import (
     repair,
     sharding,
     substrings,
+    suffixes,
     token_trees,
     tokens,
     transcripts,
@@ -233,6 +234,12 @@ def op11_arrow_alignment(spark, sf_dir):
     )
 
 
+def op12_column_suffixes(spark, sf_dir):
+    """Every document without the bytes that a repeated string of 200 bytes covers."""
+    rows = suffixes.remove_repeats(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_branch_and_bound(spark, sf_dir):
     """The cheapest repair of every conversation after damage."""
     return repair.repair(repair.damaged(_table(spark, sf_dir, "conversations")))
@@ -250,6 +257,7 @@ QUERIES = {
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_best_fit_shards": op10_best_fit_shards,
     "op11_arrow_alignment": op11_arrow_alignment,
+    "op12_column_suffixes": op12_column_suffixes,
     "op13_branch_and_bound": op13_branch_and_bound,
 }
 _VECTORS_SQL = """
