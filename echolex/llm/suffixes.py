@@ -1,7 +1,7 @@
 """Bytes covered by a string of 200 bytes that starts at two places, by a collection's suffix order.
 
 A window is the 200 bytes from one place of a text. Windows are equal only if
-the least hash among their 32-byte grams is, so consecutive windows of one
+the least hash among their 64-byte grams is, so consecutive windows of one
 least hash form a run, and a run whose hash occurs once is done. Runs that are
 equal as a whole are counted by a digest; what is left, the different strings
 that share a least hash, is ordered.
@@ -28,9 +28,11 @@ from echolex.llm.texts import BYTE_CODES, ROLL, UNROLL, mix, slices, stream_code
 from echolex.llm.texts import _powers as powers
 
 WINDOW = 200
-GRAM = 32
+GRAM = 64
 RUN_WINDOWS = WINDOW - GRAM + 1  # only periodic texts have longer runs
-PART_BYTES = 1 << 20
+PART_BYTES = 1 << 18  # ordered at once; the columns stay in a core's cache
+POOL_BYTES = 1 << 23  # strings from which parts of like lengths are made
+RUN_BYTES = 1 << 17  # texts hashed at once
 HOT_STRINGS = 1 << 14
 END = 0xFF  # no byte of UTF-8
 PLACE_BITS = 24  # a part has fewer suffixes than 2^24
@@ -41,56 +43,66 @@ RUN_BITS = 16
 # --- runs ------------------------------------------------------------------------
 
 
-def gram_hashes(data):
-    """Hash of the `GRAM` bytes from every place, as far as they fit."""
-    n = len(data) - GRAM + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    value = np.zeros(n, np.uint64)
-    size, have = 1, BYTE_CODES[data]
-    # Hashes of 1, 2, 4, ... bytes, each from two of half the length.
-    while size < GRAM:
-        have = have[: len(have) - size] * ROLL + mix(have[size:])
-        size *= 2
-    value[:] = mix(have[:n])
-    return value
-
-
-def runs(data, window=WINDOW, longest=RUN_WINDOWS):
-    """(least hash, first window, windows, whether the hash occurs again) of the runs of one text."""
-    n = len(data) - window + 1
-    if n <= 0:
-        none = np.zeros(0, np.int64)
-        return none, none, none, none.astype(bool)
-    grams = gram_hashes(data)
+class Hasher:
+    """64-bit hashes of spans of some bytes; `code` picks one of several functions."""
+
+    def __init__(self, data, code=0):
+        codes = mix(BYTE_CODES + stream_code(code)) | np.uint64(1)
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(codes[data] * powers(len(data), ROLL), out=self.sums[1:])
+        self.back = powers(len(data) + 1, UNROLL)
+
+    def grams(self, size):
+        """Of the `size` bytes from every place, as far as they fit."""
+        n = max(0, len(self.sums) - size)
+        return mix((self.sums[size:] - self.sums[:n]) * self.back[:n])
+
+    def spans(self, first, size):
+        value = (self.sums[first + size] - self.sums[first]) * self.back[first]
+        return mix(value + np.asarray(size, np.uint64) * ROLL).view(np.int64)
+
+
+def runs(data, offsets, window=WINDOW, longest=RUN_WINDOWS):
+    """(row, least hash, digest, first window, windows, whether the hash occurs again) of all runs.
+
+    `offsets` bound the rows; first windows are counted from the first byte of all rows.
+    """
+    none = np.zeros(0, np.int64)
+    if len(data) < window:
+        return none, none, none, none, none, none.astype(bool)
+    hasher = Hasher(data)
+    grams = hasher.grams(GRAM)
     least, span, covered = grams, window - GRAM + 1, 1
     while covered < span:
         step = min(covered, span - covered)
         least = np.minimum(least[: len(least) - step], least[step:])
         covered += step
-    opens = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-    length = np.diff(np.append(opens, n))
+    inside = np.zeros(len(least) + 1, np.int8)  # windows that lie in one row
+    size = np.diff(offsets)
+    begin, end = offsets[:-1][size >= window], offsets[1:][size >= window] - window + 1
+    inside[begin] += 1
+    inside[end] -= 1
+    inside = np.cumsum(inside[:-1], dtype=np.int8).astype(bool)
+    # Between the windows of two rows there are some that lie in none.
+    new = np.concatenate([[True], (least[1:] != least[:-1]) | ~inside[:-1]])
+    opens = np.flatnonzero(inside & new)
+    if not len(opens):
+        return none, none, none, none, none, none.astype(bool)
+    row = np.searchsorted(offsets, opens, "right") - 1
+    length = np.minimum(np.append(opens[1:], len(data)), offsets[row + 1] - window + 1) - opens
     pieces = -(-length // longest)
     part = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     first = np.repeat(opens, pieces) + part * longest
     count = np.minimum(longest, np.repeat(opens + length, pieces) - first)
     # A text that repeats inside one run has the gram of the run more than once in a string.
-    hit = np.flatnonzero(grams <= least.max())
-    hit = hit[np.isin(grams[hit], least[opens])]
-    order = np.lexsort((hit, grams[hit]))
-    hit, value = hit[order], grams[hit][order]
-    near = np.flatnonzero((value[1:] == value[:-1]) & (hit[1:] - hit[:-1] < longest + span))
-    again = np.isin(least[first], value[near])
-    return least[first].view(np.int64), first, count, again
-
-
-def span_hashes(data, first, size, code=0):
-    """64-bit hash of the bytes of overlapping spans; `code` picks one of several functions."""
-    codes = BYTE_CODES if not code else mix(BYTE_CODES + stream_code(code)) | np.uint64(1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(codes[data] * powers(len(data), ROLL), out=sums[1:])
-    value = (sums[first + size] - sums[first]) * powers(len(data) + 1, UNROLL)[first]
-    return mix(value + np.asarray(size, np.uint64) * ROLL).view(np.int64)
+    hit = np.flatnonzero(grams <= least[opens].max())
+    value = grams[hit]
+    order = np.argsort(value, kind="stable")
+    hit, value = hit[order], value[order]
+    near = (value[1:] == value[:-1]) & (hit[1:] - hit[:-1] < longest + span)
+    again = np.isin(least[first], value[1:][near])
+    digest = hasher.spans(first, count + window - 1)
+    return np.repeat(row, pieces), least[first].view(np.int64), digest, first, count, again
 
 
 # --- the order of a collection ------------------------------------------------------
@@ -135,7 +147,7 @@ def collection(strings, lengths, cap=WINDOW):
     keys, rank = keys[active], np.arange(m)
     for j in range(1, width + 1):
         # A new suffix has a common prefix with the one before it, and that after with it.
-        touched = np.unique(np.concatenate([rank, rank + 1]))
+        touched = np.concatenate([rank, rank[np.diff(rank, append=-1) != 1] + 1])
         touched = touched[(touched > 0) & (touched < len(keys))]
         low, high = keys[touched - 1], keys[touched]
         same = (low ^ high) <= PLACE
@@ -205,10 +217,9 @@ def _run_rows(texts):
     """Of all texts: row, least hash, digest, first window, windows, again."""
     none = np.zeros(0, np.int64)
     found = [(none, none, none, none, none, none.astype(bool))]
-    for row, data in _each_text(texts):
-        least, first, count, again = runs(data)
-        digest = span_hashes(data, first, count + WINDOW - 1)
-        found.append((np.full(len(least), row), least, digest, first, count, again))
+    for at, data, offsets in slices(texts, RUN_BYTES):
+        row, least, digest, first, count, again = runs(data, offsets)
+        found.append((row + at, least, digest, first - offsets[row], count, again))
     return [np.concatenate(x) for x in zip(*found)]
 
 
@@ -280,31 +291,53 @@ def _window_batches(batches):
                 continue
             places = [(r["place"] >> RUN_BITS) + np.arange(r["place"] & ((1 << RUN_BITS) - 1)) for r in listed]
             first = np.concatenate(places)
-            digests = [span_hashes(data, first, np.full(len(first), WINDOW), code) for code in (1, 2)]
+            digests = [Hasher(data, code).spans(first, np.full(len(first), WINDOW)) for code in (1, 2)]
             keys = [np.full(len(first), batch.column(c)[row].as_py()) for c in (0, 1)]
             yield _batch([*digests, *keys, first], ["d1", "d2", "k1", "k2", "first"])
 
 
-def _parts(batches):
-    """Lists of (least, digest, string), all strings of a hash in one list, sorted by length."""
-    group, part, size = [], [], 0
+def _groups(batches):
+    """Lists of the different (least, digest, string) of one hash, from sorted rows."""
+    group = []
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in range(3))):
             if group and group[0][0] != row[0]:
-                part, group = part + group, []
-                if size > PART_BYTES:
-                    yield part
-                    part, size = [], 0
+                yield group
+                group = []
             if not group or group[-1][:2] != row[:2]:
                 group.append(row)
-                size += len(row[2])
-    if part or group:
-        yield part + group
+    if group:
+        yield group
+
+
+def _parts(groups):
+    """Lists of strings to be ordered together; whole groups, those of like length in one part."""
+    pool, size = [], 0
+    for group in groups:
+        longest = max(len(x[2]) for x in group)
+        pool.append((longest, group))
+        size += longest * len(group)
+        if size > POOL_BYTES:
+            yield from _cut(pool)
+            pool, size = [], 0
+    yield from _cut(pool)
+
+
+def _cut(pool):
+    part, size = [], 0
+    for longest, group in sorted(pool, key=lambda x: x[0]):
+        part += group
+        size += longest * len(group)
+        if size > PART_BYTES:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
 
 
 def _ordered(batches):
     """least, digest, spans: repeated windows of every string that has some."""
-    for part in _parts(batches):
+    for part in _parts(_groups(batches)):
         lengths = np.array([len(x[2]) for x in part])
         width = int(lengths.max())
         strings = np.zeros((len(part), width), np.uint8)
@@ -386,7 +419,9 @@ def repeated_windows(keyed, hot_strings=HOT_STRINGS):
         F.sum("times").alias("total"), F.count(F.lit(1)).alias("strings"), F.max("again").alias("some")
     )
     by_hash = by_hash.filter("total > 1 or some")
-    shared = equal.join(by_hash, "least").select("least", "digest", "times", "strings", "some").checkpoint()
+    # With `again`, so that both sides read the same shuffle.
+    shared = equal.join(by_hash, "least").select("least", "digest", "times", "strings", "some", "again").checkpoint()
+    shared = shared.drop("again")
     placed = slim.mapInArrow(_placed_runs, _RUN + "k1 long, k2 long, place long")
     met = placed.join(shared, ["least", "digest"])
     first = F.shiftright("place", RUN_BITS)

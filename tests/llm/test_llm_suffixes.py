@@ -49,15 +49,20 @@ def test_equal_windows_have_one_hash():
     passage = bytes(rng.choices(b"abcdefgh ", k=500))
     texts = [bytes(rng.choices(b"abcdefgh ", k=rng.randrange(200))) + passage + bytes([65 + i]) * 300 for i in range(5)]
     hashes = defaultdict(set)
-    for text in texts:
-        data = np.frombuffer(text, np.uint8)
-        least, first, count, again = S.runs(data)
-        assert first[0] == 0 and (first[1:] == first[:-1] + count[:-1]).all() and count.max() <= S.RUN_WINDOWS
-        for value, f, n, twice in zip(least.tolist(), first.tolist(), count.tolist(), again.tolist()):
-            windows = [text[p : p + S.WINDOW] for p in range(f, f + n)]
-            assert twice or len(set(windows)) == n
-            for window in windows:
-                hashes[window].add(value)
+    whole = b"".join(texts)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    row, least, digest, first, count, again = S.runs(np.frombuffer(whole, np.uint8), offsets)
+    assert count.sum() == sum(len(t) - S.WINDOW + 1 for t in texts) and count.max() <= S.RUN_WINDOWS
+    for r, value, f, n, twice in zip(*map(np.ndarray.tolist, (row, least, first, count, again))):
+        assert offsets[r] <= f and f + n + S.WINDOW - 1 <= offsets[r + 1]
+        windows = [whole[p : p + S.WINDOW] for p in range(f, f + n)]
+        assert twice or len(set(windows)) == n
+        for window in windows:
+            hashes[window].add(value)
+    by_string = defaultdict(set)
+    for d, f, n in zip(*map(np.ndarray.tolist, (digest, first, count))):
+        by_string[whole[f : f + n + S.WINDOW - 1]].add(d)
+    assert all(len(found) == 1 for found in by_string.values()) and len(set(digest.tolist())) == len(by_string)
     assert all(len(found) == 1 for found in hashes.values())
 
 
