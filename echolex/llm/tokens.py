@@ -1,7 +1,8 @@
 """Token ids of whole texts by a public tokenizer that works word by word.
 
-Words between white space are encoded independently by such a tokenizer (a
-test holds this against encoding whole texts), so every distinct word of a
+Words between white space are encoded independently by such a tokenizer, and
+so are a run of letters and the punctuation after it; it also lowers letters
+(a test holds this against encoding whole texts). So every distinct piece of a
 slice is encoded once and found again in a per-worker cache.
 """
 
@@ -12,10 +13,40 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
-# Words kept per worker, some 150 bytes each; the cache starts anew beyond it.
-CACHE_WORDS = 300_000
+SLICE_BYTES = 1 << 21
+# Pieces in each of the two generations a worker keeps, some 150 bytes each.
+CACHE_WORDS = 250_000
 MISS_CHARS = 1 << 17
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
+_ASCII_LETTER = np.zeros(256, bool)
+_ASCII_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_STOP = np.zeros(256, bool)
+_STOP[[ord(c) for c in ".,;:!?"]] = True
+
+
+def pieces_of(data, offsets):
+    """(bytes of all pieces, start of each, number of pieces before each row) of some rows.
+
+    White space is left out, ASCII letters are lowered, and a piece ends where
+    a letter (ASCII or of the Latin-1 block) stands before one of `.,;:!?`.
+    """
+    n = len(data)
+    solid = ~_SPACE[data]
+    begins = np.zeros(n + 1, bool)
+    begins[offsets] = True
+    begins = begins[:-1]
+    begins[1:] |= ~solid[:-1]
+    if n > 1:
+        letter = _ASCII_LETTER[data[:-1]]
+        wide = np.zeros(n - 1, bool)
+        wide[1:] = (data[:-2] == 0xC3) & (data[1:-1] >= 0x80) & (data[1:-1] != 0x97) & (data[1:-1] != 0xB7)
+        begins[1:] |= _STOP[data[1:]] & (letter | wide)
+    kept = np.concatenate([[0], np.cumsum(solid)])
+    start = kept[:-1][begins & solid]
+    return _LOWER[data[solid]], start, np.searchsorted(start, kept[offsets])
 
 
 @lru_cache(maxsize=2)
@@ -27,36 +58,46 @@ def tokenizer(path):
 
 
 class WordIds:
-    """ids of texts, with a cache of the ids of words."""
+    """ids of texts, with a cache of the ids of pieces in two generations.
+
+    When the young one is full it becomes the old one; a piece that is met
+    again comes back from there, the others go with it.
+    """
 
-    def __init__(self, path):
-        self.tokenizer, self.known = tokenizer(path), {}
+    def __init__(self, path, limit=CACHE_WORDS):
+        self.tokenizer, self.limit = tokenizer(path), limit
+        self.young, self.old = {}, {}
 
     def encode(self, texts):
         """(uint32 ids of all texts, bounds of each text). `texts`: Arrow strings, no nulls."""
-        lists = pc.ascii_split_whitespace(texts)
-        words = lists.flatten().dictionary_encode()
+        texts = texts.cast(pa.large_string())
+        offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+        data, start, bounds = pieces_of(data, offsets - offsets[0])
+        ends = pa.py_buffer(np.append(start, len(data)).astype(np.int64))
+        words = pa.LargeStringArray.from_buffers(len(start), ends, pa.py_buffer(data)).dictionary_encode()
         index = words.indices.to_numpy(zero_copy_only=False)
-        known = self._ids(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        known = self._ids(words.dictionary.to_pylist())
         flat = np.frombuffer(b"".join(known), np.uint32)
         size = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        start = np.cumsum(size) - size
+        first = np.cumsum(size) - size
         length = size[index]
         ends = np.zeros(len(index) + 1, np.int64)
         np.cumsum(length, out=ends[1:])
-        take = np.repeat(start[index] - ends[:-1], length) + np.arange(ends[-1])
-        counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-        bounds = np.zeros(len(texts) + 1, np.int64)
-        np.cumsum(counts, out=bounds[1:])
+        take = np.repeat(first[index] - ends[:-1], length) + np.arange(ends[-1])
         return flat[take], ends[bounds]
 
     def _ids(self, words):
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
-        found = list(map(self.known.get, words))
-        missing = [w for w, ids in zip(words, found) if ids is None]
-        if not missing:
-            return found
+        if len(self.young) > self.limit:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        missing = []
+        for word in words:
+            if word not in young:
+                if (ids := old.get(word)) is not None:
+                    young[word] = ids
+                else:
+                    missing.append(word)
         at = 0
         while at < len(missing):
             stop, chars = at, 0
@@ -65,7 +106,7 @@ class WordIds:
                 stop += 1
             self._learn(missing[at:stop])
             at = stop
-        return list(map(self.known.__getitem__, words))
+        return list(map(young.__getitem__, words))
 
     def _learn(self, words):
         """Encode many words in one call; the character offsets tell them apart."""
@@ -76,7 +117,7 @@ class WordIds:
         cut = np.searchsorted(first, begin)
         data, low = ids.tobytes(), 0
         for word, high in zip(words, (cut * 4).tolist()):
-            self.known[word] = data[low:high]
+            self.young[word] = data[low:high]
             low = high
 
 
