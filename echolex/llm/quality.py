@@ -33,8 +33,8 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 # Bands: median of the language plus or minus so many median deviations.
-LOWER_DEVIATIONS = 8.0
-UPPER_DEVIATIONS = 11.0
+LOWER_DEVIATIONS = 24.0  # copies of a text make it well predicted
+UPPER_DEVIATIONS = 8.0
 # Log perplexities are compared in steps of this size.
 STEP = 0.0005
 # Tables of one row per language are broadcast up to this many languages.

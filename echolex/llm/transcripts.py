@@ -24,6 +24,7 @@ STATES = tuple((role, first) for role in ROLES for first in (True, False))
 MARKERS = ("none", *ROLES, "other")
 LENGTHS = (0, 3, 8, 20, 60)  # a class starts at each number of words
 BLOCK_LINES = 4096
+POOLED_SHARE = 0.1
 
 # Names that introduce a speaker.
 SPEAKERS = {
@@ -87,9 +88,8 @@ def observe(lines):
 def train(labelled, smoothing=0.5):
     """Model from lines with their state: conv_id, line_no, line, role, first (boolean).
 
-    Counted by Spark; what reaches the driver has a fixed number of cells. A
-    marker is a token of its own, so its counts are kept apart from those of
-    length and question, which are taken as independent of it.
+    Counted by Spark; what reaches the driver has a fixed number of cells. Length
+    and question depend on whether there is a marker, but not on which.
     """
     state = sum((F.when((F.col("role") == r) & (F.col("first") == f), k).otherwise(0)
                  for k, (r, f) in enumerate(STATES)), F.lit(0))
@@ -114,16 +114,35 @@ def train(labelled, smoothing=0.5):
         for b, (other, first) in enumerate(STATES):
             if not first and other != role:
                 move[a, b] = 0
-    marker, shape = np.full((k, len(MARKERS)), smoothing), np.full((k, N_LENGTHS * 2), smoothing)
+    marker, shape = np.zeros((k, len(MARKERS))), np.zeros((2, k, N_LENGTHS * 2))
     for r in counts:
         marker[r["state"], MARKERS.index(r["marker"])] += r["n"]
-        shape[r["state"], r["length"] * 2 + r["asks"]] += r["n"]
+        shape[int(r["marker"] != "none"), r["state"], r["length"] * 2 + r["asks"]] += r["n"]
+    marker, shape = _pooled(marker, smoothing), np.stack([_pooled(x, smoothing) for x in shape])
     with np.errstate(divide="ignore"):
         part = [np.log(x / x.sum(axis=-1, keepdims=True)) for x in (start, move, marker, shape)]
-    shown = (part[2][:, :, None] + part[3][:, None, :]).reshape(k, N_OBSERVED)
+    of_marker = np.array([int(m != "none") for m in MARKERS])
+    shown = (part[2][:, :, None] + part[3][of_marker].transpose(1, 0, 2)).reshape(k, N_OBSERVED)
     return Model(part[0], part[1], shown)
 
 
+def _pooled(counts, smoothing):
+    """Shares of what each state shows, a part of them from all roles, first and later lines apart.
+
+    That part is the same in every state: what training did not show in a rare
+    state is as unlikely there as in a frequent one.
+    """
+    out = np.empty(counts.shape)
+    for first in (True, False):
+        rows = [a for a, state in enumerate(STATES) if state[1] == first]
+        pool = counts[rows].sum(axis=0) + smoothing
+        pool /= pool.sum()
+        total = counts[rows].sum(axis=1, keepdims=True)
+        own = np.where(total > 0, counts[rows] / np.maximum(total, 1), pool)
+        out[rows] = (1 - POOLED_SHARE) * own + POOLED_SHARE * pool
+    return out
+
+
 def block_matrix(model, observed, opening):
     """Best score from each state before the block to each state at its end.
 

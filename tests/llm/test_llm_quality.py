@@ -37,7 +37,8 @@ def log_perplexities(data):
         if text is not None:
             texts[lang or ""].append(text)
     for lang, values in texts.items():
-        grams = {t: [tuple(units(t)[i : i + 4]) for i in range(len(units(t)) - 3)] for t in values}
+        split = {t: units(t) for t in values}
+        grams = {t: [tuple(u[i : i + 4]) for i in range(len(u) - 3)] for t, u in split.items()}
         level = Counter(g for t in values for g in grams[t])
         levels = [level]
         for _ in range(3):
