@@ -463,6 +463,11 @@ ORACLES = {
     "mask_sensitive": f"SELECT doc_id, {MASK} AS shown FROM documents",
     "stream_scored": SCORED_ROWS,
     "stream_idempotent": SCORED_ROWS,
+    "stream_offsets": SCORED_ROWS,
+    "message_sink": f"""{WITH_MULTI}
+        SELECT id, CAST(1704067200 + doc_id * 600 AS DOUBLE) AS created_utc, author_name, 'submission' AS type,
+            md5(text) AS digest
+        FROM multi""",
     "stream_dedup": SCORED_ROWS,
     "stream_throughput": "SELECT 6::BIGINT AS batches, count(*) AS input_rows, true AS measured FROM documents",
     "stream_rejects": f"""WITH {POSTS} SELECT 'reject' AS kind, count(*) AS n FROM documents WHERE source = 'src3'

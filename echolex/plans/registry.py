@@ -1,5 +1,6 @@
 """The queries of the engine over the benchmark tables, by name."""
 
+import time
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -20,13 +21,15 @@ from echolex.operators import (
 from echolex.plans.report import daily_report, latest_report, read_model
 from echolex.plans.score import score_posts
 from echolex.session import ensure_checkpoint_dir, scratch_path
+from echolex.sources import message_log, tables, testdata
 from echolex.sources import posts as P
-from echolex.sources import tables, testdata
 from echolex.streaming import posts as stream
 
 TIME = "yyyy-MM-dd HH:mm:ss"
 ONCE = {"availableNow": True}
 STREAM_FILES = 6
+SINK_FILES = 3
+LOG_BATCHES = 4
 # Word lists a caller may bring: Russian ones, and English ones in place of the built-in.
 OWN_LEXICONS = {"ru": (("тхе", "аб"), ("ин", "ел")), "en": (("great", "tion"), ("awful", "er"))}
 
@@ -718,6 +721,56 @@ def stream_rejects(spark, sf_dir):
     return _settled(spark, base, counts)
 
 
+def _read_to_end(start, batches=None):
+    """Run a stream until nothing is left, or stop it after some batches."""
+    query = start()
+    try:
+        while batches is not None and query.isActive and (query.lastProgress or {"batchId": -1})["batchId"] < batches:
+            time.sleep(0.05)
+        if batches is None:
+            stream.drain(query)
+    finally:
+        query.stop()
+    if query.exception():
+        raise query.exception()
+
+
+def stream_offsets(spark, sf_dir):
+    """A capped stream from a message log, stopped midway and started again."""
+    base = scratch_path(spark, "log")
+    messages = P.to_messages(testdata.multiscript_posts(spark, sf_dir))
+    message_log.append(messages.repartition(3), f"{base}/log", partitions=3)
+    rows = messages.count()
+
+    def start():
+        log = stream.read_messages_stream(
+            spark, "message_log", schema=None, path=f"{base}/log",
+            maxOffsetsPerTrigger=-(-rows // LOG_BATCHES), group="scorer",
+        )
+        scored = stream.score_messages(log)
+        return stream.start_batch_sink(scored, f"{base}/table", f"{base}/checkpoint", trigger={"processingTime": "0 seconds"})
+
+    _read_to_end(start, batches=1)
+    _read_to_end(start)
+    stored = spark.read.parquet(f"{base}/table")
+    return _settled(spark, base, _result(stored, "detected_language", "sentiment_label"))
+
+
+def message_sink(spark, sf_dir):
+    """Messages sent by a stream to a log, its last batch sent again as after a failure."""
+    base = scratch_path(spark, "sink")
+    for _ in range(2):
+        if tables.path_exists(spark, f"{base}/checkpoint/commits/{SINK_FILES - 1}"):
+            tables.remove_path(spark, f"{base}/checkpoint/commits/{SINK_FILES - 1}")
+            messages = stream.read_messages_stream(spark, "parquet", path=f"{base}/in", maxFilesPerTrigger=1)
+        else:
+            messages = _stream_messages(spark, sf_dir, base, files=SINK_FILES)
+        message_log.start_message_sink(messages, f"{base}/log", f"{base}/checkpoint", "posts", 2, ONCE).awaitTermination()
+    sent = spark.read.format("message_log").load(f"{base}/log")
+    rows = P.parse_posts(sent).select("id", "created_utc", "author_name", "type", F.md5("text").alias("digest"))
+    return _settled(spark, base, rows)
+
+
 QUERIES = {
     "label_distribution": label_counts,
     "score_posts": scored_posts,
@@ -789,6 +842,8 @@ QUERIES = {
     "stream_throughput": stream_throughput,
     "stream_dedup": stream_dedup,
     "stream_rejects": stream_rejects,
+    "stream_offsets": stream_offsets,
+    "message_sink": message_sink,
     "lexicon_custom": lexicon_custom,
     "describe_table": describe_table,
     "merged_read": merged_read,

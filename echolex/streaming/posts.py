@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from echolex.operators.distribution import observed_counts
 from echolex.plans.score import score_posts
+from echolex.sources import message_log
 from echolex.sources.posts import split_messages, split_tagged, tagged_posts
 from echolex.sources.tables import PARTITIONS, path_exists, with_created_date
 
@@ -34,9 +35,15 @@ def source_options(fmt, options):
 
 
 def read_messages_stream(spark, fmt="kafka", schema="value string", path=None, **options):
-    """Stream of messages with a `value` column. Kafka needs its connector."""
+    """Stream of messages with a `value` column. Kafka needs its connector.
+
+    `message_log` reads a log of `echolex.sources.message_log` by offsets, with
+    a cap on the messages of a batch.
+    """
+    if fmt == "message_log":
+        message_log.register(spark)
     reader = spark.readStream.format(fmt).options(**source_options(fmt, options))
-    if fmt != "kafka":
+    if fmt not in ("kafka", "message_log"):
         reader = reader.schema(schema)
     return reader.load(path) if path else reader.load()
 
@@ -79,6 +86,19 @@ def gather(scored, writers=None):
     return with_created_date(scored).repartition(*map(F.col, PARTITIONS), salt)
 
 
+def drain(query):
+    """Wait until a stream has read all its source holds, in as many batches as its cap needs.
+
+    Spark's own wait ends with what the source offers at once, one batch of a
+    capped source.
+    """
+    unchanged, last = 0, None
+    while unchanged < 3:
+        query.processAllAvailable()
+        now = (query.lastProgress or {"batchId": None})["batchId"]
+        unchanged, last = (unchanged + 1 if now == last else 0), now
+
+
 def _named(writer, name):
     return writer.queryName(name) if name else writer
 
