@@ -7,18 +7,18 @@ from echolex.functions.text import keywords
 from echolex.schemas import KEYWORDS_DDL
 
 
-def keyword_counts(df, text="text", min_length=2, compat=False, stopwords=STOPWORDS):
-    """Occurrences of each keyword, stopwords left out.
+def keyword_counts(df, text="text", min_length=2, compat=False, stopwords=STOPWORDS, by=()):
+    """Occurrences of each keyword, stopwords left out; with `by` for each value of those columns.
 
     A word list is tested before the shuffle. A DataFrame of stopwords (one
     `word` column, any size) is anti-joined after counting, when every word is
     down to one row and no word can be hot.
     """
-    words = df.select(F.explode(keywords(F.col(text), min_length, compat)).alias("word"))
+    words = df.select(*by, F.explode(keywords(F.col(text), min_length, compat)).alias("word"))
     listed = isinstance(stopwords, (list, tuple, set, frozenset))
     if listed and stopwords:
         words = words.filter(~F.col("word").isin(*sorted(set(stopwords))))
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    counts = words.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("count"))
     return counts if listed else counts.join(stopwords.select("word"), "word", "left_anti")
 
 

@@ -321,8 +321,19 @@ ORACLES = {
         ('source', 'string'), ('n_chars', 'bigint')) t(name, type)""",
     "merged_read": """SELECT doc_id, lang, CASE WHEN doc_id % 2 = 1 THEN coalesce(source, '-') ELSE '-' END AS source
         FROM documents""",
-    "written_formats": """SELECT event_id, 2::BIGINT AS n, (2 * CAST(value AS DECIMAL(18, 4)))::DOUBLE AS total
-        FROM events""",
+    "written_formats": """SELECT event_id, CAST(value AS DECIMAL(18, 4))::DOUBLE AS value, layout, physical
+        FROM events, (VALUES ('plain', 'INT64'), ('legacy', 'FIXED_LEN_BYTE_ARRAY')) l(layout, physical)""",
+    "mixed_types_read": f"""{WITH_SCORED}
+        SELECT id, CASE id::BIGINT % 3 WHEN 0 THEN created_utc::FLOAT::DOUBLE ELSE created_utc END AS created_utc,
+            (length(text) / CASE id::BIGINT % 3 WHEN 2 THEN 2.0 ELSE 1.0 END)::DOUBLE AS n,
+            CASE id::BIGINT % 3 WHEN 0 THEN '-' ELSE sentiment_label END AS sentiment_label, {CREATED}
+        FROM (SELECT *, CAST(1704067200 + id::BIGINT * 600 AS DOUBLE) AS created_utc FROM scored)""",
+    "stream_commit": f"""{WITH_SCORED}
+        SELECT phase, detected_language, count(*) AS n
+        FROM scored, (VALUES ('staged'), ('dropped'), ('committed')) p(phase)
+        WHERE phase = 'committed' OR id::BIGINT % 2 = 0 GROUP BY ALL""",
+    "report_incremental": _daily(ROLLING),
+    "report_incremental_calendar": _daily(CALENDAR),
     "recovery_strategy_table": f"""{WITH_ERRORS}
         SELECT event_id, error_type, CASE WHEN error_type = 'TimeoutError' THEN 'WAIT'
             WHEN error_type = 'Other' THEN 'MANUAL' ELSE 'SKIP' END AS strategy FROM errors""",

@@ -18,10 +18,11 @@ from echolex.operators import (
     ranking,
     scoring,
 )
+from echolex.plans import incremental
 from echolex.plans.report import daily_report, latest_report, read_model
 from echolex.plans.score import score_posts
 from echolex.session import ensure_checkpoint_dir, scratch_path
-from echolex.sources import message_log, tables, testdata
+from echolex.sources import message_log, mixed, tables, testdata
 from echolex.sources import posts as P
 from echolex.streaming import posts as stream
 
@@ -257,6 +258,29 @@ def report_keywords_parsed(spark, sf_dir):
     return parsed.select(F.col("rank").cast("bigint").alias("rank"), "word", "count")
 
 
+def _incremental(mode):
+    def query(spark, sf_dir):
+        """The report of the last day from states of three batches, one of them stored twice."""
+        base = scratch_path(spark, "states")
+        scored = _scored(spark, sf_dir)
+        for batch in (0, 1, 2, 1):
+            part = scored.filter(F.pmod(F.col("id").cast("long"), F.lit(3)) == batch)
+            incremental.write_report_states(part, batch, base)
+        as_of = cleaning.latest_time(_timed(spark, sf_dir))
+        report = incremental.incremental_report(incremental.read_states(spark, base), as_of, mode)
+        return _settled(spark, base, _shown_report(report))
+
+    return query
+
+
+def _shown_report(report):
+    return report.select(
+        _shown("report_date").alias("report_date"),
+        F.round("average_sentiment_score", 6).alias("average_sentiment_score"),
+        "top_keywords",
+    )
+
+
 def latest_report_query(spark, sf_dir):
     """Newest of one report per day, made from the days of the posts."""
     reports = (
@@ -428,15 +452,35 @@ def merged_read(spark, sf_dir):
 
 
 def written_formats(spark, sf_dir):
-    """Event values written with another compression and in the legacy layout, read back."""
+    """Event values written in both layouts and compressions, read back with how they are stored."""
     base = scratch_path(spark, "formats")
     rows = _events(spark, sf_dir).select("event_id", F.col("value").cast("decimal(18,4)").alias("value"))
-    rows.write.option("compression", "zstd").parquet(f"{base}/zstd")
-    legacy = rows.write.option("compression", "gzip").option("spark.sql.parquet.writeLegacyFormat", "true")
-    legacy.parquet(f"{base}/legacy")
-    both = spark.read.parquet(f"{base}/zstd").unionAll(spark.read.parquet(f"{base}/legacy"))
-    totals = both.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
-    return _settled(spark, base, totals.select("event_id", "n", F.col("total").cast("double").alias("total")))
+    rows.write.option("compression", "zstd").parquet(f"{base}/plain")
+    tables.write_legacy(rows, f"{base}/legacy", "gzip")
+    parts = []
+    for name in ("plain", "legacy"):
+        stored = mixed.footers(spark, f"{base}/{name}").filter("column = 'value'").agg(F.max("physical")).scalar()
+        read = spark.read.parquet(f"{base}/{name}")
+        parts.append(read.select("event_id", F.col("value").cast("double").alias("value"), F.lit(name).alias("layout"), stored.alias("physical")))
+    return _settled(spark, base, parts[0].unionAll(parts[1]))
+
+
+def mixed_types_read(spark, sf_dir):
+    """Posts stored in three versions that differ in columns and types, read as one table."""
+    base = scratch_path(spark, "mixed")
+    rows = _scored(spark, sf_dir).select("id", "created_utc", "created_at", F.length("text").alias("n"), "sentiment_label")
+    part = F.pmod(F.col("id").cast("long"), F.lit(3))
+    rows.filter(part == 0).select(
+        "id", F.col("created_utc").cast("float"), _shown("created_at").alias("created_at"), "n"
+    ).write.parquet(f"{base}/a")
+    rows.filter(part == 1).withColumn("n", F.col("n").cast("long")).write.parquet(f"{base}/b")
+    rows.filter(part == 2).withColumn("id", F.col("id").cast("long")).withColumn("n", F.col("n") / 2).write.parquet(f"{base}/c")
+    found = mixed.read_mixed(spark, base)
+    declared = mixed.read_mixed(spark, base, schema="id string, created_at timestamp")
+    both = found.select("id", "created_utc", "n", _or_dash("sentiment_label")).join(
+        declared.select("id", _shown("created_at").alias("created_at")), "id"
+    )
+    return _settled(spark, base, both)
 
 
 def empty_window_report(spark, sf_dir):
@@ -721,6 +765,34 @@ def stream_rejects(spark, sf_dir):
     return _settled(spark, base, counts)
 
 
+def stream_commit(spark, sf_dir):
+    """Rows by language that readers find of a batch while its new version is staged, dropped, and committed."""
+    base = scratch_path(spark, "commit")
+    table, scored = f"{base}/table", _scored(spark, sf_dir)
+    even = scored.filter(F.col("id").cast("long") % 2 == 0)
+    stream.write_scored_batch(even, 0, table)
+    parts = []
+
+    def look(phase):
+        rows = spark.read.parquet(table).groupBy("detected_language").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(rows.select(F.lit(phase).alias("phase"), "detected_language", "n").checkpoint())
+
+    ensure_checkpoint_dir(spark)
+    staged = tables.staged_folder(table, "posts-0")
+    stream.stage_scored_batch(scored, staged)
+    look("staged")
+    broken = scored.withColumn("text", F.raise_error(F.lit("broke off")).cast("string"))
+    try:
+        stream.write_scored_batch(broken, 0, table)
+    except Exception as failure:
+        if "broke off" not in str(failure):
+            raise
+    look("dropped")
+    tables.commit_folder(spark, staged, stream.batch_folder(table, "posts", 0))
+    look("committed")
+    return _settled(spark, base, reduce(lambda a, b: a.unionAll(b), parts))
+
+
 def _read_to_end(start, batches=None):
     """Run a stream until nothing is left, or stop it after some batches."""
     query = start()
@@ -844,6 +916,10 @@ QUERIES = {
     "stream_rejects": stream_rejects,
     "stream_offsets": stream_offsets,
     "message_sink": message_sink,
+    "stream_commit": stream_commit,
+    "report_incremental": _incremental("rolling"),
+    "report_incremental_calendar": _incremental("calendar"),
+    "mixed_types_read": mixed_types_read,
     "lexicon_custom": lexicon_custom,
     "describe_table": describe_table,
     "merged_read": merged_read,

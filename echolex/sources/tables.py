@@ -1,5 +1,7 @@
 """Parquet tables: reads with pruning, partitioned and report writes."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from echolex.functions.times import as_time, utc_day
@@ -108,6 +110,73 @@ def remove_path(spark, path):
     jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(jvm_path, True)
 
 
+def _file_system(spark, path):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def _move(spark, fs, old, new):
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(path(new).getParent())
+    if not fs.rename(path(old), path(new)):
+        raise OSError(f"cannot move {old} to {new}")
+
+
+def staged_folder(path, label):
+    """A new folder beside the data of a table, which readers of the table do not see."""
+    return f"{path.rstrip('/')}/_staged/{label}-{uuid.uuid4().hex}"
+
+
+def commit_folder(spark, staged, target):
+    """Make a staged folder that of the table, in one move of the file system.
+
+    What stood there before is moved aside first and removed last; a commit that
+    broke off between the moves is undone by `recover_folders`.
+    """
+    fs, path = _file_system(spark, target), spark._jvm.org.apache.hadoop.fs.Path
+    aside = _aside(target)
+    if fs.exists(path(target)):
+        fs.delete(path(aside), True)
+        _move(spark, fs, target, aside)
+    _move(spark, fs, staged, target)
+    fs.delete(path(aside), True)
+
+
+def _aside(target):
+    parent, _, name = target.rstrip("/").rpartition("/")
+    return f"{parent}/_replaced-{name}"
+
+
+def recover_folders(spark, folder):
+    """Put back what a broken-off commit in `folder` had moved aside; remove what it had replaced."""
+    fs, path = _file_system(spark, folder), spark._jvm.org.apache.hadoop.fs.Path
+    if not fs.exists(path(folder)):
+        return
+    for status in fs.listStatus(path(folder)):
+        name = status.getPath().getName()
+        if name.startswith("_replaced-"):
+            target = f"{folder}/{name[len('_replaced-'):]}"
+            if fs.exists(path(target)):
+                fs.delete(path(f"{folder}/{name}"), True)
+            else:
+                _move(spark, fs, f"{folder}/{name}", target)
+
+
+def write_legacy(df, path, compression="snappy"):
+    """Write with decimals and lists in the older Parquet layout.
+
+    The layout is a setting of the session, not of a writer; it is put back
+    afterwards.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.parquet.writeLegacyFormat"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
+
+
 def write_report(report, path, compression="snappy"):
     """Store the report rows of some days; a day's rows replace what is there of it."""
     report = report.select(*[F.col(f.name).cast(f.dataType) for f in REPORT_SCHEMA])

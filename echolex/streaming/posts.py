@@ -10,7 +10,15 @@ from echolex.operators.distribution import observed_counts
 from echolex.plans.score import score_posts
 from echolex.sources import message_log
 from echolex.sources.posts import split_messages, split_tagged, tagged_posts
-from echolex.sources.tables import PARTITIONS, path_exists, with_created_date
+from echolex.sources.tables import (
+    PARTITIONS,
+    commit_folder,
+    path_exists,
+    recover_folders,
+    remove_path,
+    staged_folder,
+    with_created_date,
+)
 
 # Nothing is skipped or capped by default: all messages from the first on, and an
 # error when messages expired before they were read.
@@ -123,19 +131,35 @@ def start_file_sink(
     return _trigger(_named(writer, name), trigger).start()
 
 
+def stage_scored_batch(batch, staged, compression="snappy", writers=None):
+    """Write one micro-batch into a folder beside the table, where readers do not see it."""
+    (
+        gather(batch, writers)
+        .write.option("compression", compression)
+        .partitionBy(*PARTITIONS)
+        .parquet(staged)
+    )
+
+
+def batch_folder(path, stream, batch_id):
+    return f"{path}/stream={stream}/batch_id={batch_id}"
+
+
 def write_scored_batch(batch, batch_id, path, stream="posts", compression="snappy", writers=None):
     """Write one micro-batch into its own folder, replacing what is there.
 
-    A replayed batch therefore replaces its rows and never doubles them. No
+    A replayed batch therefore replaces its rows and never doubles them. The
+    rows are written beside the table and moved in whole; until then readers
+    find what was there before, and a write that fails leaves nothing. No
     emptiness test is needed: an empty batch writes no data file.
     """
-    (
-        gather(batch, writers)
-        .write.mode("overwrite")
-        .option("compression", compression)
-        .partitionBy(*PARTITIONS)
-        .parquet(f"{path}/stream={stream}/batch_id={batch_id}")
-    )
+    spark = batch.sparkSession
+    staged = staged_folder(path, f"{stream}-{batch_id}")
+    try:
+        stage_scored_batch(batch, staged, compression, writers)
+        commit_folder(spark, staged, batch_folder(path, stream, batch_id))
+    finally:
+        remove_path(spark, staged)
 
 
 def start_batch_sink(
@@ -148,6 +172,7 @@ def start_batch_sink(
     folders of the same `stream` name, so that combination is refused.
     """
     spark = scored.sparkSession
+    recover_folders(spark, f"{path}/stream={stream}")
     used = path_exists(spark, f"{path}/stream={stream}")
     if used and not path_exists(spark, f"{checkpoint}/metadata"):
         raise ValueError(f"stream {stream!r} has data in {path}: new checkpoints need a new stream name")
@@ -174,10 +199,12 @@ def start_split_sink(messages, path, rejects_path, checkpoint, stream="posts", t
 
     def write(batch, batch_id):
         tagged = tagged_posts(batch).persist()
-        posts, rejects = split_tagged(tagged)
-        write_scored_batch(score_posts(posts, **score_options), batch_id, path, stream)
-        rejects.write.mode("overwrite").parquet(f"{rejects_path}/stream={stream}/batch_id={batch_id}")
-        tagged.unpersist()
+        try:
+            posts, rejects = split_tagged(tagged)
+            write_scored_batch(score_posts(posts, **score_options), batch_id, path, stream)
+            rejects.write.mode("overwrite").parquet(f"{rejects_path}/stream={stream}/batch_id={batch_id}")
+        finally:
+            tagged.unpersist()
 
     writer = messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()
