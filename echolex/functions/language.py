@@ -7,11 +7,11 @@ from echolex.functions.text import or_empty
 # Script ranges, in the order in which they are tested.
 SCRIPT_CLASSES = {
     "ko": "가-힣",
-    "ar": r"\x{600}-\x{6ff}\x{750}-\x{77f}\x{8a0}-\x{8ff}\x{fb50}-\x{fdff}\x{fe70}-\x{feff}",
-    "zh": r"\x{4e00}-\x{9fff}",
-    "ja": r"\x{3040}-\x{309f}\x{30a0}-\x{30ff}",
-    "ru": r"\x{400}-\x{4ff}",
-    "th": r"\x{e00}-\x{e7f}",
+    "ar": r"\u0600-\u06ff\u0750-\u077f\u08a0-\u08ff\ufb50-\ufdff\ufe70-\ufeff",
+    "zh": r"\u4e00-\u9fff",
+    "ja": r"\u3040-\u309f\u30a0-\u30ff",
+    "ru": r"\u0400-\u04ff",
+    "th": r"\u0e00-\u0e7f",
 }
 DEFAULT_LANGUAGE = "en"
 

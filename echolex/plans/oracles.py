@@ -489,4 +489,10 @@ ORACLES = {
             count(*) FILTER (WHERE sentiment_label = 'NEGATIVE') AS total_negative,
             count(*) FILTER (WHERE sentiment_label = 'NEUTRAL') AS total_neutral
         FROM scored""",
+    "stream_batch_metrics": f"""{WITH_SCORED}
+        SELECT CAST(6 AS BIGINT) AS processed_batches, count(*) AS total_records,
+            count(*) FILTER (WHERE sentiment_label = 'POSITIVE') AS total_positive,
+            count(*) FILTER (WHERE sentiment_label = 'NEGATIVE') AS total_negative,
+            count(*) FILTER (WHERE sentiment_label = 'NEUTRAL') AS total_neutral
+        FROM scored""",
 }

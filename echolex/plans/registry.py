@@ -730,6 +730,21 @@ def stream_metrics(spark, sf_dir):
     return _settled(spark, base, stream.run_counters(_metrics(spark, sf_dir, base)))
 
 
+def stream_batch_metrics(spark, sf_dir):
+    """Run totals from the rows the batches stored themselves, one of them stored again after a failure."""
+    base = scratch_path(spark, "stream")
+    for again in (False, True):
+        if again:
+            tables.remove_path(spark, f"{base}/checkpoint/commits/{STREAM_FILES - 1}")
+            messages = stream.read_messages_stream(spark, "parquet", path=f"{base}/in", maxFilesPerTrigger=1)
+        else:
+            messages = _stream_messages(spark, sf_dir, base)
+        stream.start_split_sink(
+            messages, f"{base}/table", f"{base}/rejects", f"{base}/checkpoint", trigger=ONCE, metrics=f"{base}/metrics"
+        ).awaitTermination()
+    return _settled(spark, base, stream.run_counters(stream.stream_metrics(spark, f"{base}/metrics")))
+
+
 def stream_throughput(spark, sf_dir):
     """Batches with rows, their rows, and whether each one's rates were measured."""
     base = scratch_path(spark, "stream")
@@ -917,6 +932,7 @@ QUERIES = {
     "stream_offsets": stream_offsets,
     "message_sink": message_sink,
     "stream_commit": stream_commit,
+    "stream_batch_metrics": stream_batch_metrics,
     "report_incremental": _incremental("rolling"),
     "report_incremental_calendar": _incremental("calendar"),
     "mixed_types_read": mixed_types_read,

@@ -1,7 +1,10 @@
 """The streaming scorer: source, sinks, metrics."""
 
 import threading
+import time
+from datetime import datetime, timezone
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
@@ -189,20 +192,33 @@ def start_batch_sink(
     return _trigger(_named(writer, name), trigger).start()
 
 
-def start_split_sink(messages, path, rejects_path, checkpoint, stream="posts", trigger=None, **score_options):
+def start_split_sink(
+    messages, path, rejects_path, checkpoint, stream="posts", trigger=None, metrics=None, **score_options
+):
     """Score messages and keep the unreadable ones, both from one decoding.
 
     Each micro-batch is decoded once and kept while its two sides are written:
     posts through `write_scored_batch`, rejects into their own folder by batch
     number, so that a replayed batch replaces both.
+
+    With `metrics` a row of counts of each batch goes to a table there before
+    the batch is committed, so every committed batch has its row, whatever
+    becomes of the driver; `stream_metrics` reads it.
     """
+    spark = messages.sparkSession
+    recover_folders(spark, f"{path}/stream={stream}")
 
     def write(batch, batch_id):
+        started = time.time()
         tagged = tagged_posts(batch).persist()
         try:
             posts, rejects = split_tagged(tagged)
-            write_scored_batch(score_posts(posts, **score_options), batch_id, path, stream)
+            counts = Observation()
+            scored = score_posts(posts, **score_options).observe(counts, *observed_counts())
+            write_scored_batch(scored, batch_id, path, stream)
             rejects.write.mode("overwrite").parquet(f"{rejects_path}/stream={stream}/batch_id={batch_id}")
+            if metrics:
+                write_batch_metrics(batch, batch_id, metrics, stream, started, tagged.count(), counts.get)
         finally:
             tagged.unpersist()
 
@@ -210,6 +226,19 @@ def start_split_sink(messages, path, rejects_path, checkpoint, stream="posts", t
     return _trigger(writer, trigger).start()
 
 
+def write_batch_metrics(batch, batch_id, path, stream, started, input_rows, counts):
+    """Store the row of one batch: its counts, when it began (epoch seconds) and how long it took."""
+    spark = batch.sparkSession
+    seconds = time.time() - started
+    began = datetime.fromtimestamp(started, timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+    rate = input_rows / seconds
+    row = (batch_id, began, seconds, input_rows, None, rate, *[counts.get(n) for n in COUNTED])
+    staged = staged_folder(path, f"{stream}-{batch_id}")
+    spark.createDataFrame([row], METRICS_SCHEMA).coalesce(1).write.parquet(staged)
+    commit_folder(spark, staged, f"{path}/stream={stream}/batch={batch_id}")
+
+
+COUNTED = ("records", "positive", "negative", "neutral")
 METRICS_SCHEMA = T.StructType(
     [
         T.StructField("batch_id", T.LongType()),
@@ -236,7 +265,7 @@ def _metric_row(progress):
         progress.numInputRows,
         progress.inputRowsPerSecond,
         progress.processedRowsPerSecond,
-        *[counts.get(name) for name in ("records", "positive", "negative", "neutral")],
+        *[counts.get(name) for name in COUNTED],
     )
 
 
@@ -245,6 +274,8 @@ class MetricsTable(StreamingQueryListener):
 
     Rows are keyed by stream name and batch number, so a replayed batch
     replaces its row. `finish` waits for the query's last event and detaches.
+    Rows follow Spark's events: those of a driver that dies before an event are
+    missing. `start_split_sink(metrics=...)` has a row for every committed batch.
     """
 
     def __init__(self, spark, path, query_name):
@@ -283,7 +314,7 @@ class MetricsTable(StreamingQueryListener):
 
 
 def stream_metrics(spark, path):
-    """One row per micro-batch of the whole run, from the table a `MetricsTable` wrote."""
+    """One row per micro-batch of the whole run, as a `MetricsTable` or `start_split_sink` wrote them."""
     return spark.read.schema(METRICS_SCHEMA).option("recursiveFileLookup", True).parquet(path)
 
 
@@ -293,6 +324,6 @@ def run_counters(metrics):
         F.count_if(F.col("input_rows") > 0).alias("processed_batches"),
         *[
             F.coalesce(F.sum(c), F.lit(0)).alias(f"total_{c}")
-            for c in ("records", "positive", "negative", "neutral")
+            for c in COUNTED
         ],
     )

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from echolex.plans.score import score_posts
 from echolex.sources.posts import to_messages
+from echolex.sources.tables import remove_path
 from echolex.sources.testdata import multiscript_posts
 from echolex.streaming import posts as stream
 
@@ -122,6 +123,26 @@ def test_unreadable_messages_are_kept(spark, inbox, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/table").count() == inbox.expected.filter("id % 2 = 0").count()
 
 
+def test_every_committed_batch_has_its_metrics(spark, inbox, tmp_path):
+    """Without any listener, and after a batch whose commit was lost."""
+    rows = to_messages(multiscript_posts(spark, "/root/testdata/sf0.001"))
+    rows.repartition(3).write.text(inbox.path)
+    for _ in range(2):
+        messages = stream.read_messages_stream(spark, "text", path=inbox.path, maxFilesPerTrigger=1)
+        run(
+            stream.start_split_sink(
+                messages, f"{tmp_path}/table", f"{tmp_path}/bad", f"{tmp_path}/c", trigger=ONCE, metrics=f"{tmp_path}/m"
+            )
+        )
+        remove_path(spark, f"{tmp_path}/c/commits/2")
+    found = stream.stream_metrics(spark, f"{tmp_path}/m")
+    assert sorted(r["batch_id"] for r in found.collect()) == [0, 1, 2]
+    assert found.filter("seconds > 0 and processed_rows_per_second > 0").count() == 3
+    counters = stream.run_counters(found).first()
+    assert counters["processed_batches"] == 3 and counters["total_records"] == inbox.expected.count()
+    assert found.agg(F.sum("input_rows")).first()[0] == rows.count()
+
+
 def test_kafka_defaults():
     options = stream.source_options("kafka", {"subscribe": "posts"})
     assert options == {"failOnDataLoss": "true", "startingOffsets": "earliest", "subscribe": "posts"}
