@@ -184,24 +184,38 @@ def _group_links(threshold):
     return run
 
 
+def _same_id(base, classes):
+    """(rep, root): classes that hold rows of one id, each with the first of them."""
+    own = base.filter("same is not null and vec_id is not null").select("vec_id", "label", "same").distinct()
+    own = own.join(classes.select("label", "same", "rep"), ["label", "same"]).select("vec_id", "rep")
+    several = own.groupBy("vec_id").agg(F.min("rep").alias("root"), F.max("rep").alias("last"))
+    several = several.filter("root < last").select("vec_id", "root")
+    return own.join(several, "vec_id").filter("rep != root").select("rep", "root")
+
+
 def near_vectors(rows, id_col="vec_id", vector_col="embedding", label_col="label", threshold=THRESHOLD):
     """vec_id, n_links, component_id, kept: one row per row.
 
     Only vectors of one label and one length are compared. A null label, and a
     vector that is null, empty, zero or holds a null or non-finite component,
     links with nothing. Equal vectors are one class: a link of the class counts
-    for each of its rows, and each row links with the other copies. A row
-    without an id has no component and is kept. Repeated rows are copies of each
-    other. An empty table gives no rows; other columns are ignored.
+    for each of its rows, and each row links with the other copies. Rows of one
+    id are one vector for components, whatever they hold, and count their links
+    apart. A row without an id counts and is counted in links, leads from one
+    vector to another, has no component itself and is kept. Repeated rows are
+    copies of each other. An empty table gives no rows; other columns are
+    ignored.
     """
     vector = F.col(vector_col).cast("array<double>")
     base = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).alias("label"), vector.alias("vector"))
-    usable = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.coalesce(_usable("vector"), F.lit(False))
+    usable = F.col("label").isNotNull() & F.coalesce(_usable("vector"), F.lit(False))
     base = base.withColumn("same", F.when(usable, F.md5(F.to_json("vector"))))
     classes = (
         base.filter("same is not null")
         .groupBy("label", "same")
-        .agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.min("vector").alias("vector"))
+        .agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"), F.min("vector").alias("vector"))
+        # Numbered before they are stored, so the numbers stay.
+        .withColumn("rep", F.monotonically_increasing_id())
         .checkpoint()
     )
     sizes = classes.groupBy("label").agg(F.count(F.lit(1)).alias("of_label"))
@@ -233,18 +247,17 @@ def near_vectors(rows, id_col="vec_id", vector_col="embedding", label_col="label
         .applyInArrow(_group_links(threshold), "rep long, links long, root long")
         .checkpoint()
     )
-    groups = components(found.select("rep", "root").distinct(), "rep", "root")
-    groups = groups.select(F.col("node").alias("rep"), "component")
+    edges = found.select("rep", "root").unionAll(_same_id(base, classes)).distinct()
+    groups = components(edges, "rep", "root").select(F.col("node").alias("rep"), "component")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    known = classes.select("label", "same", "rep", "n").join(links, "rep", "left").join(groups, "rep", "left")
-    known = known.select(
-        "label",
-        "same",
-        (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-        F.coalesce("component", "rep").alias("component_id"),
+    known = classes.drop("vector").join(links, "rep", "left").join(groups, "rep", "left")
+    known = known.withColumn("component", F.coalesce("component", "rep"))
+    least = known.groupBy("component").agg(F.min("least").alias("component_id"))
+    known = known.join(least, "component").select(
+        "label", "same", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id"
     )
     out = base.select("vec_id", "label", "same").join(known, ["label", "same"], "left")
-    component = F.coalesce("component_id", "vec_id")
+    component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id"))
     return out.select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

@@ -25,13 +25,17 @@ def cases():
     odd = [None, [], [0.0] * 16, [float("nan")] + [1.0] * 15, [None] + [1.0] * 15, [float("inf")] + [1.0] * 15]
     out += [(vec_id + 20 + k, v, 0, 1, "x") for k, v in enumerate(odd)]
     out += [(vec_id + 40, [1.0, 2.0], 0, 1, "x"), (None, copy, 0, 1, "x"), out[3]]
+    # One id with several vectors: its links are counted apart, its components are one.
+    near = lambda v: [x * 1.001 for x in v[:-1]] + [v[-1] * 0.99]
+    out += [(5000, out[0][1], 0, 1, "x"), (5000, near(out[121][1]), 1, 1, "x"), (5000, near(out[1][1]), 0, 1, "x")]
+    out += [(5001, out[122][1], 1, 1, "x"), (5001, out[2][1], 0, 1, "x"), (None, near(out[5][1]), 0, 1, "x")]
     return out
 
 
 def expected(rows):
     good = []
     for i, (vec_id, v, label, *_) in enumerate(rows):
-        ok = vec_id is not None and label is not None and v and None not in v
+        ok = label is not None and v and None not in v
         if ok and np.isfinite(v).all() and np.any(v):
             good.append((i, vec_id, label, np.array(v, np.float64)))
     links, union = [0] * len(rows), Union()
@@ -40,9 +44,14 @@ def expected(rows):
             if la == lb and len(u) == len(v) and u @ v / np.sqrt((u @ u) * (v @ v)) >= 0.93:
                 links[i] += 1
                 links[j] += 1
-                union.join(a, b)
+                union.join(*((10**9 + k, 1) if x is None else (x, 0) for k, x in ((i, a), (j, b))))
+    least = {}
+    for r in rows:
+        if r[0] is not None:
+            root = union.root((r[0], 0))
+            least[root] = min(least.get(root, r[0]), r[0])
     return sorted(
-        ((r[0] is None, r[0] or 0, links[i], None if r[0] is None else union.root(r[0])) for i, r in enumerate(rows)),
+        ((r[0] is None, r[0] or 0, links[i], None if r[0] is None else least[union.root((r[0], 0))]) for i, r in enumerate(rows)),
         key=str,
     )
 
@@ -57,6 +66,15 @@ def test_links_and_components(spark, monkeypatch, block):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got)
 
 
+def test_an_id_with_two_vectors(spark):
+    rng = np.random.default_rng(9)
+    a, c = rng.standard_normal((2, 16)).astype(np.float32).tolist()
+    rows = [(1, a), (2, [x * 1.01 for x in a]), (1, c), (3, [x * 0.99 for x in c])]
+    df = spark.createDataFrame([(i, v, 0, 1, "x") for i, v in rows], SCHEMA)
+    got = sorted(map(tuple, V.near_vectors(df).collect()))
+    assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False)]
+
+
 def test_empty_table(spark):
     assert V.near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
 
