@@ -10,10 +10,10 @@ TTL_HOURS = 24
 MAX_ENTRIES = 10_000
 
 
-def latest_entries(cache):
-    """Newest entry per key; entries of equal time are ordered by their result."""
+def latest_entries(cache, *within):
+    """Newest entry per key (and columns `within`); entries of equal time are ordered by their result."""
     order = [F.col("cached_at").desc(), F.col("result")]
-    return top_per_group(cache, ["key"], order, 1, "cached_at")
+    return top_per_group(cache, ["key", *within], order, 1, "cached_at")
 
 
 def lookup_cached(

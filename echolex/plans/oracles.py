@@ -225,6 +225,11 @@ CACHE = f"""live AS (
     SELECT md5(text || ':local') AS key, {TOKENS_EN} AS label, max(created_at) AS cached_at
     FROM posts GROUP BY 1, 2)"""
 
+CACHE_SPLIT = f"""{WITH_POSTS}, {CACHE}, t AS (SELECT max(created_at) AS as_of FROM posts),
+        fresh AS (SELECT * FROM live, t WHERE as_of - cached_at < INTERVAL 24 HOUR)
+        SELECT id, f.key IS NOT NULL AS hit, coalesce(f.label, '-') AS label
+        FROM posts LEFT JOIN fresh f ON f.key = md5(text || ':local')"""
+
 MASK = (
     "CASE "
     + " ".join(
@@ -433,10 +438,8 @@ ORACLES = {
         SELECT id, {CREATED}, detected_language, sentiment_label FROM scored, t
         WHERE scored.created_at >= t.as_of - INTERVAL 1 DAY AND detected_language IN ('en', 'ko')""",
     "cache_key": "SELECT CAST(doc_id AS VARCHAR) AS id, md5(text || ':local') AS key FROM documents",
-    "cache_split": f"""{WITH_POSTS}, {CACHE}, t AS (SELECT max(created_at) AS as_of FROM posts),
-        fresh AS (SELECT * FROM live, t WHERE as_of - cached_at < INTERVAL 24 HOUR)
-        SELECT id, f.key IS NOT NULL AS hit, coalesce(f.label, '-') AS label
-        FROM posts LEFT JOIN fresh f ON f.key = md5(text || ':local')""",
+    "cache_split": CACHE_SPLIT,
+    "cache_store": CACHE_SPLIT,
     "cache_evict": f"""{WITH_POSTS}, {CACHE}
         SELECT key, label, {_shown('cached_at')} AS cached_at FROM live
         ORDER BY live.cached_at DESC, key LIMIT 100""",
@@ -474,6 +477,14 @@ ORACLES = {
     "mask_sensitive": f"SELECT doc_id, {MASK} AS shown FROM documents",
     "stream_scored": SCORED_ROWS,
     "stream_idempotent": SCORED_ROWS,
+    "stream_cap": _capped("hour", 2),
+    "stream_freshness": f"""WITH e AS (SELECT {COMPONENT} AS component, date_trunc('hour', ts) AS hour FROM events),
+        closed AS (SELECT date_trunc('hour', max(ts) - INTERVAL 10 MINUTE) - INTERVAL 1 HOUR AS last FROM events),
+        hours AS (SELECT component, unnest(generate_series(min(hour), max(last), INTERVAL 1 HOUR)) AS hour
+            FROM e, closed GROUP BY component),
+        counts AS (SELECT component, hour, count(*) AS n FROM e GROUP BY ALL)
+        SELECT component, {_shown('hour')} AS window_start, coalesce(n, 0) AS n, n IS NOT NULL AS ok
+        FROM hours LEFT JOIN counts USING (component, hour)""",
     "stream_offsets": SCORED_ROWS,
     "message_sink": f"""{WITH_MULTI}
         SELECT id, CAST(1704067200 + doc_id * 600 AS DOUBLE) AS created_utc, author_name, 'submission' AS type,

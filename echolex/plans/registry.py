@@ -23,14 +23,17 @@ from echolex.plans.report import daily_report, latest_report, read_model
 from echolex.plans.score import score_posts
 from echolex.session import ensure_checkpoint_dir, scratch_path
 from echolex.sources import message_log, mixed, tables, testdata
+from echolex.sources.cache_store import CacheStore
 from echolex.sources import posts as P
 from echolex.streaming import posts as stream
+from echolex.streaming import windows
 
 TIME = "yyyy-MM-dd HH:mm:ss"
 ONCE = {"availableNow": True}
 STREAM_FILES = 6
 SINK_FILES = 3
 LOG_BATCHES = 4
+EVENT_PARTS = 4
 # Word lists a caller may bring: Russian ones, and English ones in place of the built-in.
 OWN_LEXICONS = {"ru": (("тхе", "аб"), ("ин", "ел")), "en": (("great", "tion"), ("awful", "er"))}
 
@@ -588,6 +591,25 @@ def cache_evict(spark, sf_dir):
     return kept.select("key", "result.label", _shown("cached_at").alias("cached_at"))
 
 
+def cache_store(spark, sf_dir):
+    """The lookup of `cache_split` in a stored cache, filled in two goes that overlap, its old days removed."""
+    base = scratch_path(spark, "cache")
+    rows, timed = testdata.posts(spark, sf_dir), _timed(spark, sf_dir)
+    as_of = timed.agg(F.max("created_at")).first()[0]
+    name = "cache_" + base.rsplit("-", 1)[-1]
+    store = CacheStore(spark, name, base, buckets=8)
+    number = F.xxhash64("key") % 3
+    entries = _cache(spark, sf_dir)
+    store.store(entries.filter(number != 0))
+    store.store(entries.filter(number != 1))
+    store.expire(as_of)
+    found = store.lookup(rows, as_of)
+    hits = found.select("id", F.col("result").isNotNull().alias("hit"), "result.label")
+    kept = _settled(spark, base, hits.withColumn("label", _or_dash("label")))
+    spark.sql(f"DROP TABLE {name}")
+    return kept
+
+
 def _capped(width, limit):
     def query(spark, sf_dir):
         calls = testdata.call_outcomes(spark, sf_dir)
@@ -843,6 +865,43 @@ def stream_offsets(spark, sf_dir):
     return _settled(spark, base, _result(stored, "detected_language", "sentiment_label"))
 
 
+def _event_stream(spark, sf_dir, base):
+    """Calls of components as a stream whose batches come in the order of time."""
+    calls, micros = testdata.call_outcomes(spark, sf_dir), F.unix_micros("ts")
+    shares = F.array(*[F.lit(i / EVENT_PARTS) for i in range(1, EVENT_PARTS)])
+    cuts = calls.agg(F.percentile_approx(micros, shares)).first()[0]
+    part = reduce(lambda n, cut: n + (micros >= cut).cast("int"), cuts, F.lit(0))
+    for i in range(EVENT_PARTS):  # files are streamed in the order they were written
+        calls.filter(part == i).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    source = spark.readStream.schema(calls.schema).option("maxFilesPerTrigger", 1)
+    return source.parquet(f"{base}/in")
+
+
+def _stateful(build):
+    """Run a stateful operator over the calls and read what it wrote."""
+
+    def query(spark, sf_dir):
+        base = scratch_path(spark, "windows")
+        with windows.stateful_session(spark):
+            rows = build(_event_stream(spark, sf_dir, base))
+            writer = rows.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint")
+            writer.option("path", f"{base}/out").trigger(**ONCE).start().awaitTermination()
+        found = spark.read.schema(rows.schema).parquet(f"{base}/out")
+        shown = found.withColumn("window_start", _shown("window_start"))
+        return _settled(spark, base, shown.drop("ts"))
+
+    return query
+
+
+def _cap_calls(calls):
+    calls = calls.select("component", "ts", "call_id")
+    return windows.cap_stream(calls, "component", "ts", 2, "call_id", "1 hour")
+
+
+def _fresh_components(calls):
+    return windows.freshness_stream(calls, "component", "ts")
+
+
 def message_sink(spark, sf_dir):
     """Messages sent by a stream to a log, its last batch sent again as after a failure."""
     base = scratch_path(spark, "sink")
@@ -910,6 +969,7 @@ QUERIES = {
     "partitioned_read": partitioned_read,
     "cache_key": cache_key_query,
     "cache_split": cache_split,
+    "cache_store": cache_store,
     "cache_evict": cache_evict,
     "cap_per_minute": _capped("1 minute", 1),
     "cap_per_hour": _capped("1 hour", 2),
@@ -929,6 +989,8 @@ QUERIES = {
     "stream_throughput": stream_throughput,
     "stream_dedup": stream_dedup,
     "stream_rejects": stream_rejects,
+    "stream_cap": _stateful(_cap_calls),
+    "stream_freshness": _stateful(_fresh_components),
     "stream_offsets": stream_offsets,
     "message_sink": message_sink,
     "stream_commit": stream_commit,
