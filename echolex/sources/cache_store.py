@@ -6,8 +6,6 @@ a rewrite. Files are bucketed and sorted by key, so a lookup shuffles its own
 keys and reads the cache where it lies, of the days that can still be live only.
 """
 
-from datetime import timedelta
-
 from pyspark.sql import functions as F
 
 from echolex.functions.text import cache_key
@@ -21,6 +19,11 @@ BUCKETS = 64
 DYNAMIC = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
 
 
+def _oldest_day(as_of, ttl_hours):
+    """The first UTC day that can hold live entries at an instant."""
+    return utc_day(as_time(as_of) - F.make_dt_interval(hours=F.lit(ttl_hours)))
+
+
 class CacheStore:
     """A cache table `name` with its files under `path`.
 
@@ -83,8 +86,8 @@ class CacheStore:
         self._refresh()
 
     def expire(self, as_of, ttl_hours=TTL_HOURS):
-        """Remove the days of which no entry can be live at the instant `as_of` (a datetime in UTC)."""
-        oldest = (as_of - timedelta(hours=ttl_hours)).date()
+        """Remove the days of which no entry can be live at the instant `as_of`; returns them."""
+        oldest = self.spark.range(1).select(_oldest_day(as_of, ttl_hours)).first()[0]
         gone = [day for day in self.days() if day < oldest]
         for day in gone:
             remove_path(self.spark, f"{self.path}/day={day}")
@@ -93,9 +96,8 @@ class CacheStore:
 
     def live(self, as_of, ttl_hours=TTL_HOURS):
         """The newest live entry per key, read from the days that can hold one; nothing is shuffled."""
-        as_of = as_time(as_of)
-        oldest = utc_day(as_of - F.make_dt_interval(hours=F.lit(ttl_hours)))
-        entries = self.entries().filter((F.col("day") >= oldest) & age_under(F.col("cached_at"), as_of, ttl_hours))
+        may_live = F.col("day") >= _oldest_day(as_of, ttl_hours)
+        entries = self.entries().filter(may_live & age_under(F.col("cached_at"), as_of, ttl_hours))
         return latest_entries(entries).select("key", "result")
 
     def lookup(self, posts, as_of, ttl_hours=TTL_HOURS, source="local", text="text", spread="id", hot_rows=HOT_ROWS):

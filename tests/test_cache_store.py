@@ -1,4 +1,4 @@
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +7,7 @@ from echolex.functions.text import cache_key
 from echolex.operators import cache
 from echolex.sources.cache_store import CacheStore
 
-NOON = datetime(2024, 3, 10, 12)
+NOON = datetime(2024, 3, 10, 12, tzinfo=timezone.utc)
 RESULT = "struct<label:string,confidence:double,source:string,text_length:int>"
 
 
