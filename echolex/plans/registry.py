@@ -34,6 +34,8 @@ STREAM_FILES = 6
 SINK_FILES = 3
 LOG_BATCHES = 4
 EVENT_PARTS = 4
+FILE_BYTES = 4 << 20  # of the input, in a file of messages
+LOG_TASK_ROWS = 10_000
 # Word lists a caller may bring: Russian ones, and English ones in place of the built-in.
 OWN_LEXICONS = {"ru": (("тхе", "аб"), ("ин", "ел")), "en": (("great", "tion"), ("awful", "er"))}
 
@@ -708,11 +710,23 @@ def mask_sensitive_query(spark, sf_dir):
 # --- streaming ------------------------------------------------------------------
 
 
-def _stream_messages(spark, sf_dir, base, rows=None, files=STREAM_FILES):
-    """JSON messages in several files, streamed one file a batch."""
+def _batch_files(spark, sf_dir, batches):
+    """Files a batch of messages is dealt over: one, and more where its share of the input is large."""
+    return testdata.document_shares(spark, sf_dir, batches * FILE_BYTES)
+
+
+def _message_files(spark, sf_dir, base, batches=STREAM_FILES):
+    """The stream of the files that `_stream_messages` has written."""
+    return stream.read_messages_stream(
+        spark, "parquet", path=f"{base}/in", maxFilesPerTrigger=_batch_files(spark, sf_dir, batches)
+    )
+
+
+def _stream_messages(spark, sf_dir, base, rows=None, batches=STREAM_FILES):
+    """JSON messages in files, streamed in `batches` batches of as many files."""
     messages = P.to_messages(testdata.multiscript_posts(spark, sf_dir)) if rows is None else rows
-    messages.repartition(files).write.parquet(f"{base}/in")
-    return stream.read_messages_stream(spark, "parquet", path=f"{base}/in", maxFilesPerTrigger=1)
+    messages.repartition(batches * _batch_files(spark, sf_dir, batches)).write.parquet(f"{base}/in")
+    return _message_files(spark, sf_dir, base, batches)
 
 
 def stream_scored(spark, sf_dir):
@@ -758,7 +772,7 @@ def stream_batch_metrics(spark, sf_dir):
     for again in (False, True):
         if again:
             tables.remove_path(spark, f"{base}/checkpoint/commits/{STREAM_FILES - 1}")
-            messages = stream.read_messages_stream(spark, "parquet", path=f"{base}/in", maxFilesPerTrigger=1)
+            messages = _message_files(spark, sf_dir, base)
         else:
             messages = _stream_messages(spark, sf_dir, base)
         stream.start_split_sink(
@@ -848,13 +862,13 @@ def stream_offsets(spark, sf_dir):
     """A capped stream from a message log, stopped midway and started again."""
     base = scratch_path(spark, "log")
     messages = P.to_messages(testdata.multiscript_posts(spark, sf_dir))
-    message_log.append(messages.repartition(3), f"{base}/log", partitions=3)
+    message_log.append(messages.repartition(3 * _batch_files(spark, sf_dir, 3)), f"{base}/log", partitions=3)
     rows = messages.count()
 
     def start():
         log = stream.read_messages_stream(
             spark, "message_log", schema=None, path=f"{base}/log",
-            maxOffsetsPerTrigger=-(-rows // LOG_BATCHES), group="scorer",
+            maxOffsetsPerTrigger=-(-rows // LOG_BATCHES), group="scorer", rowsPerTask=LOG_TASK_ROWS,
         )
         scored = stream.score_messages(log)
         return stream.start_batch_sink(scored, f"{base}/table", f"{base}/checkpoint", trigger={"processingTime": "0 seconds"})
@@ -908,9 +922,9 @@ def message_sink(spark, sf_dir):
     for _ in range(2):
         if tables.path_exists(spark, f"{base}/checkpoint/commits/{SINK_FILES - 1}"):
             tables.remove_path(spark, f"{base}/checkpoint/commits/{SINK_FILES - 1}")
-            messages = stream.read_messages_stream(spark, "parquet", path=f"{base}/in", maxFilesPerTrigger=1)
+            messages = _message_files(spark, sf_dir, base, SINK_FILES)
         else:
-            messages = _stream_messages(spark, sf_dir, base, files=SINK_FILES)
+            messages = _stream_messages(spark, sf_dir, base, batches=SINK_FILES)
         message_log.start_message_sink(messages, f"{base}/log", f"{base}/checkpoint", "posts", 2, ONCE).awaitTermination()
     sent = spark.read.format("message_log").load(f"{base}/log")
     rows = P.parse_posts(sent).select("id", "created_utc", "author_name", "type", F.md5("text").alias("digest"))

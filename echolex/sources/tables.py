@@ -16,6 +16,11 @@ def path_exists(spark, path):
     return fs.exists(jvm_path)
 
 
+def stored_bytes(spark, path):
+    """Bytes of the files under a path."""
+    return _file_system(spark, path).getContentSummary(spark._jvm.org.apache.hadoop.fs.Path(path)).getLength()
+
+
 def read_table(spark, *paths, merge_schema=False):
     """Read Parquet folders; files with differing columns unite by name."""
     return spark.read.option("mergeSchema", merge_schema).parquet(*paths)

@@ -4,7 +4,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from echolex.sources.tables import spread
+from echolex.sources.tables import spread, stored_bytes
 
 START_EPOCH = 1704067200  # 2024-01-01 00:00:00 UTC
 LATIN = "abcdefghijklmnopqrstuvwxyz"
@@ -42,6 +42,11 @@ def documents(spark, sf_dir):
     return spread(_load(spark, sf_dir, "documents"), partitions and int(partitions))
 
 
+def document_shares(spark, sf_dir, share_bytes):
+    """In how many parts `documents` comes when a part holds some `share_bytes` of its files."""
+    return max(1, -(-stored_bytes(spark, f"{sf_dir}/documents.parquet") // share_bytes))
+
+
 def posts(spark, sf_dir):
     """`documents` as posts, ten minutes apart from 2024 on."""
     return as_posts(documents(spark, sf_dir))

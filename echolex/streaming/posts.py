@@ -14,7 +14,6 @@ from echolex.plans.score import score_posts
 from echolex.sources import message_log
 from echolex.sources.posts import split_messages, split_tagged, tagged_posts
 from echolex.sources.tables import (
-    PARTITIONS,
     commit_folder,
     path_exists,
     recover_folders,
@@ -33,6 +32,8 @@ LIVE_OPTIONS = {
     "maxOffsetsPerTrigger": "1000",
 }
 TRIGGER = "30 seconds"
+# Folders of the streamed tables.
+STREAM_PARTITIONS = ("detected_language",)
 
 
 def source_options(fmt, options):
@@ -83,18 +84,20 @@ def _trigger(writer, trigger):
 
 
 def gather(scored, writers=None):
-    """Bring rows of one day and language together before a partitioned write.
-
-    Without this every task writes a file into every folder. A folder's rows
-    are dealt by post id over `writers` tasks, so one large language is not
-    left to a single task; the default is a sixteenth of the shuffle
-    partitions. Where adaptive execution is on in a stateless query, it joins
-    small writers again.
+    """Bring rows of one language together before a partitioned write.
+
+    A stream's folders are its languages, of which there are few, and the day is
+    a column of the files: a batch may hold posts of any number of days, and a
+    folder for each would cost a file for every few rows. A folder's rows are
+    dealt by post id over `writers` tasks, so one large language is not left to
+    a single task; the default is a sixteenth of the shuffle partitions. So a
+    batch writes at most `writers` files per language. Where adaptive execution
+    is on in a stateless query, it joins small writers again.
     """
     if writers is None:
         writers = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16
     salt = F.pmod(F.xxhash64("id"), F.lit(max(1, writers)))
-    return with_created_date(scored).repartition(*map(F.col, PARTITIONS), salt)
+    return with_created_date(scored).repartition(*map(F.col, STREAM_PARTITIONS), salt)
 
 
 def drain(query):
@@ -126,7 +129,7 @@ def start_file_sink(
         gather(scored.observe("posts", *observed_counts()), writers)
         .writeStream.format("parquet")
         .outputMode("append")
-        .partitionBy(*PARTITIONS)
+        .partitionBy(*STREAM_PARTITIONS)
         .option("compression", compression)
         .option("checkpointLocation", checkpoint)
         .option("path", path)
@@ -135,11 +138,15 @@ def start_file_sink(
 
 
 def stage_scored_batch(batch, staged, compression="snappy", writers=None):
-    """Write one micro-batch into a folder beside the table, where readers do not see it."""
+    """Write one micro-batch into a folder beside the table, where readers do not see it.
+
+    Files are sorted by day, so a read of some days skips the pages of others.
+    """
     (
         gather(batch, writers)
+        .sortWithinPartitions(*STREAM_PARTITIONS, "created_date")
         .write.option("compression", compression)
-        .partitionBy(*PARTITIONS)
+        .partitionBy(*STREAM_PARTITIONS)
         .parquet(staged)
     )
 
