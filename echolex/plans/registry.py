@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from echolex.functions import replies, times
 from echolex.functions import sentiment as S
-from echolex.functions.text import cache_key, mask_sensitive, truncate
+from echolex.functions.text import cache_key, mask_sensitive, or_empty, truncate
 from echolex.operators import (
     cache,
     cleaning,
@@ -209,7 +209,10 @@ def score_distinct(spark, sf_dir):
 
 def parse_reply(spark, sf_dir):
     """Replies of several shapes, some unreadable, read back."""
-    n, label = F.col("n_chars"), S.presence_label(F.col("text"))
+    # Projections of their own: the lower-cased text and the label are computed once per row.
+    rows = _doc(spark, sf_dir).withColumn("lowered", F.lower(or_empty(F.col("text"))))
+    rows = rows.select("doc_id", "n_chars", S.presence_label(F.col("text"), lowered=F.col("lowered")).alias("label"))
+    n, label = F.col("n_chars"), F.col("label")
     reply = (
         F.when(n % 5 == 0, F.concat(F.lit("label: "), label))
         .when(n % 5 == 1, F.to_json(F.struct(label.alias("sentiment"))))
@@ -217,7 +220,7 @@ def parse_reply(spark, sf_dir):
         .when(n % 5 == 3, F.to_json(F.struct((n % 100 / 100).alias("confidence"))))
         .otherwise(F.to_json(F.struct(label.alias("sentiment"), (n % 100 / 100).alias("confidence"))))
     )
-    parsed = _doc(spark, sf_dir).select("doc_id", replies.parse_reply(reply).alias("r"))
+    parsed = rows.select("doc_id", replies.parse_reply(reply).alias("r"))
     return parsed.select("doc_id", "r.label", F.round("r.confidence", 6).alias("confidence"))
 
 
