@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from echolex.functions.replies import parse_reply
+from echolex.plans import registry
+from echolex.sources import tables
 
 
 def plan_of(df):
@@ -17,3 +19,11 @@ def test_a_reply_is_computed_and_parsed_once(spark):
     assert plan.count("md5(") == 1 and plan.count("from_json(") == 1
     rows = got.withColumn("want", text).collect()
     assert [(r["label"], r["confidence"]) for r in rows] == [(r["want"], 0.25) for r in rows]
+
+
+def test_reports_and_their_read_model_use_posts_scored_once(spark, sf_dir):
+    base, scored, _ = registry._reports(spark, sf_dir)
+    assert "documents.parquet" not in plan_of(scored)
+    want = registry._scored(spark, sf_dir)
+    assert scored.exceptAll(want).isEmpty() and scored.count() == want.count()
+    tables.remove_path(spark, base)
