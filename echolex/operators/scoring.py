@@ -11,6 +11,7 @@ from echolex.functions.language import detect_korean, detect_language
 from echolex.functions.text import or_empty, truncate
 from echolex.functions.times import epoch_to_timestamp
 from echolex.operators.skew import HOT_ROWS, lookup_join
+from echolex.session import bound_batches
 
 LOWERED = "_lowered"
 
@@ -49,6 +50,7 @@ def with_label(
     }
     label = S.cascade(scorers[scorer]())
     if model is not None:
+        bound_batches(df.sparkSession)
         df = df.withColumn("_model", model(body))
         label = S.cascade(S.standard_label(F.col("_model.label")), scorers[scorer]())
     df = df.withColumn("sentiment_label", label)

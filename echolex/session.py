@@ -5,6 +5,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+ARROW_BYTES = 16 << 20  # of an Arrow batch handed to Python
+ARROW_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 # Settings the operators are written for. Adaptive execution merges small
 # shuffle partitions and splits skewed ones; UTC keeps instants unshifted.
 SESSION_CONF = {
@@ -14,6 +17,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    ARROW_KEY: str(ARROW_BYTES),
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
@@ -36,6 +40,11 @@ def build_session(app_name="echolex", master=None, legacy_parquet=False, conf=No
     return builder.getOrCreate()
 
 
+def bound_batches(spark):
+    """Hand Python batches of bounded bytes: by rows alone a batch of long texts has no bound."""
+    spark.conf.set(ARROW_KEY, str(ARROW_BYTES))
+
+
 def shared_dir(spark):
     """The folder all executors can reach, as the cluster names it.
 

@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from echolex.functions.replies import parse_reply
+from echolex.operators import scoring
 from echolex.plans import registry
+from echolex.session import ARROW_BYTES, ARROW_KEY
 from echolex.sources import tables
 
 
@@ -27,3 +29,12 @@ def test_reports_and_their_read_model_use_posts_scored_once(spark, sf_dir):
     want = registry._scored(spark, sf_dir)
     assert scored.exceptAll(want).isEmpty() and scored.count() == want.count()
     tables.remove_path(spark, base)
+
+
+def test_a_model_gets_batches_of_bounded_bytes(spark):
+    spark.conf.set(ARROW_KEY, str(256 << 20))
+    model = scoring.model_scorer(lambda: lambda texts: ["positive" for _ in texts])
+    rows = spark.range(3).selectExpr("string(id) text", "'en' detected_language")
+    got = scoring.with_label(rows, model=model)
+    assert spark.conf.get(ARROW_KEY) == str(ARROW_BYTES)
+    assert [r["sentiment_label"] for r in got.collect()] == ["POSITIVE"] * 3
