@@ -59,3 +59,10 @@ def test_a_log_of_large_input_is_written_by_more_tasks_than_partitions(spark, sf
     want = registry.scored_posts(spark, sf_dir)
     assert got.exceptAll(want).isEmpty() and got.count() == want.count()
     assert registry.message_sink(spark, sf_dir).count() == got.sparkSession.read.parquet(f"{sf_dir}/documents.parquet").count()
+
+
+def test_no_task_of_the_message_sink_gets_a_third_of_a_large_input(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "FILE_BYTES", 10_000)
+    registry._stream_messages(spark, sf_dir, f"{tmp_path}/x", batches=registry.SINK_FILES)
+    rows = [spark.read.parquet(str(f)).count() for f in (tmp_path / "x" / "in").glob("*.parquet")]
+    assert len(rows) > 3 * registry.SINK_FILES and max(rows) < sum(rows) / 6
