@@ -14,6 +14,8 @@ SCRIPT_CLASSES = {
     "th": r"\u0e00-\u0e7f",
 }
 DEFAULT_LANGUAGE = "en"
+# No listed script lies within.
+LATIN_RUN = r"[\x{0}-\x{3ff}]+"
 
 
 def script_count(text, language):
@@ -23,22 +25,32 @@ def script_count(text, language):
     return F.length(text) - F.length(rest)
 
 
-def detect_language(text):
+def beyond_latin(text):
+    """The characters from U+0400 on, among which all listed scripts are; none of ASCII text."""
+    text = or_empty(text)
+    ascii_only = F.octet_length(text) == F.length(text)
+    return F.when(ascii_only, "").otherwise(F.regexp_replace(text, LATIN_RUN, ""))
+
+
+def solid_length(text):
+    """Number of characters other than spaces."""
+    return F.length(F.replace(or_empty(text), F.lit(" "), F.lit("")))
+
+
+def detect_language(text, beyond=None, total=None):
     """First script that holds more than a tenth of the non-space characters.
 
-    Null, blank and unmatched text is English. ASCII text leaves at the first
-    branch (byte length equals character length) and text in an unlisted
-    script at the second, so the ratios are computed for few rows only.
+    Null, blank and unmatched text is English. Scripts are counted in what
+    `beyond_latin` leaves of a text: text without it, such as ASCII text,
+    leaves at the first branch. A caller that has `beyond_latin` and
+    `solid_length` of the text in columns saves computing them by branch.
     Han is tested before kana: Japanese with over 10 % kanji gives "zh".
     """
-    text = or_empty(text)
-    total = F.length(F.replace(text, F.lit(" "), F.lit("")))
-    any_script = "[" + "".join(SCRIPT_CLASSES.values()) + "]"
-    language = F.when(F.octet_length(text) == F.length(text), DEFAULT_LANGUAGE).when(
-        ~text.rlike(any_script), DEFAULT_LANGUAGE
-    )
+    beyond = beyond_latin(text) if beyond is None else beyond
+    total = solid_length(text) if total is None else total
+    language = F.when(beyond == "", DEFAULT_LANGUAGE)
     for code in SCRIPT_CLASSES:
-        language = language.when(script_count(text, code) * 10 > total, code)
+        language = language.when(script_count(beyond, code) * 10 > total, code)
     return language.otherwise(DEFAULT_LANGUAGE)
 
 

@@ -70,15 +70,33 @@ def _minimal(words):
     return [w for w in dict.fromkeys(words) if not any(o != w and o in w for o in words)]
 
 
+def _any_of(words):
+    """Pattern of any of the words, behind a look at the characters they can begin with.
+
+    The look keeps the regex engine from trying the alternatives at every
+    character; character classes are fast within Latin-1 only, see `_plain`.
+    """
+    depth = min(3, *map(len, words)) if len(words) > 1 else 1
+    heads = "".join("[" + "".join(sorted({re.escape(w[i]) for w in words})) + "]" for i in range(depth))
+    return f"(?={heads}){_one_of(words)}"
+
+
+def _plain(words):
+    return bool(words) and all(w and w.isascii() for w in words)
+
+
 def token_hits(lowered, words):
     """Number of white-space tokens that contain any of the words.
 
-    Every word found is overwritten by a mark, then tokens with a mark are
-    counted. Plain substring search is several times faster here than a regex
-    alternation, and linear in the text. No word holds white space, so a mark
-    stays within its token. Texts without any word skip the marking.
+    For ASCII words a match is a word and the rest of its token, so each token
+    counts once, in one pass over the text. Of other lists every word found is
+    overwritten by a mark, then tokens with a mark are counted: classes of wide
+    characters are slow in a regex, and texts without any word skip the
+    marking. Both are linear in the text. No word holds white space.
     """
     words = _minimal(words)
+    if _plain(words):
+        return F.coalesce(F.regexp_count(lowered, F.lit(f"{_any_of(words)}[^{WS}]*+")), F.lit(0))
     marked = F.replace(lowered, F.lit(MARK), F.lit(NOT_MARK))
     for word in words:
         marked = F.replace(marked, F.lit(word), F.lit(MARK))

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from echolex.functions import sentiment as S
-from echolex.functions.language import detect_korean, detect_language
+from echolex.functions.language import beyond_latin, detect_korean, detect_language, solid_length
 from echolex.functions.text import or_empty, truncate
 from echolex.functions.times import epoch_to_timestamp
 from echolex.operators.skew import HOT_ROWS, lookup_join
 from echolex.session import bound_batches
 
 LOWERED = "_lowered"
+BEYOND, SOLID = "_beyond", "_solid"
 
 
 def with_created_at(df, seconds="created_utc"):
@@ -21,8 +22,13 @@ def with_created_at(df, seconds="created_utc"):
 
 
 def with_language(df, text="text", two_way=False):
-    rule = detect_korean if two_way else detect_language
-    return df.withColumn("detected_language", rule(F.col(text)))
+    if two_way:
+        return df.withColumn("detected_language", detect_korean(F.col(text)))
+    # Projections of their own: each branch of the rule reads what is computed once per row.
+    beyond, text = F.col(BEYOND), F.col(text)
+    df = df.withColumn(BEYOND, beyond_latin(text))
+    df = df.withColumn(SOLID, F.when(beyond == "", 0).otherwise(solid_length(text)))
+    return df.withColumn("detected_language", detect_language(text, beyond, F.col(SOLID))).drop(BEYOND, SOLID)
 
 
 def with_label(

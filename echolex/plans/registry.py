@@ -754,8 +754,8 @@ def stream_idempotent(spark, sf_dir):
     stream.start_batch_sink(scored, f"{base}/table", f"{base}/checkpoint", trigger=ONCE).awaitTermination()
     ids = spark.read.parquet(f"{base}/table").filter("batch_id = 1").select("id")
     ids.write.parquet(f"{base}/ids")
-    again = _scored(spark, sf_dir).join(spark.read.parquet(f"{base}/ids"), "id", "left_semi")
-    stream.write_scored_batch(again, 1, f"{base}/table")
+    again = testdata.multiscript_posts(spark, sf_dir).join(spark.read.parquet(f"{base}/ids"), "id", "left_semi")
+    stream.write_scored_batch(score_posts(again), 1, f"{base}/table")
     stored = spark.read.parquet(f"{base}/table")
     return _settled(spark, base, _result(stored, "detected_language", "sentiment_label"))
 

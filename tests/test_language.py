@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from echolex.functions import language as L
 from echolex.operators.distribution import corpus_language
+from echolex.operators.scoring import with_language
 
 CASES = {
     "안녕하세요 반갑 hi": "ko",
@@ -45,3 +46,16 @@ def test_corpus_language(spark):
     )
     got = {r["author"]: r["language"] for r in corpus_language(rows, "author").collect()}
     assert got == {"a": "ko", "b": "en", "c": "en"}
+
+
+def test_scripts_are_counted_in_what_lies_beyond_latin(spark):
+    """The text is cut once a row; the branches of the rule read the cut text."""
+    texts = ["plain", "", None, "ähnlich über Öl", "é" * 9 + "й", "é" * 8 + "й", "“quoted” — text", "가 " * 5 + "b" * 44, "가 " * 5 + "b" * 45, "😀" * 9 + "ก"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    found = with_language(rows)
+    assert found.columns == ["i", "text", "detected_language"]
+    assert [r[0] for r in found.orderBy("i").select("detected_language").collect()] == [
+        "en", "en", "en", "en", "en", "ru", "en", "ko", "en", "en",
+    ]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_replace(coalesce(text") == 1

@@ -66,3 +66,11 @@ def test_no_task_of_the_message_sink_gets_a_third_of_a_large_input(spark, sf_dir
     registry._stream_messages(spark, sf_dir, f"{tmp_path}/x", batches=registry.SINK_FILES)
     rows = [spark.read.parquet(str(f)).count() for f in (tmp_path / "x" / "in").glob("*.parquet")]
     assert len(rows) > 3 * registry.SINK_FILES and max(rows) < sum(rows) / 6
+
+
+def test_a_batch_written_again_scores_its_own_posts_only(spark, sf_dir, monkeypatch):
+    scored = []
+    score = registry.score_posts
+    monkeypatch.setattr(registry, "score_posts", lambda posts, **o: scored.append(posts.count()) or score(posts, **o))
+    got = registry.stream_idempotent(spark, sf_dir)
+    assert len(scored) == 1 and 0 < scored[0] < got.count() / 3

@@ -129,3 +129,24 @@ def test_model_labels(column_of):
 def test_cascade(column_of):
     expression = S.cascade(F.nullif(TEXT, F.lit("")), F.lit(None).cast("string"))
     assert column_of(["POSITIVE", "", None], expression) == ["POSITIVE", "NEUTRAL", "NEUTRAL"]
+
+
+def test_ascii_words_are_found_in_one_pass(spark):
+    """One expression a list, instead of a search and a replacement for every word of it."""
+    rows = spark.createDataFrame([("good",)], "text string")
+    plan = rows.select(S.token_label(F.col("text")))._jdf.queryExecution().optimizedPlan().toString()
+    wide = rows.select(S.token_label(F.col("text"), "ko"))._jdf.queryExecution().optimizedPlan().toString()
+    assert wide.count("replace(") > 50 and plan.count("replace(") == 0
+
+
+def test_token_hits_equal_a_plain_count(spark):
+    rng = random.Random(5)
+    parts = ["win", "won", "goo", "good", "bad", "ba", "sad", "a", "\x01", "\x02", " ", " ", "\u3000", "\n", "좋은", "😀", ".*", "]"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(400)]
+    rows = spark.createDataFrame(list(enumerate([*texts, None])), "i int, text string")
+    for words in (("good", "win", "won"), ("bad", "sad", "ad"), ("a",), (".*", "]", "win"), ("좋은", "win")):
+        found = rows.select("i", S.token_hits(F.col("text"), words).alias("n")).collect()
+        assert {r["i"]: r["n"] for r in found} == {
+            **{i: sum(any(w in t for w in words) for t in re.split(r"[ \n\u3000]+", text)) for i, text in enumerate(texts)},
+            len(texts): 0,
+        }
