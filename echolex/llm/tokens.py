@@ -17,6 +17,7 @@ SLICE_BYTES = 1 << 21
 # Pieces in each of the two generations a worker keeps, some 150 bytes each.
 CACHE_WORDS = 250_000
 MISS_CHARS = 1 << 17
+WORD_END = "</w>"  # suffix of a token at the end of a word
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -57,6 +58,16 @@ def tokenizer(path):
     return Tokenizer.from_file(path)
 
 
+@lru_cache(maxsize=2)
+def token_bytes(path):
+    """Bytes of text that each token id stands for: a character of a byte-level token is a byte."""
+    vocab = tokenizer(path).get_vocab()
+    size = np.zeros(max(vocab.values()) + 1, np.int64)
+    for token, number in vocab.items():
+        size[number] = len(token.removesuffix(WORD_END))
+    return size
+
+
 class WordIds:
     """ids of texts, with a cache of the ids of pieces in two generations.
 
@@ -66,6 +77,7 @@ class WordIds:
 
     def __init__(self, path, limit=CACHE_WORDS):
         self.tokenizer, self.limit = tokenizer(path), limit
+        self.token_bytes = token_bytes(path)
         self.young, self.old = {}, {}
 
     def encode(self, texts):
@@ -91,13 +103,10 @@ class WordIds:
         if len(self.young) > self.limit:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old
-        missing = []
-        for word in words:
-            if word not in young:
-                if (ids := old.get(word)) is not None:
-                    young[word] = ids
-                else:
-                    missing.append(word)
+        missing = [word for word in words if word not in young]
+        if old:
+            young.update((word, old[word]) for word in missing if word in old)
+            missing = [word for word in missing if word not in young]
         at = 0
         while at < len(missing):
             stop, chars = at, 0
@@ -109,16 +118,33 @@ class WordIds:
         return list(map(young.__getitem__, words))
 
     def _learn(self, words):
-        """Encode many words in one call; the character offsets tell them apart."""
-        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(found.ids, np.uint32)
-        first = np.fromiter((o[0] for o in found.offsets), np.int64, len(ids))
-        begin = np.cumsum([len(w) + 1 for w in words])
-        cut = np.searchsorted(first, begin)
-        data, low = ids.tobytes(), 0
-        for word, high in zip(words, (cut * 4).tolist()):
-            self.young[word] = data[low:high]
-            low = high
+        """Encode many words in few calls.
+
+        ASCII words keep their bytes, so the lengths of the tokens tell where
+        each ends, and the call may skip the character offsets. Where the
+        lengths do not meet the ends, and for other words, offsets tell.
+        """
+        plain = [word for word in words if word.isascii()]
+        wide = [word for word in words if not word.isascii()] if len(plain) < len(words) else []
+        if plain:
+            found = self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0]
+            ids = np.array(found.ids, np.uint32)
+            ends = np.cumsum(np.fromiter(map(len, plain), np.int64, len(plain)))
+            read = np.cumsum(self.token_bytes[ids])
+            cut = np.searchsorted(read, ends)
+            if len(read) and read[-1] == ends[-1] and (read[cut] == ends).all():
+                self._keep(plain, ids, cut + 1)
+            else:
+                wide = words
+        if wide:
+            found = self.tokenizer.encode(" ".join(wide), add_special_tokens=False)
+            ids = np.array(found.ids, np.uint32)
+            first = np.fromiter((o[0] for o in found.offsets), np.int64, len(ids))
+            self._keep(wide, ids, np.searchsorted(first, np.cumsum([len(w) + 1 for w in wide])))
+
+    def _keep(self, words, ids, cut):
+        data, high = ids.tobytes(), (cut * 4).tolist()
+        self.young.update(zip(words, map(data.__getitem__, map(slice, [0, *high[:-1]], high))))
 
 
 @lru_cache(maxsize=2)

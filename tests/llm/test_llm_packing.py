@@ -62,6 +62,30 @@ def by_the_rule(lengths, capacity):
     return sorted(bins)
 
 
+def test_plain_words_are_encoded_without_offsets(monkeypatch):
+    """Their ends follow from the lengths of the tokens; wide and odd words fall back to offsets."""
+    calls = []
+
+    class Counted:
+        def __init__(self, real):
+            self.real = real
+
+        def __getattr__(self, name):
+            calls.append(name)
+            return getattr(self.real, name)
+
+    real = tokens.tokenizer(PATH)
+    odd = ["naïve", "</w>", "a</w>b</w>", "<|endoftext|>", "it's", "x\x1cy", "\x85", "\x00", "ü", "a\u00a0b"]
+    for words, methods in ((["plain", "w0rds", "don't", "#$%", "a,b"], ["encode_batch_fast"]), (odd, ["encode_batch_fast", "encode"])):
+        encoder = tokens.WordIds(PATH)
+        encoder.tokenizer = Counted(real)
+        calls.clear()
+        encoder._learn(words)
+        assert calls == methods
+        for word in words:
+            assert np.frombuffer(encoder.young[word], np.uint32).tolist() == real.encode(word, add_special_tokens=False).ids, word
+
+
 def test_sum_of_squares_follows_its_rule():
     rng = np.random.default_rng(4)
     for capacity in (7, 20):
