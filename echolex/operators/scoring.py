@@ -47,6 +47,8 @@ def with_label(
     # A projection of its own: the lower-cased text is computed once per row.
     df = df.withColumn(LOWERED, F.lower(or_empty(body)))
     lowered, language = F.col(LOWERED), F.col("detected_language")
+    if scorer == "tokens":
+        df = df.withColumn(LOWERED, S.narrowed(lowered, language, lexicons))
     scorers = {
         "tokens": lambda: S.token_label(body, language, lowered, lexicons),
         "presence": lambda: S.presence_label(body, lowered=lowered),
@@ -73,6 +75,7 @@ def label_texts(df, text="text", **options):
 def with_sentiment(df, text="text", language="detected_language"):
     """Add the full `sentiment` struct of the token scorer."""
     df = df.withColumn(LOWERED, F.lower(or_empty(F.col(text))))
+    df = df.withColumn(LOWERED, S.narrowed(F.col(LOWERED), F.col(language)))
     value = S.token_sentiment(F.col(text), F.col(language), F.col(LOWERED))
     return df.withColumn("sentiment", value).drop(LOWERED)
 

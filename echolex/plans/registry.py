@@ -34,7 +34,7 @@ STREAM_FILES = 6
 SINK_FILES = 3
 LOG_BATCHES = 4
 EVENT_PARTS = 4
-FILE_BYTES = 4 << 20  # of the input, in a file of messages
+FILE_BYTES = 1 << 20  # of the input, in a file of messages; a batch has so many that tasks come out even
 LOG_TASK_ROWS = 10_000
 # Word lists a caller may bring: Russian ones, and English ones in place of the built-in.
 OWN_LEXICONS = {"ru": (("тхе", "аб"), ("ин", "ел")), "en": (("great", "tion"), ("awful", "er"))}

@@ -150,3 +150,16 @@ def test_token_hits_equal_a_plain_count(spark):
             **{i: sum(any(w in t for w in words) for t in re.split(r"[ \n\u3000]+", text)) for i, text in enumerate(texts)},
             len(texts): 0,
         }
+
+
+@pytest.mark.parametrize("language", ["en", "ko", "ru"])
+def test_narrowed_texts_have_the_same_hits(texts, language):
+    """What is left of a text is short and holds its hits, for ASCII, Korean and a caller's lists."""
+    own = {"ru": (("тхе", "up"), ("ин",))}
+    values = ["goodbad xbadgood ok", "좋은나쁜 x나쁨최고 그냥", "тхеин upтхе нет", "mad\u00a0good\tgood", "", "none " * 50]
+    pos, neg = {**S.LEXICONS, **own}[language]
+    short = S.narrowed(F.col("text"), language, own)
+    counts = [S.token_hits(t, words) for t in (F.col("text"), short) for words in (pos, neg)]
+    for r in texts(values).select(*[c.alias(f"c{i}") for i, c in enumerate(counts)], F.length(short).alias("n")).collect():
+        assert (r["c0"], r["c1"]) == (r["c2"], r["c3"]) and r["n"] <= 20
+    assert texts(values).agg(F.sum(counts[0]), F.sum(counts[1])).first()[0] > 0
