@@ -3,6 +3,9 @@
 Every batch of scored posts leaves its counts by minute: posts, the sum of
 their scores, and how often each keyword occurs. States of any batches add up,
 so a report over any window is a sum of the minutes in it.
+
+A folder holds a month of a batch, sorted by day: a batch may have posts of any
+number of days, and a folder for each would cost two files for every few posts.
 """
 
 from pyspark.sql import functions as F
@@ -13,11 +16,24 @@ from echolex.operators.keywords import keyword_counts, keywords_json
 from echolex.sources.tables import commit_folder, path_exists, remove_path, staged_folder
 
 GRAIN = "minute"
+# Folder of the states: the first day of the month of `created_date`.
+MONTH = "created_date_month"
 STATES_DDL = (
-    "bucket timestamp, word string, n long, score_sum double, n_scored long, kind string, created_date date"
+    f"bucket timestamp, word string, n long, score_sum double, n_scored long, created_date date, kind string, {MONTH} date"
 )
 
 
+def _month(day):
+    return F.trunc(day, "month")
+
+
+def _write(states, path, *folders):
+    """Write states by kind and month, those of a folder sorted by day."""
+    folders = [*folders, "kind", MONTH]
+    rows = states.withColumn(MONTH, _month(F.col("created_date"))).hint("rebalance", *folders)
+    rows.sortWithinPartitions(*folders, "created_date").write.partitionBy(*folders).parquet(path)
+
+
 def report_states(scored, grain=GRAIN, compat=False):
     """Counts by time bucket: kind 'posts' (n, score_sum, n_scored) and kind 'words' (word, n).
 
@@ -48,7 +64,7 @@ def write_report_states(batch, batch_id, path, stream="posts", **options):
     spark = batch.sparkSession
     staged = staged_folder(path, f"{stream}-{batch_id}")
     states = report_states(batch, **options)
-    states.hint("rebalance", "kind", "created_date").write.partitionBy("kind", "created_date").parquet(staged)
+    _write(states, staged)
     commit_folder(spark, staged, f"{path}/stream={stream}/batch_id={batch_id}")
 
 
@@ -66,20 +82,28 @@ def merge_states(spark, path, day, stream="posts"):
     count twice.
     """
     states = read_states(spark, path).filter(F.col("stream") == stream)
-    merged = states.filter(F.col("created_date") == F.lit(str(day)).cast("date"))
+    the_day, kept = F.lit(str(day)).cast("date"), ("bucket", "word", "n", "score_sum", "n_scored", "kind", "created_date")
+    merged = states.filter((F.col(MONTH) == _month(the_day)) & (F.col("created_date") == the_day))
     merged = merged.groupBy("kind", "created_date", "bucket", "word").agg(
         *[F.sum(c).alias(c) for c in ("n", "score_sum", "n_scored")]
     )
-    others = states.filter((F.col("batch_id") == -1) & (F.col("created_date") != F.lit(str(day)).cast("date")))
-    rows = merged.select("bucket", "word", "n", "score_sum", "n_scored", "kind", "created_date")
-    rows = rows.unionByName(others.select(*rows.columns))
-    staged = staged_folder(path, f"{stream}-merged")
-    rows.hint("rebalance", "kind", "created_date").write.partitionBy("kind", "created_date").parquet(staged)
+    others = states.filter((F.col("batch_id") == -1) & (F.col("created_date") != the_day))
+    # The month's other days of the batches, whose folders are written anew without the day.
+    rest = states.filter((F.col("batch_id") >= 0) & (F.col(MONTH) == _month(the_day)) & (F.col("created_date") != the_day))
+    staged, left = staged_folder(path, f"{stream}-merged"), staged_folder(path, f"{stream}-left")
+    _write(merged.select(*kept).unionByName(others.select(*kept)), staged)
+    _write(rest.select(*kept, "batch_id"), left, "batch_id")
     numbers = [r["batch_id"] for r in states.select("batch_id").distinct().collect() if r["batch_id"] >= 0]
     commit_folder(spark, staged, f"{path}/stream={stream}/batch_id=-1")
+    month = f"{MONTH}={str(day)[:7]}-01"
     for number in numbers:
         for kind in ("posts", "words"):
-            remove_path(spark, f"{path}/stream={stream}/batch_id={number}/kind={kind}/created_date={day}")
+            folder = f"batch_id={number}/kind={kind}/{month}"
+            if path_exists(spark, f"{left}/{folder}"):
+                commit_folder(spark, f"{left}/{folder}", f"{path}/stream={stream}/{folder}")
+            else:
+                remove_path(spark, f"{path}/stream={stream}/{folder}")
+    remove_path(spark, left)
 
 
 def incremental_report(states, as_of, mode="rolling", n=10, grain=GRAIN):
@@ -92,7 +116,8 @@ def incremental_report(states, as_of, mode="rolling", n=10, grain=GRAIN):
     start = F.when(border == start, start).otherwise(
         F.raise_error(F.concat(F.lit(f"not at the begin of a {grain}: "), start.cast("string"))).cast("timestamp")
     )
-    window = states.filter((F.col("created_date") >= utc_day(border)) & (F.col("bucket") >= start))
+    days = (F.col(MONTH) >= _month(utc_day(border))) & (F.col("created_date") >= utc_day(border))
+    window = states.filter(days & (F.col("bucket") >= start))
     words = window.filter("kind = 'words'").groupBy("word").agg(F.sum("n").alias("count"))
     top = keywords_json(words.orderBy(F.col("count").desc(), "word").limit(n))
     posts = window.filter("kind = 'posts'").agg(

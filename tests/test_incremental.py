@@ -77,6 +77,26 @@ def test_null_times_no_posts_and_odd_windows(spark, scored, tmp_path):
         I.incremental_report(I.read_states(spark, f"{tmp_path}/states"), "2024-01-02 00:00:30").collect()
 
 
+def test_a_batch_has_files_by_month_whatever_its_days(spark, tmp_path):
+    path = f"{tmp_path}/states"
+    scored = spark.range(400).selectExpr(
+        "string(id) id", "concat('text word', id) text", "timestamp_seconds(1704100000 + id * 86400) created_at",
+        "'en' detected_language", "'NEUTRAL' sentiment_label",
+    )
+    for batch in range(2):
+        I.write_report_states(scored.filter(f"id % 2 = {batch}"), batch, path)
+    states = I.read_states(spark, path)
+    assert len(states.inputFiles()) <= 2 * 2 * 14
+    assert states.filter("kind = 'posts'").count() == 400
+    assert states.filter("created_date != to_date(bucket)").count() == 0
+    before = sorted(map(tuple, states.select("kind", "bucket", "word", "n").collect()), key=str)
+    for day in ("2024-01-01", "2024-01-05", "2024-02-01"):
+        I.merge_states(spark, path, day)
+        states = I.read_states(spark, path)
+        assert [r[0] for r in states.filter(F.col("created_date") == day).select("batch_id").distinct().collect()] == [-1]
+        assert sorted(map(tuple, states.select("kind", "bucket", "word", "n").collect()), key=str) == before
+
+
 def rows(spark, path):
     return sorted(r["id"] for r in spark.read.parquet(path).select("id").collect())
 
