@@ -1,11 +1,13 @@
 """The score cache as a stored table, bucketed by key and partitioned by day.
 
 A day's folder holds the entries cached on that day. Storing entries rewrites
-the folders of their days only; expired entries go with whole folders, without
-a rewrite. Files are bucketed and sorted by key, so a lookup shuffles its own
+the folders of their days only, a bucket of a day by one task; expired entries
+go with whole folders, without a rewrite. Files are bucketed and sorted by key, so a lookup shuffles its own
 keys and reads the cache where it lies, of the days that can still be live only.
 """
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from echolex.functions.text import cache_key
@@ -13,9 +15,10 @@ from echolex.functions.times import age_under, as_time, utc_day
 from echolex.operators.cache import TTL_HOURS, latest_entries
 from echolex.operators.skew import HOT_ROWS, lookup_join
 from echolex.schemas import SENTIMENT_SCHEMA
-from echolex.sources.tables import path_exists, remove_path
+from echolex.sources.tables import path_exists, remove_paths
 
 BUCKETS = 64
+BUCKET = "_bucket"
 DYNAMIC = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
 
 
@@ -54,10 +57,11 @@ class CacheStore:
         return self.spark.table(self.name)
 
     def days(self):
-        """The days that have a folder."""
+        """The days that have a folder, as the catalog lists them; no file is read."""
         if not path_exists(self.spark, self.path):
             return []
-        return sorted(r["day"] for r in self.entries().select("day").distinct().collect())
+        listed = self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()
+        return sorted(date.fromisoformat(r["partition"].partition("=")[2]) for r in listed)
 
     def store(self, entries):
         """Add entries (key, result, cached_at); of one key and day the newest stays.
@@ -72,9 +76,11 @@ class CacheStore:
         if not touched:
             return
         old = self.entries().filter(F.col("day").isin(touched)).select(*fresh.columns)
-        # Exchanged by key once: the newest of a key and day is found where its bucket is written.
-        rows = old.unionByName(fresh).repartition(self.buckets, "key")
-        newest = latest_entries(rows, "day").select(*fresh.columns)
+        # Exchanged once, by day and bucket: the newest of a key and day is found where its file is written.
+        rows = old.unionByName(fresh).withColumn(BUCKET, F.pmod(F.hash("key"), F.lit(self.buckets)))
+        tasks = max(self.buckets, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        rows = rows.repartition(tasks, "day", BUCKET)
+        newest = latest_entries(rows, "day", BUCKET).select(*fresh.columns)
         before = {k: self.spark.conf.get(k, None) for k in DYNAMIC}
         try:
             for k, v in DYNAMIC.items():
@@ -83,14 +89,13 @@ class CacheStore:
         finally:
             for k, v in before.items():
                 self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
-        self._refresh()
+        self.spark.catalog.refreshTable(self.name)  # the write has added new days to the catalog itself
 
     def expire(self, as_of, ttl_hours=TTL_HOURS):
         """Remove the days of which no entry can be live at the instant `as_of`; returns them."""
         oldest = self.spark.range(1).select(_oldest_day(as_of, ttl_hours)).first()[0]
         gone = [day for day in self.days() if day < oldest]
-        for day in gone:
-            remove_path(self.spark, f"{self.path}/day={day}")
+        remove_paths(self.spark, [f"{self.path}/day={day}" for day in gone])
         self._refresh()
         return gone
 

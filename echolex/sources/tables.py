@@ -115,6 +115,13 @@ def remove_path(spark, path):
     jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(jvm_path, True)
 
 
+def remove_paths(spark, paths):
+    """Remove many folders of one file system."""
+    fs = _file_system(spark, paths[0]) if paths else None
+    for path in paths:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(path), True)
+
+
 def _file_system(spark, path):
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())

@@ -81,6 +81,21 @@ def test_found_again_under_another_name(spark, store, tmp_path):
         spark.sql(f"DROP TABLE {name}")
 
 
+def test_one_file_a_bucket_of_a_day_written_by_many_tasks(spark, store, monkeypatch):
+    """Days and buckets are dealt over more tasks than there are buckets; files stay one a bucket and day."""
+    made = []
+    repartition = type(store.entries()).repartition
+    monkeypatch.setattr(type(store.entries()), "repartition", lambda df, n, *by: made.append(n) or repartition(df, n, *by))
+    rows = [(f"t{i}", "L", i % 200) for i in range(400)]
+    store.store(entries(spark, rows))
+    store.store(entries(spark, rows[:300]))
+    assert made == [8, 8] and store.buckets == 4
+    days = len(store.days())
+    assert days == len({r["day"] for r in store.entries().select("day").distinct().collect()}) == 9
+    assert store.entries().count() == 400 and len(store.entries().inputFiles()) <= 4 * days
+    assert labels(store.lookup(posts(spark, ["t3", "t5", "t150"]), NOON)) == {0: "L", 1: "L", 2: None}
+
+
 def test_cache_side_is_not_shuffled(spark, store):
     store.store(entries(spark, ROWS))
     live = store.live(NOON)
