@@ -6,6 +6,11 @@ least hash form a run, and a run whose hash occurs once is done. Runs that are
 equal as a whole are counted by a digest; what is left, the different strings
 that share a least hash, is ordered.
 
+A repeated window has a gram of its run's hash at the same place as its equal,
+so the spans of some 166 bytes about that gram that lie in all windows with the
+gram within the same 35 places are equal too. Strings are cut to the windows
+about spans that occur twice; strings without any are done.
+
 Each task orders its strings column by column: in every round one symbol of
 every string, from the end to the front, is inserted into the Burrows-Wheeler
 transform of the collection, and the common prefixes of the new suffixes with
@@ -33,6 +38,8 @@ RUN_WINDOWS = WINDOW - GRAM + 1  # only periodic texts have longer runs
 PART_BYTES = 1 << 18  # ordered at once; the columns stay in a core's cache
 POOL_BYTES = 1 << 23  # strings from which parts of like lengths are made
 RUN_BYTES = 1 << 17  # texts hashed at once
+NARROW_BYTES = 1 << 19  # strings cut at once, but for a larger group
+GRAM_PLACES = ((0, 33), (34, 67), (68, 101), (102, WINDOW - GRAM))  # of a gram in a window
 HOT_STRINGS = 1 << 14
 END = 0xFF  # no byte of UTF-8
 PLACE_BITS = 24  # a part has fewer suffixes than 2^24
@@ -139,10 +146,11 @@ def collection(strings, lengths, cap=WINDOW):
     m, width = strings.shape
     if m + int(lengths.sum()) > PLACE:
         raise ValueError("too many suffixes for one part")
-    transform, common = strings[:, -1].copy(), np.zeros(m, np.uint8)
+    # Preceding symbols in the low bytes, common prefixes in the high ones, so that one merge moves both.
+    column = strings[:, -1].astype(np.uint16)
     # Symbols of the transform with their places, in order: where each stands here is where the
     # suffix that it begins stands behind the `m` ends. `END` begins none.
-    keys = (transform.astype(np.uint32) << PLACE_BITS) | np.arange(m, dtype=np.uint32)
+    keys = (column.astype(np.uint32) << PLACE_BITS) | np.arange(m, dtype=np.uint32)
     active = np.argsort(keys, kind="stable")
     keys, rank = keys[active], np.arange(m)
     for j in range(1, width + 1):
@@ -151,19 +159,22 @@ def collection(strings, lengths, cap=WINDOW):
         touched = touched[(touched > 0) & (touched < len(keys))]
         low, high = keys[touched - 1], keys[touched]
         same = (low ^ high) <= PLACE
-        shared = np.zeros(len(touched), np.uint8)
+        shared = np.zeros(len(touched), np.uint16)
         ends = ((x[same] & PLACE).astype(np.int64) for x in (low, high))
-        shared[same] = np.minimum(_least_between(common, *ends), cap - 1) + 1
+        shared[same] = np.minimum(_least_between((column >> 8).astype(np.uint8), *ends), cap - 1) + 1
         at = m + rank
-        before = np.full(len(at), END, np.uint8)
+        before = np.full(len(at), END, np.uint16)
         inner = lengths[active] > j
         before[inner] = strings[active[inner], width - j - 1]
-        stays = np.ones(len(transform) + len(at), bool)
+        # Old places move behind as many new ones as stand before them.
+        moved = np.repeat(
+            np.arange(len(at) + 1, dtype=np.uint32), np.diff(at - np.arange(len(at)), prepend=0, append=len(column))
+        )
+        keys += moved.take((keys & PLACE).astype(np.int64))
+        stays = np.ones(len(column) + len(at), bool)
         stays[at] = False
-        transform, common = _merged(transform, stays, at, before), _merged(common, stays, at, 0)
-        common[m + touched] = shared
-        moved = np.flatnonzero(stays).astype(np.uint32)
-        keys = (keys & ~PLACE) | moved[keys & PLACE]
+        column = _merged(column, stays, at, before)
+        column[m + touched] = (column[m + touched] & 0xFF) | (shared << 8)
         active, at = active[inner], at[inner]
         if not len(active):
             break
@@ -174,7 +185,7 @@ def collection(strings, lengths, cap=WINDOW):
         stays = np.ones(len(keys) + len(new), bool)
         stays[rank] = False
         keys = _merged(keys, stays, rank, new)
-    return transform, common
+    return (column & 0xFF).astype(np.uint8), (column >> 8).astype(np.uint8)
 
 
 def repeated_starts(strings, lengths, window=WINDOW):
@@ -310,6 +321,56 @@ def _groups(batches):
         yield group
 
 
+def _narrowed(groups):
+    """Lists of (least, digest, string, bytes cut off ahead): see `_cut_to_spans`."""
+    held, size = [], 0
+    for group in groups:
+        held += group
+        size += sum(len(x[2]) for x in group)
+        if size > NARROW_BYTES:
+            yield from _cut_to_spans(held)
+            held, size = [], 0
+    yield from _cut_to_spans(held)
+
+
+def _cut_to_spans(rows):
+    """Groups of the strings that hold a span twice found, cut to the windows about such spans.
+
+    `rows` are whole groups of (least, digest, string). Every window of a string
+    holds a gram of the hash `least`; at places `low` to `high` of a window it has
+    the span from `low` bytes before the gram to the end of a window in which the
+    gram is at `high`. Equal windows have equal spans, so none is lost.
+    """
+    lengths = np.array([len(x[2]) for x in rows], np.int64)
+    ends = np.cumsum(lengths)
+    hasher = Hasher(np.frombuffer(b"".join(x[2] for x in rows), np.uint8))
+    grams = hasher.grams(GRAM).view(np.int64)
+    least = np.repeat(np.array([x[0] for x in rows], np.int64), lengths)[: len(grams)]
+    hit = np.flatnonzero(grams == least)
+    which = np.searchsorted(ends, hit, "right")
+    place = hit - (ends - lengths)[which]
+    first, last = lengths.copy(), np.zeros(len(rows), np.int64)
+    for low, high in GRAM_PLACES:
+        # Places of the gram in those windows that lie in the string.
+        near, far = np.maximum(low, place + WINDOW - lengths[which]), np.minimum(high, place)
+        held = np.flatnonzero(near <= far)
+        spans = hasher.spans(hit[held] - low, np.full(len(held), WINDOW - high + low))
+        order = np.argsort(spans, kind="stable")
+        same = np.flatnonzero(spans[order[1:]] == spans[order[:-1]])
+        twice = held[order[np.union1d(same, same + 1)]]
+        np.minimum.at(first, which[twice], place[twice] - far[twice])
+        np.maximum.at(last, which[twice], place[twice] - near[twice] + WINDOW)
+    group = []
+    for i in np.flatnonzero(first < last).tolist():
+        value, digest, string = rows[i]
+        if group and group[0][0] != value:
+            yield group
+            group = []
+        group.append((value, digest, string[first[i] : last[i]], int(first[i])))
+    if group:
+        yield group
+
+
 def _parts(groups):
     """Lists of strings to be ordered together; whole groups, those of like length in one part."""
     pool, size = [], 0
@@ -337,7 +398,7 @@ def _cut(pool):
 
 def _ordered(batches):
     """least, digest, spans: repeated windows of every string that has some."""
-    for part in _parts(_groups(batches)):
+    for part in _parts(_narrowed(_groups(batches))):
         lengths = np.array([len(x[2]) for x in part])
         width = int(lengths.max())
         strings = np.zeros((len(part), width), np.uint8)
@@ -345,6 +406,7 @@ def _ordered(batches):
         which, back = repeated_starts(strings, lengths)
         order = np.lexsort((-back, which))
         which, first = which[order], (lengths[which] - back)[order]
+        ahead = np.array([x[3] for x in part])
         opens = np.flatnonzero(
             np.concatenate([[True], (which[1:] != which[:-1]) | (first[1:] != first[:-1] + 1)])
         ) if len(which) else np.zeros(0, np.int64)
@@ -353,7 +415,7 @@ def _ordered(batches):
             [
                 np.array([part[i][0] for i in which[opens]], np.int64),
                 np.array([part[i][1] for i in which[opens]], np.int64),
-                first[opens],
+                first[opens] + ahead[which[opens]],
                 first[closes] - first[opens] + 1,
             ],
             ["least", "digest", "ahead", "windows"],

@@ -115,6 +115,32 @@ def test_whole_texts(spark, doc_rows, hot):
     assert got(found.collect()) == expected(rows)
 
 
+def ordered_bytes(monkeypatch, strings):
+    """Bytes of the strings of one hash that are ordered, and the repeated windows found in each."""
+    import pyarrow as pa
+
+    least = int(S.Hasher(np.frombuffer(strings[0], np.uint8)).grams(S.GRAM).view(np.int64)[137])
+    rows = pa.table({"least": [least] * len(strings), "digest": range(len(strings)), "string": strings})
+    ordered, seen = S.repeated_starts, []
+    monkeypatch.setattr(S, "repeated_starts", lambda m, n: seen.append(int(n.sum())) or ordered(m, n))
+    found = [(r["digest"], r["ahead"], r["windows"]) for b in S._ordered(rows.to_batches()) for r in b.to_pylist()]
+    return sum(seen), sorted(found)
+
+
+def test_only_what_may_repeat_is_ordered(monkeypatch):
+    rng = random.Random(3)
+    gram = bytes(rng.choices(b"abcdefgh ", k=64))
+    side = lambda k: bytes(rng.choices(b"ijklmnop ", k=k))
+    # All have the gram, none has 166 equal bytes about it.
+    assert ordered_bytes(monkeypatch, [side(137) + gram + side(136) for _ in range(20)]) == (0, [])
+    # Equal in 210 bytes, from 10 before the gram: 11 windows of two strings.
+    tail = side(136)
+    pair = [side(127) + b"=" * 10 + gram + tail for _ in range(2)]
+    size, found = ordered_bytes(monkeypatch, [side(137) + gram + side(136) for _ in range(20)] + pair)
+    assert found == [(20, 127, 11), (21, 127, 11)]
+    assert size < 2 * 260 < sum(map(len, pair))
+
+
 def test_no_rows(spark, no_docs):
     assert S.remove_repeats(no_docs).count() == 0
 
