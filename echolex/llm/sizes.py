@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from echolex.session import ensure_checkpoint_dir
 
 MAX_ROWS = 10_000
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def broadcast_if_small(table, rows=MAX_ROWS):
