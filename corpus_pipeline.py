@@ -20,6 +20,7 @@ from echolex.session import scratch_path
 
 MIX_SHARE = 0.8  # of the tokens that are left
 MIX_EPOCHS = 1
+SLICE_BYTES = 1 << 19  # texts encoded at once; the workers keep what other stages took, too
 
 
 def quality_rules(spark, docs, sf_dir):
@@ -57,7 +58,7 @@ def pack_sequences(spark, docs, sf_dir):
     """Token pieces with the sequence and the place each lies at."""
     prepare(spark)
     path = tokenizer_path(WORD_TOKENIZER)
-    return packing.pack(tokens.encode_pieces(docs, path, SEQUENCE_TOKENS), SEQUENCE_TOKENS)
+    return packing.pack(tokens.encode_pieces(docs, path, SEQUENCE_TOKENS, slice_bytes=SLICE_BYTES), SEQUENCE_TOKENS)
 
 
 STAGES = [

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 21
 # Pieces in each of the two generations a worker keeps, some 150 bytes each.
 CACHE_WORDS = 250_000
 MISS_CHARS = 1 << 17
@@ -164,13 +164,16 @@ def text_slices(texts, limit=SLICE_BYTES):
         row = end
 
 
-def encode_pieces(docs, path, capacity=2048, end_id=0, id_col="doc_id", text_col="text"):
+def encode_pieces(
+    docs, path, capacity=2048, end_id=0, id_col="doc_id", text_col="text", slice_bytes=SLICE_BYTES
+):
     """Pieces of at most `capacity` token ids: doc_id, piece, start, length, ids.
 
     Every document is its ids and then `end_id`; a null text is an empty one. A
     longer document is cut into pieces of `capacity`, the last one may be
     shorter. `ids` holds little-endian unsigned 32-bit numbers. Repeated rows
     give repeated pieces; an empty table gives none; other columns are ignored.
+    Texts of some `slice_bytes` are encoded at once; smaller slices take less memory and more time.
     """
     source = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
     id_type = source.schema["doc_id"].dataType.simpleString()
@@ -179,7 +182,7 @@ def encode_pieces(docs, path, capacity=2048, end_id=0, id_col="doc_id", text_col
         encoder = word_ids(path)
         for batch in batches:
             keys = batch.column(0)
-            for row, texts in text_slices(batch.column(1)):
+            for row, texts in text_slices(batch.column(1), slice_bytes):
                 yield _pieces(keys.slice(row, len(texts)), *encoder.encode(texts), capacity, end_id)
 
     return source.mapInArrow(

@@ -175,10 +175,11 @@ def test_workers_get_bounded_bytes(spark):
     """An executor of the pipeline holds two JVM batches and the arrays of two slices at a time."""
     import pyarrow as pa
 
+    import corpus_pipeline
     from echolex.llm.sizes import prepare
 
     texts = pa.array(["some words " * 1000] * 300)
-    slices = list(tokens.text_slices(texts))
+    slices = list(tokens.text_slices(texts, corpus_pipeline.SLICE_BYTES))
     assert [row for row, _ in slices] == [sum(len(t) for _, t in slices[:k]) for k in range(len(slices))]
     assert sum(len(t) for _, t in slices) == len(texts)
     assert max(sum(len(x) for x in t.to_pylist()) for _, t in slices) <= 1 << 19
